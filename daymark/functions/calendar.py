@@ -90,21 +90,33 @@ def federal_holidays(spark: SparkSession, first_year: int, last_year: int) -> Da
     return spark.createDataFrame([(d,) for d in days], "holiday date")
 
 
-def holiday_flags(df: DataFrame, day: str, first_year: int = 1971, last_year: int = 2100) -> DataFrame:
-    """Add ``holiday``, ``before_holiday`` and ``after_holiday`` as 0/1.
+def is_federal_holiday(day: Column) -> Column:
+    """Whether a date is an observed federal holiday, as plain date arithmetic.
 
-    The rule dates are about eleven per year, so they enter the plan as one ``IN`` list
-    (a hash set inside codegen): no join and no shuffle.
+    No table, no range limit and no join: the rules are a few integer comparisons per row.
     """
-    days = sorted({d for y in range(first_year - 1, last_year + 2) for d in observed_holidays(y)})
+    def fixed(d: Column) -> Column:
+        hit = F.lit(False)
+        for month, number, since in FIXED_DATES:
+            hit = hit | ((F.month(d) == month) & (F.dayofmonth(d) == number) & (F.year(d) >= since))
+        return hit
+
+    w = weekday(day)
+    moved = (w < 5) & (fixed(day) | ((w == 4) & fixed(F.date_add(day, 1))) | ((w == 0) & fixed(F.date_sub(day, 1))))
+    floating = F.lit(False)
+    for month, isoday, nth, since in FLOATING_DAYS:
+        in_week = (F.dayofmonth(day).between(7 * nth - 6, 7 * nth) if nth > 0
+                   else F.dayofmonth(day) > F.dayofmonth(F.last_day(day)) - 7)
+        floating = floating | ((F.month(day) == month) & (w == isoday - 1) & in_week & (F.year(day) >= since))
+    return moved | floating
 
-    def member(column: Column) -> Column:
-        return column.isin(days).cast("int")
 
+def holiday_flags(df: DataFrame, day: str) -> DataFrame:
+    """Add ``holiday``, ``before_holiday`` and ``after_holiday`` as 0/1."""
     return df.withColumns({
-        "holiday": member(F.col(day)),
-        "before_holiday": member(F.date_add(day, 1)),
-        "after_holiday": member(F.date_sub(day, 1)),
+        "holiday": is_federal_holiday(F.col(day)).cast("int"),
+        "before_holiday": is_federal_holiday(F.date_add(day, 1)).cast("int"),
+        "after_holiday": is_federal_holiday(F.date_sub(day, 1)).cast("int"),
     })
 
 

@@ -2,8 +2,8 @@
 
 Every function takes one row per (series, date). A series is bounded by the calendar (one
 row per day), so a window per series is bounded too; many series spread over the cluster.
-All lags share one window specification, so Spark plans one sort and one window pass; means,
-deviations and medians are computed from the lag columns inside the same stage.
+All lags and past statistics share one window order, so Spark plans one shuffle and one sort
+for the whole feature table.
 """
 
 from __future__ import annotations
@@ -53,58 +53,43 @@ def lags(df: DataFrame, steps: Sequence[int] = range(1, HISTORY_DAYS + 1), value
     return df.withColumns({f"lag_{n}": F.lag(value, n).over(window) for n in steps})
 
 
-def lag_mean(n: int) -> Column:
-    """Mean of the previous ``n`` days; null unless all ``n`` are there."""
-    total = F.col("lag_1").cast("double")
-    for i in range(2, n + 1):
-        total = total + F.col(f"lag_{i}")
-    return total / n
-
-
-def lag_std(n: int) -> Column:
-    """Population deviation of the previous ``n`` days, two-pass for accuracy."""
-    centre = lag_mean(n)
-    squares = None
-    for i in range(1, n + 1):
-        term = F.pow(F.col(f"lag_{i}") - centre, 2)
-        squares = term if squares is None else squares + term
-    return F.sqrt(squares / n)
-
-
 def _middle(columns: Sequence[Column]) -> Column:
-    """Median of the given columns; null if any is null."""
+    """Median of the given columns, none of them null."""
     n = len(columns)
-    ordered = F.array_sort(F.array(*[c.cast("double") for c in columns]))
-    whole = columns[0]
-    for c in columns[1:]:
-        whole = whole + c
-    mid = (F.element_at(ordered, (n + 1) // 2) + F.element_at(ordered, n // 2 + 1)) / F.lit(2.0)
-    return F.when(whole.isNotNull(), mid)
+    ordered = F.sort_array(F.array(*[c.cast("double") for c in columns]))
+    return (F.element_at(ordered, (n + 1) // 2) + F.element_at(ordered, n // 2 + 1)) / F.lit(2.0)
 
 
-def lag_median(n: int) -> Column:
-    return _middle([F.col(f"lag_{i}") for i in range(1, n + 1)])
+def past_statistics(df: DataFrame, spans: Sequence[int] = SPANS, value: str = "trips",
+                    series: Sequence[str] = ("series",), day: str = "date",
+                    kinds: Sequence[str] = ("mean", "std", "median")) -> DataFrame:
+    """``mean_n``, ``std_n`` (population) and ``median_n`` of the previous ``n`` days.
 
-
-def past_statistics(df: DataFrame, spans: Sequence[int] = SPANS) -> DataFrame:
-    """``mean_n``, ``std_n`` and ``median_n`` from the lag columns."""
+    Null unless all ``n`` days hold a value. Frames end one row before the current day. The
+    median reads the lag columns, since a quantile over a sliding frame is rebuilt per row.
+    """
+    window = _by_day(series, day)
     out = {}
     for n in spans:
-        out[f"mean_{n}"] = lag_mean(n)
-        out[f"std_{n}"] = lag_std(n)
-        out[f"median_{n}"] = lag_median(n)
+        frame = window.rowsBetween(-n, -1)
+        whole = F.count(value).over(frame) == n
+        if "mean" in kinds:
+            out[f"mean_{n}"] = F.when(whole, F.avg(value).over(frame))
+        if "std" in kinds:
+            out[f"std_{n}"] = F.when(whole, F.stddev_pop(value).over(frame))
+        if "median" in kinds:
+            out[f"median_{n}"] = F.when(whole, _middle([F.col(f"lag_{i}") for i in range(1, n + 1)]))
     return df.withColumns(out)
 
 
-def past_extremes(df: DataFrame, n: int = 7) -> DataFrame:
+def past_extremes(df: DataFrame, n: int = 7, value: str = "trips", series: Sequence[str] = ("series",),
+                  day: str = "date") -> DataFrame:
     """``recent_low`` and ``recent_high`` of the previous ``n`` days."""
-    past = [F.col(f"lag_{i}") for i in range(1, n + 1)]
-    whole = past[0]
-    for c in past[1:]:
-        whole = whole + c
+    frame = _by_day(series, day).rowsBetween(-n, -1)
+    whole = F.count(value).over(frame) == n
     return df.withColumns({
-        "recent_low": F.when(whole.isNotNull(), F.least(*past)),
-        "recent_high": F.when(whole.isNotNull(), F.greatest(*past)),
+        "recent_low": F.when(whole, F.min(value).over(frame)),
+        "recent_high": F.when(whole, F.max(value).over(frame)),
     })
 
 
@@ -123,10 +108,12 @@ def same_weekday(df: DataFrame) -> DataFrame:
     matching = [F.col(f"lag_{n}") for n in (7, 14, 21, 28)]
     out = {}
     for k in (2, 3, 4):
-        kept = F.filter(F.array(*[c.cast("double") for c in matching[:k]]), lambda x: x.isNotNull())
-        total = F.aggregate(kept, F.lit(0.0), lambda a, x: a + x)
-        out[f"weekly_mean_{k}"] = F.when(F.size(kept) > 0, total / F.size(kept))
-    kept = F.array_sort(F.filter(F.array(*[c.cast("double") for c in matching]), lambda x: x.isNotNull()))
+        total, held = F.lit(0), F.lit(0)
+        for c in matching[:k]:
+            total = total + F.coalesce(c, F.lit(0))
+            held = held + c.isNotNull().cast("int")
+        out[f"weekly_mean_{k}"] = ratio(total, held)
+    kept = F.sort_array(F.array_compact(F.array(*[c.cast("double") for c in matching])))
     n = F.size(kept)
     low = F.element_at(kept, F.greatest(F.lit(1), F.floor((n + 1) / 2).cast("int")))
     high = F.element_at(kept, F.greatest(F.lit(1), F.floor(n / 2).cast("int") + 1))
@@ -160,8 +147,8 @@ def trailing_mean(daily: DataFrame, n: int = 7, series: Sequence[str] = ("series
 def feature_frame(daily: DataFrame, series: Sequence[str] = ("series",), value: str = "trips",
                   day: str = "date", origin: str = "2023-01-01") -> DataFrame:
     """The wide feature table: calendar, holidays, lags, past statistics, changes, harmonics."""
-    out = lags(daily, value=value, series=series, day=day)
-    out = past_extremes(past_statistics(out))
+    where = {"value": value, "series": series, "day": day}
+    out = past_extremes(past_statistics(lags(daily, **where), **where), **where)
     out = same_weekday(change_features(out))
     out = out.withColumns(cal.calendar_terms(F.col(day)))
     out = out.withColumns(cal.harmonic_terms(F.col(day), origin))

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("auditing",)
+MODULES = ("auditing", "features")
 
 
 def load_catalog() -> None:
