@@ -7,6 +7,7 @@ from statistics import NormalDist
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _upper_gamma(a: float, x: float) -> float:
@@ -78,25 +79,25 @@ def _beta_point(a: float, b: float, p: float) -> float:
     return (low + high) / 2
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi_square_tail(statistic: pd.Series, freedom: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(s) or pd.isna(k) or k <= 0 else _upper_gamma(k / 2, s / 2)
                       for s, k in zip(statistic, freedom)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def two_sided_normal(z: pd.Series) -> pd.Series:
     return pd.Series([None if pd.isna(v) else min(1.0, math.erfc(v / math.sqrt(2))) for v in z], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_point(u: pd.Series) -> pd.Series:
     """Inverse normal of a probability held to [1e-7, 1 - 1e-7]."""
     normal = NormalDist()
     return pd.Series([None if pd.isna(v) else normal.inv_cdf(min(1 - 1e-7, max(1e-7, v))) for v in u], dtype="float64")
 
 
-@F.pandas_udf("struct<lower double, upper double>")
+@F.pandas_udf(T.StructType([T.StructField("lower", T.DoubleType()), T.StructField("upper", T.DoubleType())]))
 def clopper_pearson(successes: pd.Series, trials: pd.Series, confidence: pd.Series) -> pd.DataFrame:
     """Exact binomial interval."""
     lower, upper = [], []

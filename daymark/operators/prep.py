@@ -14,6 +14,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daymark.operators.ordered import numbered, quantiles, value_ranks
 from daymark.operators.profile import long_values
@@ -86,7 +87,7 @@ def apply_quantile_normal(df: DataFrame, column: str, landmarks: Sequence[float]
     points = np.asarray(landmarks, dtype=float)
     share = np.linspace(0.0, 1.0, len(points))
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(T.DoubleType())
     def position(values: pd.Series) -> pd.Series:
         x = values.to_numpy(dtype=float)
         up = np.interp(x, points, share)

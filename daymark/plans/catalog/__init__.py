@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("auditing", "features")
+MODULES = ("auditing", "features", "statistics")
 
 
 def load_catalog() -> None:
