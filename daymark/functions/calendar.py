@@ -87,7 +87,7 @@ def observed_holidays(year: int) -> list[date]:
 def federal_holidays(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
     """``holiday date`` table. One year either side is included, since a New Year can move."""
     days = sorted({d for y in range(first_year - 1, last_year + 2) for d in observed_holidays(y)})
-    return spark.createDataFrame([(d,) for d in days], "holiday date")
+    return spark.range(1).select(F.explode(F.array(*[F.lit(d) for d in days])).alias("holiday"))
 
 
 def is_federal_holiday(day: Column) -> Column:

@@ -66,7 +66,7 @@ def nearest(queries: DataFrame, points: DataFrame, dims: Sequence[str], k: int,
 
     Returns (key, dims, point_id, carry, distance); join it to query rows on key and dims.
     Only rows of equal ``key`` are compared. Action: writes the reduced points once, counts
-    them and reads one box per cell (at most ``MOST_CELLS``).
+    them and reads one box per cell (at most ``MOST_CELLS`` in all).
     """
     made_key = key is None
     key = key or "_stratum"
@@ -77,8 +77,9 @@ def nearest(queries: DataFrame, points: DataFrame, dims: Sequence[str], k: int,
     held = points.select(key, point_id, *dims, *carry).withColumns(as_double).dropna(subset=[*dims, point_id])
     held = materialize(top_per_group(held, [key, *dims], [F.col(point_id)], k), "points")
 
-    total = held.count()
-    cells = int(min(MOST_CELLS, max(1, total // POINTS_PER_CELL)))
+    # One count per key; keys are strata of the caller's own making, a handful.
+    largest = held.groupBy(key).count().agg(F.max("count"), F.count(F.lit(1))).first()
+    cells = int(min(MOST_CELLS // max(1, largest[1]), max(1, (largest[0] or 0) // POINTS_PER_CELL)))
     per_axis = max(1, int(np.ceil(np.sqrt(cells)))) if len(dims) > 1 else max(1, cells)
     cuts = _fit_cuts(held, key, dims, per_axis)
     held = _with_cell(held, cuts, key, dims, per_axis)

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from daymark.operators.ordered import numbered, quantiles, value_ranks
 from daymark.operators.profile import long_values
+from daymark.session import materialize
 
 POOLED = "__POOLED__"
 
@@ -160,7 +161,8 @@ class ChainedImputer:
         gaps = {c: means[f"{c}__n"] for c in self.columns}
         order = sorted([c for c in self.columns if gaps[c]], key=lambda c: (gaps[c], c))
         self.steps_ = []
-        base = self._fill(training, self.starts_)
+        # Every fit reads the same narrow columns, so they are written once.
+        base = materialize(self._fill(training.select(*self.columns), self.starts_), "chained")
         current: dict[str, tuple[float, list[float]]] = {}
         for _ in range(self.rounds):
             for target in order:

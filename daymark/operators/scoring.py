@@ -208,8 +208,8 @@ def error_slices(df: DataFrame, label: str = "label", predicted: str = "predicte
         F.count(F.lit(1)).alias("n"), F.count_if(y == 1).alias("positive_n"), F.count_if(y == 0).alias("negative_n"),
         F.count_if((y == 1) & (p == 0)).alias("false_negatives"),
         F.count_if((y == 0) & (p == 1)).alias("false_positives"))
-    spine = df.sparkSession.createDataFrame([(i, name) for i, (name, _, _) in enumerate(MISSING_BINS)],
-                                            "_bin int, missing_features string")
+    spine = df.sparkSession.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_bin"), F.lit(name).alias("missing_features")) for i, (name, _, _) in enumerate(MISSING_BINS)])))
     measures = ["n", "positive_n", "negative_n", "false_negatives", "false_positives"]
     filled = spine.join(counts, "_bin", "left").select(
         "missing_features", *[F.coalesce(c, F.lit(0)).alias(c) for c in measures])

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("auditing", "features", "statistics")
+MODULES = ("auditing", "features", "statistics", "preparation", "modelling", "incremental")
 
 
 def load_catalog() -> None:
