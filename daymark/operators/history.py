@@ -207,7 +207,7 @@ def autocorrelation(daily: DataFrame, max_lag: int = HISTORY_DAYS, series: Seque
     pairs = pairs.where(F.col("_y").isNotNull() & F.col("_x").isNotNull())
     return pairs.groupBy(*series, "lag").agg(
         F.count(F.lit(1)).alias("pairs"),
-        F.when((F.max("_x") > F.min("_x")) & (F.max("_y") > F.min("_y")), F.corr("_x", "_y")).alias("correlation"),
+        ratio(F.covar_pop("_x", "_y"), F.stddev_pop("_x") * F.stddev_pop("_y")).alias("correlation"),
     )
 
 

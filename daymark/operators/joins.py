@@ -61,21 +61,25 @@ def as_of(requests: DataFrame, issues: DataFrame, request_time: Column, issue_ti
           keys: Sequence[str] = ()) -> DataFrame:
     """For each request, the newest issue at or before ``request_time`` (with equal keys).
 
-    Both sides are laid on one time line and a running maximum of (issue time, values) is
-    taken over it, range by range, so neither a pair of rows nor a whole key meets in one task.
-    Issues must be unique per (keys, issue time); a request without an earlier issue keeps nulls.
+    Both sides are laid on one time line, one row per (keys, time), and a running maximum of
+    (issue time, values) is taken over it range by range; the answers are then joined back on
+    (keys, time). So neither a whole key nor many requests of one instant meet in one task.
+    If issues repeat a time, the largest values win. A request without an earlier issue keeps nulls.
     """
     payload = F.struct(F.col(issue_time).alias("t"), *[F.col(c).alias(c) for c in carry])
     kind = issues.select(payload.alias("p")).schema["p"].dataType
-    asked = requests.select(*requests.columns, request_time.alias("_t"), F.lit(1).alias("_kind"),
-                            F.lit(None).cast(kind).alias("_issue"),
-                            F.monotonically_increasing_id().alias("_tie"))
-    known = issues.select(
-        *[F.col(c) if c in keys else F.lit(None).cast(requests.schema[c].dataType).alias(c) for c in requests.columns],
-        F.col(issue_time).alias("_t"), F.lit(0).alias("_kind"), payload.alias("_issue"), F.lit(0).cast("long").alias("_tie"))
-    line = known.unionByName(asked)
-    run = running_totals(line, ["_t", "_kind", "_tie"], [], keys, maxima=["_issue"])
-    return run.where(F.col("_kind") == 1).select(
+    timed = requests.withColumn("_t", request_time)
+    asked = timed.select(*keys, "_t", F.lit(1).alias("_asked"), F.lit(None).cast(kind).alias("_issue"))
+    known = issues.select(*keys, F.col(issue_time).alias("_t"), F.lit(0).alias("_asked"), payload.alias("_issue"))
+    line = known.unionByName(asked).where(F.col("_t").isNotNull()).groupBy(*keys, "_t").agg(
+        F.max("_asked").alias("_asked"), F.max("_issue").alias("_issue"))
+    run = running_totals(line, "_t", [], keys, maxima=["_issue"]).where(F.col("_asked") == 1)
+    found = run.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_t").alias("_at"),
+                       F.col("_issue_upto"))
+    same = F.col("_t") == F.col("_at")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return timed.join(found, same, "left").select(
         *requests.columns, F.col("_issue_upto.t").alias(issue_time),
         *[F.col(f"_issue_upto.{c}").alias(c) for c in carry])
 

@@ -122,7 +122,9 @@ def nearest(queries: DataFrame, points: DataFrame, dims: Sequence[str], k: int,
 
     def winners(asked_part: pd.DataFrame, held_part: pd.DataFrame) -> pd.DataFrame:
         if asked_part.empty or held_part.empty:
-            return pd.DataFrame({n: [] for n in names})
+            nothing = {key: pd.Series(dtype=object), **{n: pd.Series(dtype="float64") for n in [*dims, "distance"]}}
+            nothing.update({c: held_part[c].iloc[:0] for c in [point_id, *carry]})
+            return pd.DataFrame(nothing)[names]
         held_part = held_part.sort_values(point_id, kind="stable").reset_index(drop=True)
         spots = held_part[dims].to_numpy(float)
         step = max(1, PAIRS_AT_ONCE // len(spots))

@@ -10,15 +10,12 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daymark.operators.ordered import numbered, quantiles, value_ranks
 from daymark.operators.profile import long_values
-from daymark.session import materialize
 
 POOLED = "__POOLED__"
 
@@ -134,53 +131,89 @@ def one_hot(df: DataFrame, column: str, levels: Sequence[str]) -> DataFrame:
 class ChainedImputer:
     """Chained ridge regressions: each incomplete column is predicted from the others, round after round.
 
-    ``fit`` is an action: ``rounds`` times one linear fit per incomplete column on training rows.
+    A filled value is always an affine function of what its row holds, and the same one for every
+    row with the same null pattern. So sums and products per null pattern, one aggregate over the
+    training rows, are all that ``fit`` reads: every round is then small matrix work.
     """
 
+    MOST_COLUMNS = 16  # at most 2**16 null patterns reach the driver
+
     def __init__(self, columns: Sequence[str], rounds: int = 10, ridge: float = 1e-3):
+        if len(columns) > self.MOST_COLUMNS:
+            raise ValueError(f"at most {self.MOST_COLUMNS} columns can be chained")
         self.columns = list(columns)
         self.rounds = rounds
         self.ridge = ridge
 
-    def _fill(self, df: DataFrame, starts: dict[str, float]) -> DataFrame:
-        out = {f"{c}__gone": F.col(c).isNull() for c in self.columns}
-        out.update({c: F.coalesce(F.col(c).cast("double"), F.lit(starts[c])) for c in self.columns})
-        return df.withColumns({k: v for k, v in out.items() if k.endswith("__gone")}).withColumns(
-            {k: v for k, v in out.items() if not k.endswith("__gone")})
-
-    def _equation(self, target: str, intercept: float, weights: Sequence[float]) -> Column:
-        value = F.lit(float(intercept))
-        for other, w in zip([c for c in self.columns if c != target], weights):
-            value = value + F.lit(float(w)) * F.col(other)
-        return value
-
     def fit(self, training: DataFrame) -> "ChainedImputer":
-        means = training.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in self.columns],
-                             *[F.count_if(F.col(c).isNull()).alias(f"{c}__n") for c in self.columns]).first()
-        self.starts_ = {c: float(means[c] or 0.0) for c in self.columns}
-        gaps = {c: means[f"{c}__n"] for c in self.columns}
-        order = sorted([c for c in self.columns if gaps[c]], key=lambda c: (gaps[c], c))
+        names = self.columns
+        width = len(names)
+        means = training.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in names]).first()
+        starts = np.array([float(means[c] or 0.0) for c in names])
+        self.starts_ = dict(zip(names, starts.tolist()))
+
+        pattern = F.lit(0)
+        for i, c in enumerate(names):
+            pattern = pattern + F.when(F.col(c).isNull(), 1 << i).otherwise(0)
+        held = [F.coalesce(F.col(c).cast("double") - F.lit(self.starts_[c]), F.lit(0.0)) for c in names]
+        pairs = [(i, j) for i in range(width) for j in range(i, width)]
+        rows = training.groupBy(pattern.alias("pattern")).agg(
+            F.count(F.lit(1)).alias("n"), *[F.sum(held[i]).alias(f"s{i}") for i in range(width)],
+            *[F.sum(held[i] * held[j]).alias(f"p{i}_{j}") for i, j in pairs]).orderBy("pattern").collect()
+
+        moments, maps, gaps = [], [], []
+        for row in rows:
+            m = np.zeros((width + 1, width + 1))
+            m[0, 0] = row["n"]
+            for i in range(width):
+                m[0, i + 1] = m[i + 1, 0] = row[f"s{i}"]
+            for i, j in pairs:
+                m[i + 1, j + 1] = m[j + 1, i + 1] = row[f"p{i}_{j}"]
+            gone = [bool(row["pattern"] >> i & 1) for i in range(width)]
+            # What each column holds, as a function of (1, held values); a gap starts at its mean.
+            now = np.eye(width + 1)
+            now[[i + 1 for i in range(width) if gone[i]]] = 0.0
+            moments.append(m)
+            maps.append(now)
+            gaps.append(gone)
+        missing = [sum(r["n"] for r, g in zip(rows, gaps) if g[i]) for i in range(width)]
+        order = sorted([i for i in range(width) if missing[i]], key=lambda i: (missing[i], i))
+
         self.steps_ = []
-        # Every fit reads the same narrow columns, so they are written once.
-        base = materialize(self._fill(training.select(*self.columns), self.starts_), "chained")
-        current: dict[str, tuple[float, list[float]]] = {}
         for _ in range(self.rounds):
             for target in order:
-                others = [c for c in self.columns if c != target]
-                state = base
-                # Replay the equations found so far; they are plain column arithmetic.
-                for t in order:
-                    if t in current and t != target:
-                        state = state.withColumn(t, F.when(F.col(f"{t}__gone"), self._equation(t, *current[t])).otherwise(F.col(t)))
-                rows = VectorAssembler(inputCols=others, outputCol="_x").transform(state.where(~F.col(f"{target}__gone")))
-                model = LinearRegression(featuresCol="_x", labelCol=target, regParam=self.ridge, solver="normal").fit(rows)
-                current[target] = (float(model.intercept), [float(w) for w in model.coefficients])
-                self.steps_.append((target, *current[target]))
+                others = [i for i in range(width) if i != target]
+                total = np.zeros((width + 1, width + 1))
+                for m, now, gone in zip(moments, maps, gaps):
+                    if not gone[target]:
+                        total += now @ m @ now.T
+                weights, constant = self._ridge(total, others, target)
+                for now, gone in zip(maps, gaps):
+                    if gone[target]:
+                        now[target + 1] = weights @ now[[i + 1 for i in others]]
+                        now[target + 1, 0] += constant
+                shift = starts[target] + constant - float(weights @ starts[others])
+                self.steps_.append((names[target], float(shift), [float(w) for w in weights]))
         return self
 
+    def _ridge(self, total: np.ndarray, inputs: Sequence[int], target: int) -> tuple[np.ndarray, float]:
+        n = total[0, 0]
+        if n == 0:
+            return np.zeros(len(inputs)), 0.0
+        mean = total[0, 1:] / n
+        cross = total[1:, 1:] / n - np.outer(mean, mean)
+        spread = np.sqrt(np.maximum(np.diag(cross)[inputs], 0.0))
+        spread[spread == 0] = 1.0
+        scaled = cross[np.ix_(inputs, inputs)] / np.outer(spread, spread) + self.ridge * np.eye(len(inputs))
+        weights = np.linalg.solve(scaled, cross[inputs, target] / spread) / spread
+        return weights, float(mean[target] - weights @ mean[inputs])
+
     def transform(self, df: DataFrame) -> DataFrame:
-        state = self._fill(df, self.starts_)
+        state = df.withColumns({f"{c}__gone": F.col(c).isNull() for c in self.columns}).withColumns(
+            {c: F.coalesce(F.col(c).cast("double"), F.lit(self.starts_[c])) for c in self.columns})
         for target, intercept, weights in self.steps_:
-            state = state.withColumn(target, F.when(
-                F.col(f"{target}__gone"), self._equation(target, intercept, weights)).otherwise(F.col(target)))
+            value = F.lit(intercept)
+            for other, w in zip([c for c in self.columns if c != target], weights):
+                value = value + F.lit(w) * F.col(other)
+            state = state.withColumn(target, F.when(F.col(f"{target}__gone"), value).otherwise(F.col(target)))
         return state.drop(*[f"{c}__gone" for c in self.columns])

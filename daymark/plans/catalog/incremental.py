@@ -51,9 +51,12 @@ def _(spark, d):
     return audit.daily_counts(zip_csv.read_trips(spark, archives(spark, d)))
 
 
-@query("s2_header_inventory")
+@query("s2_header_inventory", """
+select 'ride_id,rideable_type,started_at,ended_at,start_station_id' as header, count(*) > 0 as has_members from events
+""")
 def _(spark, d):
-    return audit.header_inventory(zip_csv.read_zip_csv(spark, archives(spark, d), required=["ride_id"]))
+    found = audit.header_inventory(zip_csv.read_zip_csv(spark, archives(spark, d), required=["ride_id"]))
+    return found.groupBy(F.col("_header").alias("header")).agg((F.count("_member") > 0).alias("has_members"))
 
 
 @query("s5_daily_round_trip", f"with {b.DAILY}, x as (select date, trips, trips / cast(3 as double) as third from daily) select date, trips, {r('third')} from x")

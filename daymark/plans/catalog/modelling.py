@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymark.operators import history, scoring
 from daymark.plans import bindings as b
 from daymark.plans import classifying, forecasting
 from daymark.plans.catalog.features import FRAME, LAGGED, r, rounded, rs
+from daymark.plans.catalog.preparation import FOLDED
 from daymark.plans.catalog.statistics import METRICS
 from daymark.plans.registry import query
 from daymark.session import materialize
@@ -36,24 +40,24 @@ NUMERIC, CATEGORICAL = ["n_chars", "quality"], ["lang", "source"]
 @query("m11_fit_regressors")
 def _(spark, d):
     train, check = halves(frame(spark, d))
-    out = None
-    for family in forecasting.FAMILIES:
+
+    def run(family):
         model = forecasting.ResidualForecaster(family, "compact").fit(train)
-        m = scoring.regression_metrics(model.transform(check), actual="trips").withColumn("family", F.lit(family))
-        out = m if out is None else out.unionByName(m)
-    return out
+        return scoring.regression_metrics(model.transform(check), actual="trips").withColumn("family", F.lit(family))
+
+    return reduce(DataFrame.unionByName, classifying.pooled(spark, run, forecasting.FAMILIES, 5))
 
 
 @query("m12_fit_classifiers")
 def _(spark, d):
     rows = materialize(labelled(spark, d).withColumn("held", F.col("row_id") % 5 == 0), "rows")
-    out = None
-    for family in classifying.FAMILIES:
+
+    def run(family):
         model = classifying.classifier(family, NUMERIC, CATEGORICAL).fit(rows.where("not held"))
         scored = classifying.score_rows(model, rows.where("held"), ["row_id", "label"])
-        m = scoring.classification_metrics(scored).withColumn("family", F.lit(family))
-        out = m if out is None else out.unionByName(m)
-    return out
+        return scoring.classification_metrics(scored).withColumn("family", F.lit(family))
+
+    return reduce(DataFrame.unionByName, classifying.pooled(spark, run, classifying.FAMILIES, 4))
 
 
 @query("m13_residual_forecaster")
@@ -94,10 +98,14 @@ def _(spark, d):
     return classifying.row_scores(classifying.require_each_row(scores, 2))
 
 
-@query("m17_fold_metrics")
+@query("m17_fold_metrics", f"""
+with {FOLDED}, f as (select rep, fold, count(*) as n, count(*) filter (where label = 1) as p from folded group by 1, 2)
+select cast(rep as bigint) as repeat, cast(fold as bigint) as fold, {r('p / cast(n as double)', 'average_precision')}, cast(0.5 as double) as roc_auc, n - p as tn, cast(0 as bigint) as fp, p as fn, cast(0 as bigint) as tp from f
+""")
 def _(spark, d):
     scores = classifying.held_out_scores(labelled(spark, d), lambda: classifying.classifier("majority", NUMERIC, CATEGORICAL))
-    return classifying.fold_metrics(scores)
+    out = classifying.fold_metrics(scores).select("repeat", "fold", "average_precision", "roc_auc", "tn", "fp", "fn", "tp")
+    return rounded(out, skip=())
 
 
 @query("m18_nested_cutoff")

@@ -388,7 +388,7 @@ REPLICATES = 1000
 HEX = "cast('0x' || substr({0}, {1}, 8) as bigint)"
 
 
-@query("m20_stationary_bootstrap", f"""
+STATIONARY = f"""
 with {WEEKS}, w as (select row_number() over (order by week_start) - 1 as i, contrast from weeks), n as (select count(*) as n, avg(contrast) as m from w),
  g as (select b, rep, p, n, md5('42-' || b || '-' || rep || '-' || p) as h from (select unnest([2, 4, 6]) as b), (select unnest(generate_series(0, {REPLICATES - 1})) as rep), n,
   (select i as p from w)),
@@ -397,13 +397,18 @@ with {WEEKS}, w as (select row_number() over (order by week_start) - 1 as i, con
  dr as (select b, rep, avg(contrast) as draw from k join w on w.i = k.i group by 1, 2),
  q as (select b, any_value(m) as m, quantile_cont(draw, 0.025) as lo, quantile_cont(draw, 0.975) as hi, stddev_samp(draw) as se, count(*) filter (where abs(draw - m) >= abs(m)) as x from dr, n group by 1)
 select cast(b as bigint) as block, {r('m', 'estimate')}, {r('2 * m - hi', 'ci_lower')}, {r('2 * m - lo', 'ci_upper')}, {r('se', 'standard_error')}, x as extreme, {r(f'(1 + x) / cast({REPLICATES + 1} as double)', 'p_value')} from q
-""")
+"""
+
+
+@query("m20_stationary_bootstrap", STATIONARY)
 def _(spark, d):
     weeks = weekly.week_contrast(b.daily_shipments(spark, d))
     return rounded(resample.stationary_bootstrap(weeks, "week_start", "contrast", replicates=REPLICATES), skip=())
 
 
-@query("m20_stable_direction")
+@query("m20_stable_direction", f"""
+select min(ci_lower) > 0 as stable_positive, max(ci_upper) < 0 as stable_negative, min(ci_lower) > 0 or max(ci_upper) < 0 as stable from ({STATIONARY})
+""")
 def _(spark, d):
     weeks = weekly.week_contrast(b.daily_shipments(spark, d))
     return resample.stable_direction(resample.stationary_bootstrap(weeks, "week_start", "contrast", replicates=REPLICATES))

@@ -68,7 +68,8 @@ def classifier(family: str, numeric: Sequence[str], categorical: Sequence[str],
     common = {"featuresCol": features, "labelCol": "label", "probabilityCol": "_probability",
               "rawPredictionCol": "_rawscore", "predictionCol": "_class"}
     if family == "logistic":
-        stages.append(LogisticRegression(**common, maxIter=settings.pop("rounds", 50), regParam=settings.pop("alpha", 0.01), **settings))
+        stages.append(LogisticRegression(**common, maxIter=settings.pop("rounds", 50), regParam=settings.pop("alpha", 0.01),
+                                         tol=settings.pop("tol", 1e-4), **settings))
     elif family == "forest":
         stages.append(RandomForestClassifier(**common, seed=SEED, numTrees=settings.pop("trees", 40), maxDepth=settings.pop("depth", 6),
                                              minInstancesPerNode=settings.pop("leaf", 3), **settings))
@@ -89,7 +90,8 @@ def score_rows(model, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
     return out.select(*keep, "score")
 
 
-def _pooled(spark: SparkSession, run, jobs: Sequence, workers: int) -> list:
+def pooled(spark: SparkSession, run, jobs: Sequence, workers: int) -> list:
+    """Independent fits as concurrent Spark jobs, submitted from a few driver threads."""
     with ThreadPoolExecutor(max_workers=workers) as pool:
         return list(pool.map(inheritable_thread_target(spark)(run), jobs))
 
@@ -111,11 +113,11 @@ def held_out_scores(df: DataFrame, make, k: int = 5, repeats: int = 2, predictor
         held = part.where(F.col("fold") == fold)
         training = part.where(F.col("fold") != fold)
         if exclude_collisions:
-            training = joins.without_collisions(training, held, predictors)
+            training = materialize(joins.without_collisions(training, held, predictors), "training")
         scored = score_rows(make().fit(training), held, keep)
         return materialize(scored.withColumns({"repeat": F.lit(repeat), "fold": F.lit(fold)}), "scores")
 
-    parts = _pooled(df.sparkSession, run, [(r, f) for r in range(repeats) for f in range(k)], workers)
+    parts = pooled(df.sparkSession, run, [(r, f) for r in range(repeats) for f in range(k)], workers)
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -157,7 +159,7 @@ def nested_cutoff(df: DataFrame, make, target: float = 0.9, outer: int = 5, inne
             "policy_prediction", (F.col("score") >= F.col("selected_threshold")).cast("int"))
         return materialize(flagged, "policy")
 
-    parts = _pooled(df.sparkSession, run, range(outer), workers)
+    parts = pooled(df.sparkSession, run, range(outer), workers)
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

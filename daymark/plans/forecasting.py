@@ -10,6 +10,8 @@ import json
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
@@ -31,17 +33,18 @@ BASELINE_SQL = {
 }
 
 
-def _regressor(family: str, rows: int, settings: dict):
+def _regressor(family: str, penalty: float, settings: dict):
+    """``penalty`` turns a penalty on the plain sum of squares into Spark's ``regParam``."""
     s = dict(settings)
     common = {"featuresCol": "_features", "labelCol": "_target", "predictionCol": "_raw"}
     if family == "ridge":
-        return LinearRegression(**common, weightCol="_weight", solver="normal", regParam=s.pop("alpha", 1.0) / rows,
+        return LinearRegression(**common, weightCol="_weight", solver="normal", regParam=s.pop("alpha", 1.0) * penalty,
                                 elasticNetParam=0.0, **s)
     if family == "elastic":
         return LinearRegression(**common, weightCol="_weight", regParam=s.pop("alpha", 1.0),
                                 elasticNetParam=s.pop("l1_ratio", 0.5), **s)
     if family == "huber":
-        return LinearRegression(**common, weightCol="_weight", loss="huber", regParam=s.pop("alpha", 0.0001) / rows,
+        return LinearRegression(**common, weightCol="_weight", loss="huber", regParam=s.pop("alpha", 0.0001) * penalty,
                                 epsilon=s.pop("epsilon", 1.35), **s)
     if family == "forest":
         return RandomForestRegressor(**common, weightCol="_weight", seed=SEED, numTrees=s.pop("trees", 50),
@@ -69,6 +72,16 @@ class ResidualForecaster(Estimator):
         return {"family": self.family, "feature_set": self.feature_set, "target": self.target,
                 "half_life": self.half_life, **self.settings}
 
+    def _penalty(self, prepared: DataFrame) -> float:
+        if self.family not in ("ridge", "huber"):
+            return 1.0
+        w, y = F.col("_weight"), F.col("_target")
+        total, first, second = prepared.agg(F.sum(w), F.sum(w * y), F.sum(w * y * y)).first()
+        if self.family == "huber":
+            return 1.0 / total
+        # The least-squares solver scales the label to unit deviation before it applies regParam.
+        return max(second / total - (first / total) ** 2, 1e-24) ** 0.5 / total
+
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         features = history.FEATURE_SETS[self.feature_set]
         rows = dataset
@@ -81,8 +94,7 @@ class ResidualForecaster(Estimator):
         scale = StandardScaler(inputCol="_plain", outputCol="_features", withMean=True, withStd=True).fit(
             assemble.transform(rows))
         prepared = scale.transform(assemble.transform(rows)).select("_features", "_target", "_weight")
-        count = prepared.count() if self.family in ("ridge", "huber") else 0
-        model = _regressor(self.family, max(1, count), self.settings).fit(prepared)
+        model = _regressor(self.family, self._penalty(prepared), self.settings).fit(prepared)
         if self.target == "log":
             back = "expm1(least(16D, greatest(0D, _raw)))"
         else:
@@ -133,29 +145,78 @@ def blend_models(models: Sequence[tuple[PipelineModel, float]], frame: DataFrame
     return frame.withColumn(output, blend(weights)).drop(*weights)
 
 
+RESULT = "candidate int, setting string, fold int, mae double, days long"
+
+
 def grid_search_chrono(frame: DataFrame, candidates: Sequence[ResidualForecaster], splits: int = 3, test_size: int = 21,
                        series: Sequence[str] = ("series",), day: str = "date", value: str = "trips",
-                       workers: int = 4) -> DataFrame:
+                       workers: int = 8) -> DataFrame:
     """Action: fit every setting on every expanding fold. Returns one row per (setting, fold).
 
-    The feature frame is written once; each fit is its own Spark job, submitted from a small
-    pool of driver threads so that independent fits fill the cluster together.
+    Ridge settings are solved inside tasks, one per (setting, fold): a fold of a daily series is
+    bounded by the calendar, so the whole grid is one Spark job. Other families are fitted by
+    ``pyspark.ml`` jobs, submitted from a small pool of driver threads.
     """
     spark = frame.sparkSession
-    folds = materialize(expanding_folds(frame, splits, test_size, 0, series, day), "folds")
-
-    def run(job: tuple[int, ResidualForecaster, int]) -> tuple:
-        index, candidate, fold = job
-        part = folds.where(F.col("fold") == fold)
-        model = candidate.fit(part.where("role = 'train'"))
-        scored = model.transform(part.where("role = 'check'"))
-        m = scoring.regression_metrics(scored, actual=value, predicted=candidate.output).first()
-        return (index, json.dumps(candidate.describe(), sort_keys=True), fold, m["mae"], m["days"])
-
-    jobs = [(i, c, f) for i, c in enumerate(candidates) for f in range(splits)]
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        rows = list(pool.map(inheritable_thread_target(spark)(run), jobs))
-    return spark.createDataFrame(rows, "candidate int, setting string, fold int, mae double, days long")
+    folds = expanding_folds(frame, splits, test_size, 0, series, day)
+    solved = [(i, c) for i, c in enumerate(candidates) if c.family == "ridge"]
+    fitted = [(i, c) for i, c in enumerate(candidates) if c.family != "ridge"]
+    out = _ridge_grid(folds, solved, day, value) if solved else None
+    if fitted:
+        stored = materialize(folds, "folds")
+
+        def run(job: tuple[int, ResidualForecaster, int]) -> tuple:
+            index, candidate, fold = job
+            part = stored.where(F.col("fold") == fold)
+            model = candidate.fit(part.where("role = 'train'"))
+            scored = model.transform(part.where("role = 'check'"))
+            m = scoring.regression_metrics(scored, actual=value, predicted=candidate.output).first()
+            return (index, json.dumps(candidate.describe(), sort_keys=True), fold, m["mae"], m["days"])
+
+        jobs = [(i, c, f) for i, c in fitted for f in range(splits)]
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            rows = list(pool.map(inheritable_thread_target(spark)(run), jobs))
+        table = spark.createDataFrame(rows, RESULT)
+        out = table if out is None else out.unionByName(table)
+    return out
+
+
+def _ridge_grid(folds: DataFrame, candidates: Sequence[tuple[int, ResidualForecaster]], day: str, value: str) -> DataFrame:
+    plans = {i: (json.dumps(c.describe(), sort_keys=True), history.FEATURE_SETS[c.feature_set], c.target,
+                 c.half_life, float(c.settings.get("alpha", 1.0))) for i, c in candidates}
+    weekly = ["lag_1", "lag_7", "weekly_mean_4", "mean_7"]
+    needed = sorted({n for _, names, _, _, _ in plans.values() for n in names} | set(weekly))
+
+    def baseline(rows: pd.DataFrame, target: str) -> np.ndarray:
+        name = {"residual7": "lag_7", "residualweekly": "weekly_mean_4", "delta1": "lag_1"}.get(target)
+        if target == "residualblend":
+            return (rows["lag_7"].to_numpy(float) + rows["mean_7"].to_numpy(float)) / 2
+        return rows[name].to_numpy(float) if name else np.zeros(len(rows))
+
+    def solve(key, rows: pd.DataFrame) -> pd.DataFrame:
+        candidate, fold = key
+        setting, names, target, half_life, alpha = plans[candidate]
+        rows = rows.sort_values(day)
+        train, check = rows[rows["role"] == "train"], rows[rows["role"] == "check"]
+        y = train[value].to_numpy(float)
+        y = np.log1p(y) if target == "log" else y - baseline(train, target)
+        weight = np.exp2(np.arange(1 - len(y), 1) / half_life) if half_life else np.ones(len(y))
+        x = train[names].to_numpy(float)
+        centre, spread = x.mean(axis=0), x.std(axis=0)
+        spread[spread == 0] = 1.0
+        x = (x - centre) / spread
+        x_mean, y_mean = np.average(x, axis=0, weights=weight), np.average(y, weights=weight)
+        x = x - x_mean
+        pull = (x * weight[:, None]).T
+        coef = np.linalg.solve(pull @ x + alpha * np.eye(x.shape[1]), pull @ (y - y_mean))
+        raw = ((check[names].to_numpy(float) - centre) / spread - x_mean) @ coef + y_mean
+        guess = np.expm1(np.clip(raw, 0, 16)) if target == "log" else raw + baseline(check, target)
+        error = np.abs(np.maximum(0, guess) - check[value].to_numpy(float))
+        return pd.DataFrame([(candidate, setting, fold, error.mean(), len(error))],
+                            columns=["candidate", "setting", "fold", "mae", "days"])
+
+    spread_out = folds.select(day, value, "fold", "role", *needed, F.explode(F.array(*[F.lit(i) for i in plans])).alias("candidate"))
+    return spread_out.groupBy("candidate", "fold").applyInPandas(solve, RESULT)
 
 
 def search_board(results: DataFrame) -> DataFrame:

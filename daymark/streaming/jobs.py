@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from daymark.operators.joins import route_with_fallback
@@ -45,22 +46,26 @@ def split_late_rows(rows: DataFrame, start: str = "started_at", delay: str = "1
     spark = rows.sparkSession
     schema = rows.schema
 
+    newest_so_far = "newest timestamp_ntz"
+
     def handle(batch: DataFrame, batch_id: int, base: str) -> None:
         session = batch.sparkSession
-        earlier = [f"{base}/newest/{i}" for i in range(batch_id)]
-        if earlier:
-            bound = session.read.schema("newest timestamp_ntz").parquet(*earlier).select(
-                (F.max("newest") - F.expr(f"INTERVAL {delay}"))).scalar()
+        here = F.max(F.col(start).cast("timestamp_ntz")).alias("newest")
+        late = F.lit(False)
+        if batch_id:
+            before = session.read.schema(newest_so_far).parquet(f"{base}/newest/{batch_id - 1}")
+            bound = before.select(F.max("newest") - F.expr(f"INTERVAL {delay}")).scalar()
+            batch = batch.withColumn("_bound", bound)
             late = F.coalesce(F.col(start) < F.col("_bound"), F.lit(False))
-            marked = batch.withColumn("_bound", bound).withColumn("_late", late).drop("_bound")
-        else:
-            marked = batch.withColumn("_late", F.lit(False))
-        marked.write.mode("overwrite").parquet(f"{base}/rows/batch={batch_id}")
-        saved = session.read.schema(schema).parquet(f"{base}/rows/batch={batch_id}")
-        saved.agg(F.max(F.col(start).cast("timestamp_ntz")).alias("newest")).write.mode("overwrite").parquet(f"{base}/newest/{batch_id}")
+        batch.withColumn("_late", late).select(*schema.names, "_late").write.mode("overwrite").parquet(
+            f"{base}/rows/batch={batch_id}")
+        newest = session.read.schema(schema).parquet(f"{base}/rows/batch={batch_id}").agg(here)
+        if batch_id:
+            newest = newest.unionByName(before).agg(F.max("newest").alias("newest"))
+        newest.write.mode("overwrite").parquet(f"{base}/newest/{batch_id}")
 
     base = run_batches(rows, handle, "late")
-    table = spark.read.schema(schema.add("_late", "boolean") if "_late" not in schema.names else schema).parquet(f"{base}/rows")
+    table = spark.read.schema(StructType([*schema.fields, StructField("_late", BooleanType())])).parquet(f"{base}/rows")
     return table.where(~F.col("_late")).select(*rows.columns), table.where("_late").select(*rows.columns)
 
 
