@@ -38,8 +38,10 @@ def _box_columns(dims: Sequence[str]) -> list[Column]:
     return [F.min(d).alias(f"_lo{i}") for i, d in enumerate(dims)] + [F.max(d).alias(f"_hi{i}") for i, d in enumerate(dims)]
 
 
-def _with_cell(df: DataFrame, cuts: DataFrame, key: str, dims: Sequence[str], per_axis: int) -> DataFrame:
+def _with_cell(df: DataFrame, cuts: DataFrame | None, key: str, dims: Sequence[str], per_axis: int) -> DataFrame:
     """``_cell`` from the fitted cuts: a slab along the first axis, then a part along the second."""
+    if cuts is None:
+        return df.withColumn("_cell", F.lit(0))
     out = df.join(cuts, key, "left")
     out = out.withColumn("_slab", F.size(F.filter("_first", lambda c: c < F.col(dims[0]))))
     second = dims[1] if len(dims) > 1 else dims[0]
@@ -65,15 +67,15 @@ def nearest(queries: DataFrame, points: DataFrame, dims: Sequence[str], k: int,
     """The ``k`` nearest points of every distinct query coordinate, nearest first, ties by id.
 
     Returns (key, dims, point_id, carry, distance); join it to query rows on key and dims.
-    Only rows of equal ``key`` are compared. Action: writes the reduced points once, counts
-    them and reads one box per cell (at most ``MOST_CELLS`` in all).
+    Only rows of equal ``key`` are compared. Action: writes both reduced sides once, counts the
+    points and reads one box per cell (at most ``MOST_CELLS`` in all).
     """
     made_key = key is None
     key = key or "_stratum"
     if made_key:
         queries, points = queries.withColumn(key, F.lit("all")), points.withColumn(key, F.lit("all"))
     as_double = {d: F.col(d).cast("double") + F.lit(0.0) for d in dims}
-    asked = queries.select(key, *dims).withColumns(as_double).dropna().distinct()
+    asked = materialize(queries.select(key, *dims).withColumns(as_double).dropna().distinct(), "spots")
     held = points.select(key, point_id, *dims, *carry).withColumns(as_double).dropna(subset=[*dims, point_id])
     held = materialize(top_per_group(held, [key, *dims], [F.col(point_id)], k), "points")
 
@@ -81,7 +83,8 @@ def nearest(queries: DataFrame, points: DataFrame, dims: Sequence[str], k: int,
     largest = held.groupBy(key).count().agg(F.max("count"), F.count(F.lit(1))).first()
     cells = int(min(MOST_CELLS // max(1, largest[1]), max(1, (largest[0] or 0) // POINTS_PER_CELL)))
     per_axis = max(1, int(np.ceil(np.sqrt(cells)))) if len(dims) > 1 else max(1, cells)
-    cuts = _fit_cuts(held, key, dims, per_axis)
+    # Few enough points for one cell need no cuts; else the cuts are one small row per key.
+    cuts = materialize(_fit_cuts(held, key, dims, per_axis), "cuts") if per_axis > 1 else None
     held = _with_cell(held, cuts, key, dims, per_axis)
     asked = _with_cell(asked, cuts, key, dims, per_axis)
 

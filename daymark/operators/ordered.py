@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from daymark.session import materialize
+
 _STRIDE = 16
 
 
@@ -37,7 +39,7 @@ def with_value_range(df: DataFrame, order: str, weights: Sequence[str], out: str
     for name in weights:
         used = used + F.abs(F.col(name).cast("double"))
     cuts = df.select(
-        F.percentile_approx(F.when(used >= 0, F.col(order)), probabilities, 20000).alias("fine")
+        F.percentile_approx(F.when(used >= 0, F.col(order)), probabilities, max(400, 4 * ranges)).alias("fine")
     ).select(
         F.struct(
             F.col("fine"),
@@ -106,6 +108,16 @@ def numbered(df: DataFrame, order: Sequence[str], bucket: Column, keys: Sequence
     return run.select(*df.columns, F.col("_one_upto").alias(out), F.col("_one_all").alias(f"{out}_of"))
 
 
+def with_written_range(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
+    """Action: add ``out``, a range index over any sortable columns (text included).
+
+    Spark samples the range bounds, so the rows are written with their range once; whatever is
+    recomputed later reads the same ranges.
+    """
+    spread = df.repartitionByRange(range_count(df), *order).withColumn(out, F.spark_partition_id())
+    return materialize(spread, "ranges")
+
+
 def value_ranks(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """One row per distinct value: ``n`` rows, running count and the mean rank of its ties."""
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))

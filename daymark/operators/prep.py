@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daymark.operators.ordered import numbered, quantiles, value_ranks
+from daymark.operators.ordered import numbered, quantiles, value_ranks, with_written_range
 from daymark.operators.profile import long_values
 
 POOLED = "__POOLED__"
@@ -97,13 +97,16 @@ def apply_quantile_normal(df: DataFrame, column: str, landmarks: Sequence[float]
 
 
 def fit_levels(training: DataFrame, columns: Sequence[str], min_frequency: int = 1) -> DataFrame:
-    """Kept levels per column with their rows and 0-based index in level order."""
+    """Action: kept levels per column with their rows and 0-based index in level order.
+
+    A column may have any number of levels, so they are numbered range by range."""
     long = training.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in columns
     ]))).where(F.col("level").isNotNull())
     counts = long.groupBy("column", "level").agg(F.count(F.lit(1)).alias("rows"))
     seen = counts.withColumn("kept", F.col("rows") >= min_frequency)
-    kept = numbered(seen.where("kept"), ["level"], F.ascii("level"), ["column"])
+    seen = with_written_range(seen, ["column", "level"], "_part")
+    kept = numbered(seen.where("kept"), ["level"], F.col("_part"), ["column"])
     pooled = seen.where(~F.col("kept"))
     return kept.select("column", "level", "rows", (F.col("position") - 1).alias("index")).unionByName(
         pooled.select("column", "level", "rows", F.lit(-2).cast("long").alias("index")))

@@ -128,9 +128,10 @@ def _(spark, d):
 
 
 @query("m24_rolling_evaluation", f"""
-with {LAGGED}, {b.DAILY_ORDERS}, h as (select l.date, cast(l.trips as double) as actual, cast(l.lag_7 as double) as lag_7,
+with {LAGGED}, {b.DAILY_ORDERS}, full_history as (select date, count(*) over (order by date range between interval 28 days preceding and interval 1 day preceding) as held from daily),
+ h as (select l.date, cast(l.trips as double) as actual, cast(l.lag_7 as double) as lag_7,
   coalesce(cast(o.trips * 4 as double), (lag_1 + lag_2 + lag_3 + lag_4 + lag_5 + lag_6 + lag_7) / cast(7 as double)) as prediction, o.date is not null as whole
- from lagged l left join odaily o on l.date = o.date where l.lag_28 is not null and l.date >= date '2001-01-01'),
+ from lagged l left join odaily o on l.date = o.date where l.date >= date '2001-01-01' and l.date in (select date from full_history where held = 28)),
  s as (select 'all' as subset, * from h union all select 'weather_complete', * from h where whole),
  m as (select subset, {METRICS}, avg(abs(actual - lag_7)) as lag_7_mae from s group by 1)
 select subset, {rs('mae', 'rmse', 'wape', 'bias')}, days, {rs('lag_7_mae')}, {r('1 - mae / lag_7_mae', 'improvement')} from m

@@ -39,7 +39,7 @@ def _regressor(family: str, penalty: float, settings: dict):
     common = {"featuresCol": "_features", "labelCol": "_target", "predictionCol": "_raw"}
     if family == "ridge":
         return LinearRegression(**common, weightCol="_weight", solver="normal", regParam=s.pop("alpha", 1.0) * penalty,
-                                elasticNetParam=0.0, **s)
+                                elasticNetParam=0.0, standardization=False, **s)
     if family == "elastic":
         return LinearRegression(**common, weightCol="_weight", regParam=s.pop("alpha", 1.0),
                                 elasticNetParam=s.pop("l1_ratio", 0.5), **s)
