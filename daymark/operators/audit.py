@@ -64,7 +64,7 @@ def issue_counts(df: DataFrame, year: int, start: str = "started_at", end: str =
     """
     s, e = F.col(start), F.col(end)
     kept = starts_in_year(start, year)
-    seconds = (F.unix_micros(e.cast("timestamp")) - F.unix_micros(s.cast("timestamp"))) / F.lit(1e6)
+    seconds = clock.seconds_between(s, e)
     out = {
         "unparsed_start": s.isNull(),
         "unparsed_end": e.isNull(),

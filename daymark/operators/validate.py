@@ -34,7 +34,7 @@ def validate_daily(daily: DataFrame, day: str = "date", value: str = "trips", se
     """One row of booleans per series (or in all)."""
     number = F.col(value).cast("double")
     good_value = F.coalesce(_finite(F.col(value)) & (number >= 0) & (number == F.floor(number)), F.lit(False))
-    midnight = F.coalesce(F.date_trunc("day", F.col(day).cast("timestamp")) == F.col(day).cast("timestamp"), F.lit(False))
+    midnight = F.coalesce(F.col(day).cast("date").cast("timestamp_ntz") == F.col(day).cast("timestamp_ntz"), F.lit(False))
     per_day = daily.groupBy(*series, F.col(day).cast("date").alias("_day")).agg(
         F.count(F.lit(1)).alias("_n"), F.count_if(~good_value).alias("_bad"), F.count_if(~midnight).alias("_clock"))
     days = F.count(F.lit(1))

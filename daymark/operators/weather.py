@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymark.functions.clock import local_date
+from daymark.functions.clock import local_date, utc_clock
 
 NEW_YORK = "America/New_York"
 # Fixed value: rain below this is an error, above it a rounding artefact that counts as zero.
@@ -24,7 +24,7 @@ def hourly_to_daily(hourly: DataFrame, values: Sequence[str], instant: str = "in
     for v in values:
         out += [F.when(whole, F.avg(v)).alias(f"{v}_mean"), F.when(whole, F.min(v)).alias(f"{v}_min"),
                 F.when(whole, F.max(v)).alias(f"{v}_max")]
-    return hourly.groupBy(local_date(F.col(instant), zone).alias("date")).agg(*out)
+    return hourly.groupBy(local_date(utc_clock(hourly, instant), zone).alias("date")).agg(*out)
 
 
 def rain_wind_daily(hourly: DataFrame, rain: str = "rain", wind: str = "wind", instant: str = "instant",
@@ -34,7 +34,7 @@ def rain_wind_daily(hourly: DataFrame, rain: str = "rain", wind: str = "wind", i
     A rain stamp closes its hour, so one elapsed hour is taken off the instant before it is
     dated; wind is dated as stamped. Rain between -0.1 and 0 counts as zero and is reported.
     """
-    at = F.col(instant).cast("timestamp")
+    at = utc_clock(hourly, instant)
     rain_day = local_date(at - F.expr("INTERVAL 1 HOUR"), zone)
     wind_day = local_date(at, zone)
     refused = F.raise_error(F.lit("forecast value is missing, not finite or too negative")).cast("double")

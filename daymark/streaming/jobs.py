@@ -19,7 +19,11 @@ FEATURES = ("{series} string, date date, trips bigint, weekday int, month int, l
 
 
 def with_event_time(rows: DataFrame, start: str, delay: str) -> DataFrame:
-    """A watermark needs an instant; the clock label is read as UTC for that."""
+    """A watermark needs an instant, so the clock label is read as UTC; the session must agree,
+    or day windows would not start at the label's midnight."""
+    zone = rows.sparkSession.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"set spark.sql.session.timeZone to UTC for day windows, not {zone}")
     return rows.withColumn(start, F.col(start).cast("timestamp")).withWatermark(start, delay)
 
 

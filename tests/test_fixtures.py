@@ -25,9 +25,24 @@ def days(spark, first, values, series="all"):
 # Clocks and ids -------------------------------------------------------------------------
 
 def test_clock_labels(spark):
-    df = spark.createDataFrame([("2023-01-01 00:00:05",), ("2023-01-01 00:00:05.250",), ("soon",), (None,)], "t string")
+    texts = ["2023-01-01 00:00:05", "2023-01-01 00:00:05.250", "1/31/2015 13:05", "2/30/2015 13:05", "12:30:00", "soon", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in df.select(clock.parse_clock(F.col("t"))).collect()]
-    assert got == [datetime(2023, 1, 1, 0, 0, 5), datetime(2023, 1, 1, 0, 0, 5, 250000), None, None]
+    assert got == [datetime(2023, 1, 1, 0, 0, 5), datetime(2023, 1, 1, 0, 0, 5, 250000), datetime(2015, 1, 31, 13, 5), None, None, None, None]
+
+
+def test_labels_do_not_depend_on_the_session_zone(spark):
+    df = spark.createDataFrame([("2023-03-12 02:30:00", "2023-03-12 03:30:00")], "s string, e string")
+    clocks = df.select(clock.parse_clock(F.col("s")).alias("s"), clock.parse_clock(F.col("e")).alias("e"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = clocks.select("s", clock.seconds_between(F.col("s"), F.col("e")).alias("gap")).first()
+        day = hours(spark, "2023-11-05 00:00:00", "2023-11-05 23:00:00").withColumn("temp", F.lit(1.0))
+        assert weather.hourly_to_daily(day, ["temp"]).collect()[0]["hours"] == 25
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert (row["s"], row["gap"]) == (datetime(2023, 3, 12, 2, 30), 3600.0)
 
 
 @pytest.mark.parametrize("text", ["2023-01-01 00:00:05+05:00", "2023-01-01T00:00:05Z", "2023-01-01 00:00 -0400"])
