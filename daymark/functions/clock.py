@@ -36,6 +36,12 @@ def is_hex_id(text: Column) -> Column:
     return F.coalesce(text.rlike(HEX_ID_PATTERN), F.lit(False))
 
 
+def ride_key(text: Column) -> Column:
+    """One spelling per id: upper and lower case name the same ride. Not an id is an error."""
+    refused = F.raise_error(F.concat(F.lit("not a ride id: "), F.coalesce(text, F.lit("null")))).cast("string")
+    return F.when(is_hex_id(text), F.upper(text)).otherwise(refused)
+
+
 def member_tail(member: Column) -> Column:
     """Last part of ``outer.zip!/inner.zip!/file.csv``."""
     return F.element_at(F.split(member, "!/"), -1)

@@ -49,7 +49,9 @@ def stationary_draws(df: DataFrame, order: str, value: str, blocks: Sequence[int
         return F.struct((acc["total"] + F.element_at("_values", (moved["at"] + 1).cast("int"))).alias("total"),
                         moved["at"].alias("at"))
 
-    walked = reps.withColumn("_w", F.aggregate(F.sequence(F.lit(0), F.col("_n") - 1), start, add))
+    long_enough = F.when(F.col("_n") >= 2 * F.col("block"), F.col("_n")).otherwise(
+        F.raise_error(F.lit("too few observations for the block length")).cast("int"))
+    walked = reps.withColumn("_w", F.aggregate(F.sequence(F.lit(0), long_enough - 1), start, add))
     return walked.select("block", "replicate", (F.col("_w.total") / F.col("_n")).alias("draw"))
 
 

@@ -30,6 +30,11 @@ def differences(left: DataFrame, right: DataFrame) -> DataFrame:
             .where(F.col("surplus") != 0))
 
 
+def overlap_differences(extended: DataFrame, ordinary: DataFrame, on: Sequence[str] = ("date",)) -> DataFrame:
+    """Rows of the overlap that an extended history changed; none are expected."""
+    return differences(extended.join(ordinary.select(*on), list(on), "left_semi"), ordinary)
+
+
 def frames_equal(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: ``equal`` and the number of differing rows."""
     return differences(left, right).agg(F.count(F.lit(1)).alias("differing_rows")).withColumn(

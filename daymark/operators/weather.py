@@ -14,6 +14,12 @@ NEW_YORK = "America/New_York"
 LOWEST_RAIN = -0.1
 
 
+def trim_to_days(hourly: DataFrame, first: str, last: str, instant: str = "instant", zone: str = NEW_YORK) -> DataFrame:
+    """Hours whose local date lies in [first, last]; a response usually overlaps both ends."""
+    day = local_date(utc_clock(hourly, instant), zone)
+    return hourly.where(day.between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+
+
 def hourly_to_daily(hourly: DataFrame, values: Sequence[str], instant: str = "instant", zone: str = NEW_YORK) -> DataFrame:
     """Mean, min and max per local date. One null hour makes that day's values null, all of them."""
     complete = F.lit(0)

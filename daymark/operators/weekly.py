@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from daymark.functions.calendar import weekday
 from daymark.functions.numeric import ratio
+from daymark.operators.validate import require_daily
 
 
 def _weeks(daily: DataFrame, day: str, value: str) -> DataFrame:
@@ -29,6 +30,20 @@ def week_contrast(daily: DataFrame, day: str = "date", value: str = "trips") ->
     return out.withColumn("contrast", ratio(F.col("difference"), F.col("week_mean")))
 
 
+def planned_contrast(daily: DataFrame, first: str, last: str, reserved_from: str, day: str = "date",
+                     value: str = "trips") -> DataFrame:
+    """Action: contrasts of a planned period, which must be covered day by day and end before the
+    reserved period."""
+    if last >= reserved_from:
+        raise ValueError("the analysis must end before the reserved period")
+    inside = daily.where(F.col(day).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+    require_daily(inside, day=day, value=value)
+    seen = inside.agg(F.min(day).cast("string"), F.max(day).cast("string")).first()
+    if tuple(seen) != (first, last):
+        raise ValueError(f"dates cover {tuple(seen)}, the plan is {(first, last)}")
+    return week_contrast(inside, day, value)
+
+
 def excluded_dates(daily: DataFrame, day: str = "date") -> DataFrame:
     """Dates of weeks without all seven days."""
     weeks = daily.select(F.col(day).alias("date"), F.date_trunc("week", F.col(day)).cast("date").alias("week_start"))

@@ -44,7 +44,7 @@ def test_feature_frame_sorts_once(spark, small):
 def test_table_equality_takes_one_wide_shuffle(spark, small):
     a = b.daily_orders(spark, small)
     text = plan(sets.differences(a, a))
-    assert text.count("Exchange hashpartitioning") == 3  # the two daily counts and the comparison
+    assert text.count("Exchange hashpartitioning") <= 3  # at most the two daily counts and the comparison
 
 
 def test_scores_are_shuffled_once(spark, small):
