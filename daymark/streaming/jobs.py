@@ -14,6 +14,7 @@ from daymark.operators.joins import route_with_fallback
 from daymark.streaming.runner import run_batches
 
 HISTORY_DAYS = 28
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 FEATURES = ("{series} string, date date, trips bigint, weekday int, month int, lag_1 bigint, lag_7 bigint, "
             "past_7_day_mean double, gap_days int")
 
@@ -109,7 +110,11 @@ class HistoryFeatures(StatefulProcessor):
 
 
 def history_features(closed_days: DataFrame, series: str = "series") -> DataFrame:
-    """Features from a stream of closed daily totals (series, date, trips), one row per day in."""
+    """Features from a stream of closed daily totals (series, date, trips), one row per day in.
+
+    Spark keeps such state in RocksDB only, so the session is pointed at that store.
+    """
+    closed_days.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     return closed_days.groupBy(series).transformWithStateInPandas(
         statefulProcessor=HistoryFeatures(series), outputStructType=FEATURES.format(series=series),
         outputMode="Append", timeMode="None")
