@@ -25,7 +25,7 @@ def _(spark, d):
 
 
 @query("s4_hourly_from_json", f"""
-with {b.HOURLY} select cast(epoch(instant) as bigint) as epoch_seconds, round(temp, 6) + 0.0 as temp, round(rain, 6) + 0.0 as rain from hourly
+with {b.HOURLY} select cast(epoch(instant) as bigint) as epoch_seconds, round(temp, 9) + 0.0 as temp, round(rain, 6) + 0.0 as rain from hourly
 """)
 def _(spark, d):
     # Each day's hours are written as one response of parallel arrays and read back.
@@ -35,7 +35,7 @@ def _(spark, d):
     response = packed.select(F.to_json(F.struct(F.struct(
         F.col("h.t").alias("time"), F.col("h.temp").alias("temp"), F.col("h.rain").alias("rain")).alias("hourly"))).alias("json"))
     out = hourly_json.hourly_from_json(response, ["temp", "rain"])
-    return out.select(F.unix_timestamp("instant").alias("epoch_seconds"), r6("temp").alias("temp"), r6("rain").alias("rain"))
+    return out.select(F.unix_timestamp("instant").alias("epoch_seconds"), r6("temp", 9).alias("temp"), r6("rain").alias("rain"))
 
 
 @query("s8_verify_manifest", """
@@ -341,12 +341,12 @@ def _holes(spark, d):
 
 @query("a9_hourly_to_daily", f"""
 with {_HOURS} select {b.LOCAL.format('instant')} as date, count(*) as hours,
- case when count(*) = count(temp) then round(avg(temp), 6) end as temp_mean, case when count(*) = count(temp) then min(temp) end as temp_min,
- case when count(*) = count(temp) then max(temp) end as temp_max from holes group by 1
+ case when count(*) = count(temp) then round(avg(temp), 9) end as temp_mean, case when count(*) = count(temp) then round(min(temp), 9) end as temp_min,
+ case when count(*) = count(temp) then round(max(temp), 9) end as temp_max from holes group by 1
 """)
 def _(spark, d):
     out = weather.hourly_to_daily(_holes(spark, d), ["temp"])
-    return out.withColumns({"temp_mean": r6("temp_mean"), "temp_min": F.col("temp_min"), "temp_max": F.col("temp_max")})
+    return out.withColumns({"temp_mean": r6("temp_mean", 9), "temp_min": r6("temp_min", 9), "temp_max": r6("temp_max", 9)})
 
 
 @query("a10_rain_wind_daily", f"""
