@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daymark.llm import exact_dedup, language, licenses, packing, secrets, toxicity
+from daymark.llm import decontamination, exact_dedup, language, licenses, near_dedup, packing, repeats, secrets, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,25 @@ def op1(spark, sf_dir):
     return licenses.scan_documents(read(spark, sf_dir))
 
 
+@query("op2_decontamination", r"""
+with d as (
+  select doc_id as id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from documents
+), i as (
+  select item_id as id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from benchmark
+), dg as (
+  select distinct id as doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' '))
+                                            else [array_to_string(w, ' ')] end) as gram from d where len(w) > 0
+), ig as (
+  select distinct id as item_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' '))
+                                             else [array_to_string(w, ' ')] end) as gram from i where len(w) > 0
+), n as (select item_id, count(*) as n from ig group by 1)
+select item_id, doc_id, count(*) as shared, n as item_shingles, count(*) / n as containment
+from dg join ig using (gram) join n using (item_id) group by item_id, doc_id, n having count(*) >= 0.8 * n - 1e-9
+""")
+def op2(spark, sf_dir):
+    return decontamination.contained(read(spark, sf_dir), read(spark, sf_dir, "benchmark"))
+
+
 @query("op3_exact_dedup", """
 select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size, doc_id = max(doc_id) over g as kept,
        sha256(coalesce(text, '')) as text_sha256
@@ -49,11 +68,21 @@ def op4(spark, sf_dir):
     return toxicity.toxicity(read(spark, sf_dir), read(spark, sf_dir, "labels"))
 
 
+@query("op5_near_dedup")
+def op5(spark, sf_dir):
+    return near_dedup.near_duplicates(read(spark, sf_dir))
+
+
 @query("op6_secret_scan")
 def op6(spark, sf_dir):
     return secrets.scan_documents(read(spark, sf_dir))
 
 
+@query("op8_repeat_removal")
+def op8(spark, sf_dir):
+    return repeats.remove_repeats(read(spark, sf_dir))
+
+
 @query("op9_packing")
 def op9(spark, sf_dir):
     return packing.pack_documents(read(spark, sf_dir), *tokenizer_files())
