@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daymark.llm import decontamination, exact_dedup, language, licenses, near_dedup, packing, repeats, secrets, toxicity
+from daymark.llm import decontamination, exact_dedup, language, licenses, near_dedup, packing, personal_data, repeats, secrets, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -78,6 +78,11 @@ def op6(spark, sf_dir):
     return secrets.scan_documents(read(spark, sf_dir))
 
 
+@query("op7_personal_data")
+def op7(spark, sf_dir):
+    return personal_data.find(read(spark, sf_dir))
+
+
 @query("op8_repeat_removal")
 def op8(spark, sf_dir):
     return repeats.remove_repeats(read(spark, sf_dir))
