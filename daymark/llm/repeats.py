@@ -10,16 +10,17 @@ dictionary entry is the fingerprint of all bytes its strings cover.
 1. Phrases are dealt by the fingerprint of the ``KEY`` bytes at their trigger, which equal strings share,
    and sorted by (trigger, entry, document, start): the corpus order of the dictionary. Phrases with a
    trigger seen once are done. Of equal entries all but the first go whole.
-2. Only where one trigger has several entries, the strings of each entry's first phrase are fingerprinted
-   and sorted the same way; all but the first of equal strings go.
+2. Only where one trigger has several entries, the bytes of each entry's first phrase meet at the trigger,
+   their strings are fingerprinted and sorted, and all but the first of equal strings go.
 
 Sorting entries and strings by 64-bit fingerprint takes the place of the two suffix arrays: only equality
 of ``LENGTH`` bytes and the order of documents matter, not the alphabet's order, and sorted fingerprints
 can be dealt over tasks, which one suffix array of the parse cannot.
 
 Hot phrases are settled before the shuffle: of equal entries in one block of a task only the first moves
-on, so a passage in a third of all documents sends one row per block, and a trigger with many entries in a
-block sends its phrases straight to step 2 behind one mark.
+on, so a passage in a third of all documents sends one row per block. A trigger with many entries sends its
+phrases straight to step 2, behind one mark per block, and there as fingerprints of single strings, settled
+by block in the same way. Texts travel compressed.
 
 Defined cases: null text counts as empty; documents shorter than ``LENGTH`` bytes keep all bytes; rows
 that repeat doc_id and text are one document and both get its result; rows with a null id count as one
@@ -34,6 +35,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,10 +50,14 @@ GRAM = 16
 CHUNK_BYTES = 4_000_000
 BLOCK_ROWS = 400_000
 HOT_ENTRIES = 64
+WIDE_ENTRIES = 1000
 NULL_ID = -(1 << 63)
-GONE, OPEN, TO_SORT, MARK = 0, 1, 2, 3
-ROWS = "key long, entry long, doc long, first int, last int, kind int"
-MARKS = "doc long, first int, last int, kind int"
+#: Kinds of rows: decided to go, to be compared by string, to be sorted, mark of a hot trigger; open and hot.
+GONE, OPEN, TO_SORT, MARK, WIDE = 0, 1, 2, 3, 4
+#: The two low bits of an entry are the row's kind; a span holds the first string start above the last.
+ROWS = "key long, entry long, doc long, span long, context binary"
+MARKS = "doc long, span long, kind int"
+LOW = np.int64((1 << 32) - 1)
 BASE = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -133,14 +139,35 @@ def settle(key, entry, doc, first, last, split_hot: bool) -> Iterator[pa.RecordB
         marks = np.flatnonzero(hot & heads)
     else:
         marks = np.empty(0, np.int64)
-    keep = ~twin
-    out = [np.concatenate([v[keep], v[marks]]) for v in (key, entry, doc, first, last)]
-    kinds = np.concatenate([kind[keep], np.full(len(marks), MARK, np.int32)])
-    decided = kinds < TO_SORT
-    out[0] = np.where(decided, mix(out[2].astype(np.uint64) + out[3].astype(np.uint64)), out[0])
-    yield pa.RecordBatch.from_arrays([pa.array(out[0].view(np.int64)), pa.array(out[1].view(np.int64)), pa.array(out[2], pa.int64()),
-                                      pa.array(out[3], pa.int32()), pa.array(out[4], pa.int32()), pa.array(kinds, pa.int32())],
-                                     ["key", "entry", "doc", "first", "last", "kind"])
+    places = np.flatnonzero(~twin & (kind == GONE))
+    doc_gone, first_gone, last_gone = join_up(doc[places], first[places], last[places])
+    rest = np.concatenate([np.flatnonzero(~twin & (kind != GONE)), marks])
+    kinds = np.concatenate([np.full(len(doc_gone), GONE), kind[rest[:len(rest) - len(marks)]], np.full(len(marks), MARK)])
+    doc, first, last = (np.concatenate([g, v[rest]]) for g, v in ((doc_gone, doc), (first_gone, first), (last_gone, last)))
+    spread = mix(doc.astype(np.uint64))
+    key = np.where(kinds < TO_SORT, spread, np.concatenate([spread[:len(doc_gone)], key[rest]]))
+    entry = np.where(kinds == TO_SORT, np.concatenate([spread[:len(doc_gone)], entry[rest]]), np.uint64(0))
+    entry = entry >> np.uint64(2) << np.uint64(2) | kinds.astype(np.uint64)
+    yield row_batch(key, entry, doc, first, last, None)
+
+
+def row_batch(key, entry, doc, first, last, contexts: list[bytes] | None) -> pa.RecordBatch:
+    context = pa.nulls(len(key), pa.binary()) if contexts is None else pa.array(contexts, pa.binary())
+    span = first.astype(np.int64) << 32 | last.astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(entry.view(np.int64)), pa.array(doc, pa.int64()),
+                                       pa.array(span, pa.int64()), context], ["key", "entry", "doc", "span", "context"])
+
+
+def join_up(doc: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Spans of one document that follow each other become one."""
+    if not len(doc):
+        return doc, first, last
+    order = np.lexsort((first, doc))
+    doc, first, last = doc[order], first[order], last[order]
+    reach = last + 1
+    head = np.concatenate([[True], (doc[1:] != doc[:-1]) | (first[1:] != reach[:-1])])
+    at = np.flatnonzero(head)
+    return doc[at], first[at], last[np.append(at[1:], len(doc)) - 1]
 
 
 def repeated(key, entry, doc, first) -> tuple[np.ndarray, np.ndarray]:
@@ -182,53 +209,106 @@ def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from in_blocks(rows(), split_hot=True)
 
 
-def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents (doc, text, phrases) to settled rows of the phrases' strings."""
-    def rows():
-        for batch in batches:
-            for doc, text, spans in zip(ids_of(batch.column(0)).tolist(), batch.column(1), batch.column(2).to_pylist()):
-                flat = np.frombuffer(bytes_of(text.as_py()), np.uint8)
-                start = np.unique(np.concatenate([np.arange(s["first"], s["last"] + 1) for s in spans]))
-                start = start[start + LENGTH <= len(flat)]
+def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    packer = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        packed = [packer.compress(bytes_of(t.as_py())) for t in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([pa.array(ids_of(batch.column(0))), pa.array(packed, pa.binary())], ["doc", "packed"])
+
+
+def unpacked(column: pa.Array) -> Iterator[bytes]:
+    reader = zstandard.ZstdDecompressor()
+    return (reader.decompress(p.as_py()) for p in column)
+
+
+def reopen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents (doc, packed, spans, wide) to rows: the bytes of open phrases at their trigger, and settled strings."""
+    wide = []
+
+    def wide_rows():
+        while wide:
+            yield wide.pop()
+
+    for batch in batches:
+        for doc, raw, spans, wide_spans in zip(batch.column(0).to_pylist(), unpacked(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            if spans:
+                at = np.array(spans, np.int64)
+                first, last = at >> 32, at & LOW
+                fits = last + LENGTH <= len(raw)
+                first, last = first[fits], last[fits]
+                if len(first):
+                    yield row_batch(trigger_keys(raw, first), np.full(len(first), OPEN, np.uint64), np.full(len(first), doc), first, last,
+                                    [raw[f:e + LENGTH] for f, e in zip(first.tolist(), last.tolist())])
+            if wide_spans:
+                start = np.unique(np.concatenate([np.arange(w >> 32, (w & int(LOW)) + 1) for w in wide_spans]))
+                start = start[start + LENGTH <= len(raw)]
                 if len(start):
-                    print_of = Rolling(flat).at(start, start + LENGTH)
-                    yield print_of, print_of, np.full(len(start), doc), start, start
+                    prints = Rolling(np.frombuffer(raw, np.uint8)).at(start, start + LENGTH)
+                    wide.append((prints, prints, np.full(len(start), doc), start, start))
+        if sum(len(w[0]) for w in wide) >= BLOCK_ROWS:
+            yield from in_blocks(wide_rows(), split_hot=False)
+    yield from in_blocks(wide_rows(), split_hot=False)
 
-    yield from in_blocks(rows(), split_hot=False)
+
+def trigger_keys(raw: bytes, first: np.ndarray) -> np.ndarray:
+    """The keys that ``phrases`` gave the phrases starting at ``first``."""
+    key, _, _, starts, _ = phrases([raw])
+    return key[np.searchsorted(starts, first)]
 
 
 def sort_out(rows: DataFrame) -> DataFrame:
-    """(doc, first, last, kind) of what goes and what stays open, from settled rows of all blocks."""
+    """(doc, span, kind) of what goes and what stays open, from settled rows of all blocks."""
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None
+        held: pa.Table | None = None
         for batch in batches:
-            now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            held = now if held is None else [np.concatenate(p) for p in zip(held, now)]
-            full = np.flatnonzero(held[0] != held[0][-1])  # the last key may go on in the next batch
-            cut = full[-1] + 1 if len(full) else 0
+            now = pa.Table.from_batches([batch])
+            held = now if held is None else pa.concat_tables([held, now])
+            keys = held.column(0).to_numpy()
+            other = np.flatnonzero(keys != keys[-1])  # the last key may go on in the next batch
+            cut = int(other[-1]) + 1 if len(other) else 0
             if cut:
-                yield from judge([v[:cut] for v in held])
-                held = [v[cut:] for v in held]
-        if held is not None and len(held[0]):
+                yield from judge(held.slice(0, cut))
+                held = held.slice(cut).combine_chunks()
+        if held is not None and held.num_rows:
             yield from judge(held)
 
-    def judge(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        key, entry, doc, first, last, kind = rows
+    def judge(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        key, entry, doc, span = (rows.column(i).to_numpy() for i in range(4))
+        kind, first, last = entry & 3, span >> 32, span & LOW
+        context = rows.column(4)
+        held = ~context.is_null().to_numpy()
+        if held.any():
+            yield from compare(doc[held], first[held], context.filter(pa.array(held)).to_pylist())
         gone, head = repeated(key, entry, doc, first)
         run = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) - 1
         sorting = kind == TO_SORT
-        entries = np.bincount(run, head & sorting)
-        marked = np.bincount(run, kind == MARK) > 0
-        several = ((entries > 1) | marked)[run]
-        out = np.where(sorting & gone, GONE, np.where(sorting & several, OPEN, np.where(sorting | (kind == MARK), -1, kind)))
-        keep = out >= 0
-        yield pa.RecordBatch.from_arrays([pa.array(doc[keep], pa.int64()), pa.array(first[keep], pa.int32()), pa.array(last[keep], pa.int32()),
-                                          pa.array(out[keep], pa.int32())], ["doc", "first", "last", "kind"])
-
-    # Marks have their own entry, so they never stand for a place; decided rows have keys of their own.
-    own = rows.withColumn("entry", F.when(F.col("kind") == MARK, F.lit(None).cast("bigint")).otherwise(F.col("entry")))
-    dealt = own.fillna(0, ["entry"]).repartition(parts(rows.sparkSession), "key")
-    return dealt.sortWithinPartitions("key", F.col("kind").desc(), "entry", "doc", "first").mapInArrow(scan, MARKS)
+        entries = np.bincount(run, head & sorting)[run]
+        marked = (np.bincount(run, kind == MARK) > 0)[run]
+        is_open = np.where(marked | (entries > WIDE_ENTRIES), WIDE, np.where(entries > 1, OPEN, -1))
+        out = np.where(sorting, np.where(gone, GONE, is_open), np.where(kind == OPEN, WIDE, np.where(kind == MARK, -1, kind)))
+        yield marks_batch(doc, first, last, out, (out >= 0) & ~held)
+
+    def compare(doc: np.ndarray, first: np.ndarray, contexts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        sizes = np.array([len(c) for c in contexts])
+        ends = np.cumsum(sizes)
+        count = sizes - LENGTH + 1
+        owner = np.repeat(np.arange(len(sizes)), count)
+        inner = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+        start = (ends - sizes)[owner] + inner
+        prints = Rolling(np.frombuffer(b"".join(contexts), np.uint8)).at(start, start + LENGTH)
+        doc, first = doc[owner], first[owner] + inner
+        order = np.lexsort((first, doc, prints))
+        prints, doc, first = prints[order], doc[order], first[order]
+        gone, _ = repeated(prints, prints, doc, first)
+        doc, first, last = join_up(doc[gone], first[gone], first[gone])
+        yield marks_batch(doc, first, last, np.full(len(doc), GONE), np.ones(len(doc), bool))
+
+    def marks_batch(doc, first, last, kind, keep) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(doc[keep], pa.int64()), pa.array((first << 32 | last)[keep], pa.int64()),
+                                           pa.array(kind[keep], pa.int32())], ["doc", "span", "kind"])
+
+    dealt = rows.repartition(parts(rows.sparkSession), "key")
+    return dealt.sortWithinPartitions("key", "entry", "doc", "span").mapInArrow(scan, MARKS)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -245,23 +325,23 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def finish(docs: DataFrame, id_col: str, text_col: str, schema: str, result) -> DataFrame:
     rows = thin(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "text")
     marks = materialize(sort_out(rows.mapInArrow(parse, ROWS)), "marks")
-    place = F.struct("first", "last")
-    open_spans = marks.where(F.col("kind") == OPEN).groupBy("doc").agg(F.collect_list(place).alias("spans"))  # bounded by a document's length
-    met = sort_out(rows.join(open_spans, "doc").mapInArrow(strings, ROWS))
-    gone = materialize(marks.unionByName(met).where(F.col("kind") == GONE).groupBy("doc").agg(F.collect_list(place).alias("spans")), "gone")
+    packed = rows.mapInArrow(pack_texts, "doc long, packed binary")
+    # Lists of spans are bounded by the length of their document.
+    spans_of = lambda kind: F.collect_list(F.when(F.col("kind") == kind, F.col("span")))
+    still = marks.where(F.col("kind") != GONE).groupBy("doc").agg(spans_of(OPEN).alias("spans"), spans_of(WIDE).alias("wide"))
+    met = sort_out(packed.join(still, "doc").mapInArrow(reopen, ROWS))
+    gone = marks.unionByName(met).where(F.col("kind") == GONE).groupBy("doc").agg(F.collect_list("span").alias("spans"))
     names = [c.split()[0] for c in schema.split(", ")]
     kinds = [pa.string() if c.endswith("string") else pa.int64() for c in schema.split(", ")]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, spans in zip(batch.column(1), batch.column(2).to_pylist()):
-                raw = bytes_of(text.as_py())
+            for raw, spans in zip(unpacked(batch.column(1)), batch.column(2).to_pylist()):
                 edge = np.zeros(len(raw) + 1, np.int64)
-                for s in spans or ():
-                    if s["first"] < len(raw):
-                        edge[s["first"]] += 1
-                        edge[min(len(raw), s["last"] + LENGTH)] -= 1
+                at = np.array(spans or (), np.int64)
+                np.add.at(edge, np.minimum(len(raw), at >> 32), 1)
+                np.add.at(edge, np.minimum(len(raw), (at & LOW) + LENGTH), -1)
                 covered = np.cumsum(edge)[:-1] > 0
                 runs = int(np.count_nonzero(covered[1:] & ~covered[:-1]) + (len(raw) > 0 and covered[0])) if len(raw) else 0
                 kept = np.frombuffer(raw, np.uint8)[~covered].tobytes() if runs else raw
@@ -270,4 +350,4 @@ def finish(docs: DataFrame, id_col: str, text_col: str, schema: str, result) ->
             yield pa.RecordBatch.from_arrays([pa.array([None if i == NULL_ID else i for i in ids], pa.int64()),
                                               *(pa.array([o[i] for o in out], k) for i, k in enumerate(kinds))], ["doc_id", *names])
 
-    return rows.join(gone, "doc", "left").select("doc", "text", "spans").mapInArrow(apply, "doc_id long, " + schema)
+    return packed.join(gone, "doc", "left").select("doc", "packed", "spans").mapInArrow(apply, "doc_id long, " + schema)
