@@ -9,10 +9,11 @@ earliest dart. Two documents agree on a coordinate with the probability of their
 similarity; a document needs about k ln k darts, not k per element.
 
 Documents with equal shingles become one class representative first. Representatives that share a band
-are compared with the band's centre, the member of least hash in that band; pairs of similarity
+are compared with the band's centre, the member that shares its bands with most others; pairs of similarity
 ``THRESHOLD`` or more (computed exactly over the shingle sets) link. After components are found, every
-band bucket that still holds two components has all its pairs across components compared, so no link
-between texts that share a band is lost, while a bucket of one large group costs a linear number of pairs.
+band bucket that still holds two components has its pairs across components compared: all whose sizes and
+signatures allow the similarity. So no link between texts that share a band is lost, while a bucket of one
+large group costs a linear number of pairs.
 A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8^5)^26 > 0.9999.
 
 Defined cases: null and empty texts, and texts without words, have no shingles and stay alone; repeated
@@ -37,7 +38,7 @@ from daymark.session import materialize
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 26, 5
 CHUNK_BYTES = 3_000_000
-SETS = "doc_id long, set_hi long, set_lo long, n long, bands array<long>, grams array<int>"
+SETS = "doc_id long, set_hi long, set_lo long, n long, bands array<long>, sketch array<tinyint>, grams array<int>"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -169,35 +170,53 @@ def signed(docs: DataFrame, weights: str = "set", bands: int = BANDS, rows: int
                 sizes = np.array([len(f[0]) for f in found])
                 full = np.flatnonzero(sizes)
                 values = np.zeros((b - a, bands), np.uint64)
+                sketch = np.zeros((b - a, bands * rows), np.int8)
                 if len(full):
                     doc = np.repeat(np.arange(len(full)), sizes[full])
                     mass = np.concatenate([found[i][1] for i in full]).astype(float) if weights == "count" else np.ones(len(doc))
                     elements = np.concatenate([found[i][0] for i in full])
-                    values[full] = band_values(dart_signatures(elements, mass, doc, len(full), bands * rows), bands, rows)
+                    signature = dart_signatures(elements, mass, doc, len(full), bands * rows)
+                    values[full] = band_values(signature, bands, rows)
+                    sketch[full] = signature.astype(np.uint8).view(np.int8)
                 key = [(mix(f[0] + TURNS[4]).sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(f[0] ^ TURNS[2])) if len(f[0]) else np.uint64(0)) for f in found]
                 grams = [np.unique((f[0] >> np.uint64(32)).astype(np.uint32)).view(np.int32) for f in found]
                 lists = lambda parts, kind: pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum([len(p) for p in parts])]), pa.int32()), pa.array(np.concatenate(parts), kind))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, b - a), pa.array(np.array([x[0] for x in key]).view(np.int64)), pa.array(np.array([x[1] for x in key]).view(np.int64)),
-                    pa.array([len(g) for g in grams], pa.int64()), lists(list(values.view(np.int64)), pa.int64()), lists(grams, pa.int32())],
-                    ["doc_id", "set_hi", "set_lo", "n", "bands", "grams"])
+                    pa.array([len(g) for g in grams], pa.int64()), lists(list(values.view(np.int64)), pa.int64()), lists(list(sketch), pa.int8()), lists(grams, pa.int32())],
+                    ["doc_id", "set_hi", "set_lo", "n", "bands", "sketch", "grams"])
 
     return docs.mapInArrow(run, SETS)
 
 
+def may_be_near(a: str, b: str, threshold: float):
+    """Whether two signatures (a byte per coordinate) agree as often as sets of that similarity do, less four
+    standard deviations: a pair at the threshold fails with a probability of 3e-5, as in the banding itself."""
+    k = BANDS * ROWS
+    least = k * threshold - 4 * (k * threshold * (1 - threshold)) ** 0.5
+    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same)) >= int(least)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose shingle sets have a Jaccard similarity of ``threshold`` or more, exactly."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("left"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("right"))
-    shared = F.size(F.array_intersect("left", "right"))
-    similarity = shared / (F.size("left") + F.size("right") - shared)
-    return (pairs.join(left, "a").join(right, "b").select("a", "b", similarity.alias("similarity"))
-            .where(F.col("similarity") >= threshold))
+    return pairs.join(left, "a").join(right, "b").where(jaccard("left", "right") >= threshold).select("a", "b")
+
+
+def jaccard(left: str, right: str):
+    shared = F.size(F.array_intersect(left, right))
+    return shared / (F.size(left) + F.size(right) - shared)
 
 
 def postings(reps: DataFrame) -> DataFrame:
-    return reps.select(F.col("rep").alias("doc"), F.explode("bands").alias("bucket"))
+    return reps.select(F.col("rep").alias("doc"), "n", F.explode("bands").alias("bucket"))
+
+
+def near_sizes(a: str, b: str, threshold: float):
+    """Sets of similarity ``threshold`` differ in size by that factor at most."""
+    return F.least(a, b) >= threshold * F.greatest(a, b) - 1e-9
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "set", id_col: str = "doc_id",
@@ -206,31 +225,37 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weights: str
     same shingles), n_shingles, n_links (links of its representative)."""
     rows = thin(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
     sets = bucketed(signed(rows, weights), "doc_id", "shingles")
-    docs_thin = sets.groupBy("doc_id").agg(F.max(F.struct("n", "set_hi", "set_lo", "bands")).alias("s")).select("doc_id", "s.*")
+    docs_thin = sets.groupBy("doc_id").agg(F.max(F.struct("n", "set_hi", "set_lo", "bands", "sketch")).alias("s")).select("doc_id", "s.*")
     total = docs_thin.count()
     classes = docs_thin.where("n > 0").groupBy(F.concat_ws(":", "set_hi", "set_lo", "n").alias("set_key")).agg(
-        F.min("doc_id").alias("rep"), F.min_by("bands", "doc_id").alias("bands"), F.count(F.lit(1)).alias("copies"))
-    reps = materialize(classes, "reps")
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.min_by(F.struct("bands", "sketch"), "doc_id").alias("kept"), F.count(F.lit(1)).alias("copies"))
+    reps = materialize(classes.select("set_key", "rep", "n", "copies", "kept.*"), "reps")
     member = join_hot(docs_thin.select("doc_id", "n", F.concat_ws(":", "set_hi", "set_lo", "n").alias("set_key")),
                       reps.select("set_key", "rep", "copies"), "set_key", "copies", total).select("doc_id", "n", "rep")
 
-    # One pass over the band buckets: every member against the bucket's centre.
-    buckets = postings(reps).groupBy("bucket").agg(F.min(F.struct(F.xxhash64("doc", "bucket").alias("h"), F.col("doc"))).alias("c"),
-                                                   F.count(F.lit(1)).alias("size")).where("size > 1")
-    buckets = materialize(buckets.select("bucket", F.col("c.doc").alias("centre"), "size"), "buckets")
-    met = join_hot(postings(reps), buckets, "bucket", "size", max(1, total))
-    star = met.where("doc <> centre").select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct()
+    # One pass over the band buckets: every member against the bucket's centre. The centre is the member whose
+    # buckets are the largest: the text that the others of a group were made from shares most with them.
+    sizes = postings(reps).groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = materialize(join_hot(postings(reps), materialize(sizes, "sizes"), "bucket", "size", max(1, total)), "shared")
+    popular = shared.groupBy("doc").agg(F.sum("size").alias("popularity"))
+    ranked = shared.join(popular, "doc")
+    centres = ranked.groupBy("bucket").agg(F.max(F.struct("popularity", F.xxhash64("doc", "bucket").alias("h"), "doc", "n")).alias("c"), F.first("size").alias("size"))
+    buckets = materialize(centres.select("bucket", F.col("c.doc").alias("centre"), F.col("c.n").alias("centre_n"), "size"), "buckets")
+    met = join_hot(shared.select("bucket", "doc", "n"), buckets, "bucket", "size", max(1, total))
+    star = met.where((F.col("doc") != F.col("centre")) & near_sizes("n", "centre_n", threshold)).select(
+        F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")).distinct()
     checked = materialize(star, "pairs")
     links = materialize(verified(checked, sets, threshold), "links")
     roots = materialize(components(links), "roots")
 
-    # Buckets that still hold two components: all pairs across them, apart from those already compared.
-    placed = met.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select("bucket", "doc", F.coalesce("root", "doc").alias("root"))
+    # Buckets that still hold two components: pairs across them, apart from those already compared.
+    placed = met.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select("bucket", "doc", "n", F.coalesce("root", "doc").alias("root"))
     placed = materialize(placed, "placed")
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-    left = placed.join(mixed, "bucket", "left_semi")
-    across = left.alias("x").join(left.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") < F.col("y.root")))
-    across = across.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
+    left = placed.join(mixed, "bucket", "left_semi").join(reps.select(F.col("rep").alias("doc"), "sketch"), "doc")
+    across = left.alias("x").join(left.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") < F.col("y.root"))
+                                   & near_sizes("x.n", "y.n", threshold) & may_be_near("x.sketch", "y.sketch", threshold))
+    across = materialize(across.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct(), "across")
     more = verified(across.join(checked, ["a", "b"], "left_anti"), sets, threshold)
     links = materialize(links.unionByName(more), "links")
     roots = components(links)
