@@ -244,15 +244,17 @@ def rolling_evaluation(daily: DataFrame, preferred: DataFrame, first_day: str, f
 
     Each day's 28 true totals are its history, so completed days become history of later ones.
     Days without a preferred prediction use the fallback on that history. Two rows of metrics,
-    all days and weather-complete days, each beside the lag-7 baseline.
+    all days and weather-complete days, each beside the lag-7 baseline. Preferred predictions meet their
+    own series where they name it; without series columns they hold for every series.
     """
+    on = [c for c in (*series, day) if c in preferred.columns]
     past = history.history_arrays(daily, series=series, value=value, day=day).where(F.col(day) >= F.lit(first_day).cast("date"))
     counts = F.transform("prior_counts", lambda v: v.cast("double"))
     last_week = F.aggregate(F.slice(counts, -7, 7), F.lit(0.0), lambda a, v: a + v) / 7
     routed = joins.route_with_fallback(
         past.withColumns({"_fallback": fallback if fallback is not None else last_week,
                           "lag_7": F.element_at("prior_counts", -7)}),
-        preferred, [day], "prediction", "_fallback", "weather", "counts")
+        preferred, on, "prediction", "_fallback", "weather", "counts")
     rows = routed.select(
         F.col(value).cast("double").alias("actual"), F.col("prediction"), F.col("lag_7").cast("double").alias("lag_7"),
         F.explode(F.when(F.col("used_model") == "weather", F.array(F.lit("all"), F.lit("weather_complete")))

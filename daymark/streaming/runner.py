@@ -21,10 +21,17 @@ def stream_parquet(spark: SparkSession, path: str, schema, files_per_batch: int
 
 
 def stream_table(table: DataFrame, files_per_batch: int | None = None) -> DataFrame:
-    """The files behind a batch table as a stream: a folder of files or a single file."""
+    """The files behind a batch table as a stream: a single file, or all folders below their common parent.
+
+    Folders named ``column=value`` are read as partition columns, as in the batch table.
+    """
     files = table.inputFiles()
-    folder, name = files[0].rsplit("/", 1)
-    return stream_parquet(table.sparkSession, folder, table.schema, files_per_batch, name if len(files) == 1 else None)
+    if len(files) == 1:
+        folder, name = files[0].rsplit("/", 1)
+        return stream_parquet(table.sparkSession, folder, table.schema, files_per_batch, name)
+    parents = [f.split("/")[:-1] for f in files]
+    depth = next((i for i, level in enumerate(zip(*parents)) if len(set(level)) > 1), min(map(len, parents)))
+    return stream_parquet(table.sparkSession, "/".join(parents[0][:depth]), table.schema, files_per_batch)
 
 
 def run_append(stream: DataFrame, purpose: str = "stream") -> DataFrame:

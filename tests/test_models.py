@@ -130,3 +130,16 @@ def test_preparation_versions_share_folds(rows):
     out = classifying.preparation_ablation(rows, {"all": (["size"], ["kind"], True), "no kind": (["size"], [], False)}, ("logistic",), k=2, repeats=1)
     got = {r["version"]: r["logistic"] for r in out.collect()}
     assert got["all"] > got["no kind"] > 0.5
+
+
+def test_rolling_evaluation_keeps_series_apart(spark):
+    from pyspark.sql import functions as F
+
+    from daymark.plans.forecasting import rolling_evaluation
+
+    days = spark.range(60).select(F.expr("date_add(date'2024-01-01', cast(id as int))").alias("date"), F.col("id").alias("k"))
+    daily = days.select(F.lit("a").alias("series"), "date", (F.col("k") + 5).alias("trips")).unionByName(
+        days.select(F.lit("b").alias("series"), "date", (F.col("k") * 7 + 1000).alias("trips")))
+    perfect = daily.select("series", "date", F.col("trips").cast("double").alias("prediction"))
+    found = rolling_evaluation(daily, perfect, "2024-02-10").where("subset = 'all'").first()
+    assert found["mae"] == 0.0

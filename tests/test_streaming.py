@@ -99,3 +99,13 @@ def test_scored_batches_use_the_fallback(spark, tmp_path):
 def test_sums_are_kept_in_complete_mode(spark, arrivals):
     got = runner.run_complete(jobs.daily_windows(stream(spark, arrivals), series=["series"]))
     assert got.agg(F.sum("trips")).first()[0] == 400
+
+
+def test_a_partitioned_table_streams_every_row(spark, tmp_path):
+    from daymark.streaming import runner
+
+    path = str(tmp_path / "table")
+    spark.range(100).selectExpr("id", "id % 4 as part").write.partitionBy("part").parquet(path)
+    table = spark.read.parquet(path)
+    out = runner.run_append(runner.stream_table(table, files_per_batch=1))
+    assert sorted(r["id"] for r in out.collect()) == list(range(100))
