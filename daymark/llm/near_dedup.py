@@ -10,10 +10,12 @@ similarity; a document needs about k ln k darts, not k per element.
 
 Documents with equal shingles become one class representative first. Representatives that share a band
 are compared with the band's centre, the member that shares its bands with most others; pairs of similarity
-``THRESHOLD`` or more (computed exactly over the shingle sets) link. After components are found, every
-band bucket that still holds two components has its pairs across components compared: all whose sizes and
-signatures allow the similarity. So no link between texts that share a band is lost, while a bucket of one
-large group costs a linear number of pairs.
+``THRESHOLD`` or more (computed exactly over the shingle sets) link. After components are found, buckets that
+still hold two components have their pairs across components compared. A member is then held by its
+difference from the centre, the few shingles that only one of the two has: two members similar enough, one
+of them not linked to the centre, must share part of their differences, so pairs are formed on a prefix of
+them only (``differences``). No link between texts that share a band is lost, and members that lie
+around a centre in different directions, however many, form no pairs.
 A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8^5)^26 > 0.9999.
 
 Defined cases: null and empty texts, and texts without words, have no shingles and stay alone; repeated
@@ -37,8 +39,9 @@ from daymark.session import materialize
 
 WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 26, 5
+ODD = 8  # longs of an odd sketch
 CHUNK_BYTES = 3_000_000
-SETS = "doc_id long, set_hi long, set_lo long, n long, bands array<long>, sketch array<tinyint>, grams array<int>"
+SETS = "doc_id long, set_hi long, set_lo long, n long, bands array<long>, odd array<long>, grams array<int>"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -149,6 +152,16 @@ def band_values(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return mix(turned.sum(axis=2, dtype=np.uint64) + mix(np.arange(bands, dtype=np.uint64) + np.uint64(99)))
 
 
+def odd_sketch(grams: np.ndarray) -> np.ndarray:
+    """One bit per residue: whether the set holds an odd number of grams there.
+
+    The sketches of two sets differ in the bits of their symmetric difference's sketch, so in no more bits
+    than that difference has grams.
+    """
+    bits = np.bincount(grams.view(np.uint32) % np.uint32(64 * ODD), minlength=64 * ODD) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def ranges(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
     start = total = 0
     for i, n in enumerate(sizes):
@@ -170,34 +183,25 @@ def signed(docs: DataFrame, weights: str = "set", bands: int = BANDS, rows: int
                 sizes = np.array([len(f[0]) for f in found])
                 full = np.flatnonzero(sizes)
                 values = np.zeros((b - a, bands), np.uint64)
-                sketch = np.zeros((b - a, bands * rows), np.int8)
                 if len(full):
                     doc = np.repeat(np.arange(len(full)), sizes[full])
                     mass = np.concatenate([found[i][1] for i in full]).astype(float) if weights == "count" else np.ones(len(doc))
                     elements = np.concatenate([found[i][0] for i in full])
                     signature = dart_signatures(elements, mass, doc, len(full), bands * rows)
                     values[full] = band_values(signature, bands, rows)
-                    sketch[full] = signature.astype(np.uint8).view(np.int8)
                 key = [(mix(f[0] + TURNS[4]).sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(f[0] ^ TURNS[2])) if len(f[0]) else np.uint64(0)) for f in found]
                 grams = [np.unique((f[0] >> np.uint64(32)).astype(np.uint32)).view(np.int32) for f in found]
+                odd = [odd_sketch(g) for g in grams]
                 lists = lambda parts, kind: pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum([len(p) for p in parts])]), pa.int32()), pa.array(np.concatenate(parts), kind))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(a, b - a), pa.array(np.array([x[0] for x in key]).view(np.int64)), pa.array(np.array([x[1] for x in key]).view(np.int64)),
-                    pa.array([len(g) for g in grams], pa.int64()), lists(list(values.view(np.int64)), pa.int64()), lists(list(sketch), pa.int8()), lists(grams, pa.int32())],
-                    ["doc_id", "set_hi", "set_lo", "n", "bands", "sketch", "grams"])
+                    pa.array([len(g) for g in grams], pa.int64()), lists(list(values.view(np.int64)), pa.int64()), lists(odd, pa.int64()), lists(grams, pa.int32())],
+                    ["doc_id", "set_hi", "set_lo", "n", "bands", "odd", "grams"])
 
     return docs.mapInArrow(run, SETS)
 
 
-def may_be_near(a: str, b: str, threshold: float):
-    """Whether two signatures (a byte per coordinate) agree as often as sets of that similarity do, less four
-    standard deviations: a pair at the threshold fails with a probability of 3e-5, as in the banding itself."""
-    k = BANDS * ROWS
-    least = k * threshold - 4 * (k * threshold * (1 - threshold)) ** 0.5
-    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same)) >= int(least)
-
-
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose shingle sets have a Jaccard similarity of ``threshold`` or more, exactly."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("left"))
@@ -219,17 +223,59 @@ def near_sizes(a: str, b: str, threshold: float):
     return F.least(a, b) >= threshold * F.greatest(a, b) - 1e-9
 
 
+def differences(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Postings of the prefixes of each member's difference from its centre: centre, gram, doc, n, root,
+    odd (sketch), far, size (of the difference) and place (of the gram in it).
+
+    Two sets x and y reach the threshold t when |x ^ y| <= b (|x| + |y|) with b = (1 - t) / (1 + t). With the
+    differences X and Y from one centre c, |x ^ y| = |X| + |Y| - 2 |X & Y|, so they must share
+    (|X| + |Y| - b (|x| + |y|)) / 2 grams. Whatever y is, that is at least |X| - b (|x| + |x| / t); where x is
+    linked to the centre, y is not (``far``), |Y| > b (|y| + |c|), and it is at least (|X| + b (|c| - |x|)) / 2;
+    and never less than 1. Of sets that share k grams, the prefixes without the last k - 1 share one. Grams
+    that the centre lacks come first, since fewer members have them.
+    """
+    b = (1 - threshold) / (1 + threshold)
+    mine = sets.select(F.col("doc_id").alias("doc"), "odd", F.col("grams").alias("mine"))
+    its = sets.select(F.col("doc_id").alias("centre"), F.col("grams").alias("its"))
+    held = members.join(mine, "doc").join(its, "centre").select(
+        "centre", "centre_n", "doc", "n", "root", "odd", F.concat(F.array_except("mine", "its"), F.array_except("its", "mine")).alias("grams"))
+    held = held.withColumn("size", F.size("grams")).withColumn("far", F.col("size") > b * (F.col("n") + F.col("centre_n")) - 1e-6)
+    any_partner = F.ceil(F.col("size") - b * F.col("n") * (1 + 1 / threshold) - 1e-6)
+    far_partner = F.ceil((F.col("size") + b * (F.col("centre_n") - F.col("n"))) / 2 - 1e-6)
+    shared = F.greatest(F.lit(1), any_partner, F.when(~F.col("far"), far_partner))
+    prefix = F.slice("grams", F.lit(1), F.greatest(F.lit(0), F.col("size") - shared + 1).cast("int"))
+    return held.select("centre", "doc", "n", "root", "odd", "far", "size", F.posexplode(prefix).alias("place", "gram"))
+
+
+def apart(postings: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of different components whose differences from a centre may share enough grams.
+
+    At their first common gram, the grams from there on must suffice for what the pair has to share, and the
+    odd sketches may not prove more grams that only one of the two has than the threshold allows.
+    """
+    b = (1 - threshold) / (1 + threshold)
+    x, y = postings.where("far").alias("x"), postings.alias("y")
+    apart_by = sum((F.bit_count(F.col("x.odd")[i].bitwiseXOR(F.col("y.odd")[i])) for i in range(ODD)), F.lit(0))
+    allowed = b * (F.col("x.n") + F.col("y.n")) + 1e-6
+    needed = (F.col("x.size") + F.col("y.size") - b * (F.col("x.n") + F.col("y.n"))) / 2 - 1e-6
+    left = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
+    met = x.join(y, (F.col("x.centre") == F.col("y.centre")) & (F.col("x.gram") == F.col("y.gram"))
+                 & (F.col("x.root") != F.col("y.root")) & near_sizes("x.n", "y.n", threshold) & (left >= needed)
+                 & (~F.col("y.far") | (F.col("x.doc") < F.col("y.doc"))) & (apart_by <= allowed))
+    return met.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "set", id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Action: one row per document: doc_id, class_id (least doc_id of its class), rep_id (least with the
     same shingles), n_shingles, n_links (links of its representative)."""
     rows = thin(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
     sets = bucketed(signed(rows, weights), "doc_id", "shingles")
-    docs_thin = sets.groupBy("doc_id").agg(F.max(F.struct("n", "set_hi", "set_lo", "bands", "sketch")).alias("s")).select("doc_id", "s.*")
+    docs_thin = sets.groupBy("doc_id").agg(F.max(F.struct("n", "set_hi", "set_lo", "bands")).alias("s")).select("doc_id", "s.*")
     total = docs_thin.count()
     classes = docs_thin.where("n > 0").groupBy(F.concat_ws(":", "set_hi", "set_lo", "n").alias("set_key")).agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.min_by(F.struct("bands", "sketch"), "doc_id").alias("kept"), F.count(F.lit(1)).alias("copies"))
-    reps = materialize(classes.select("set_key", "rep", "n", "copies", "kept.*"), "reps")
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.min_by("bands", "doc_id").alias("bands"), F.count(F.lit(1)).alias("copies"))
+    reps = materialize(classes.select("set_key", "rep", "n", "copies", "bands"), "reps")
     member = join_hot(docs_thin.select("doc_id", "n", F.concat_ws(":", "set_hi", "set_lo", "n").alias("set_key")),
                       reps.select("set_key", "rep", "copies"), "set_key", "copies", total).select("doc_id", "n", "rep")
 
@@ -249,13 +295,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weights: str
     roots = materialize(components(links), "roots")
 
     # Buckets that still hold two components: pairs across them, apart from those already compared.
-    placed = met.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select("bucket", "doc", "n", F.coalesce("root", "doc").alias("root"))
+    placed = met.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select("bucket", "doc", "n", "centre", "centre_n", F.coalesce("root", "doc").alias("root"))
     placed = materialize(placed, "placed")
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-    left = placed.join(mixed, "bucket", "left_semi").join(reps.select(F.col("rep").alias("doc"), "sketch"), "doc")
-    across = left.alias("x").join(left.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") < F.col("y.root"))
-                                   & near_sizes("x.n", "y.n", threshold) & may_be_near("x.sketch", "y.sketch", threshold))
-    across = materialize(across.select(F.least("x.doc", "y.doc").alias("a"), F.greatest("x.doc", "y.doc").alias("b")).distinct(), "across")
+    members = placed.join(mixed, "bucket", "left_semi").where("doc <> centre").drop("bucket").distinct()
+    across = materialize(apart(materialize(differences(members, sets, threshold), "differences"), threshold), "across")
     more = verified(across.join(checked, ["a", "b"], "left_anti"), sets, threshold)
     links = materialize(links.unionByName(more), "links")
     roots = components(links)

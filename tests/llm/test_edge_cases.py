@@ -1,5 +1,8 @@
 """Nulls, empty texts, ties, repeated rows, empty tables and clashing columns."""
 
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,10 +76,43 @@ def test_index_goes_on(spark, odd, tmp_path):
 
 
 def test_weighted_signatures_estimate_weighted_similarity():
-    import numpy as np
-
     elements = near_dedup.mix(np.arange(1, 401, dtype=np.uint64))
     a, b = np.ones(400), np.ones(400)
     b[:200] = 3.0
     rows = near_dedup.dart_signatures(np.concatenate([elements, elements]), np.concatenate([a, b]), np.repeat([0, 1], 400), 2, 2000)
     assert abs((rows[0] == rows[1]).mean() - 400 / 800) < 0.05
+
+
+def test_near_copies_around_the_threshold_equal_brute_force(spark):
+    """Edits of one text, many of them just too far from it and from each other: all pairs, no link lost."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(4000)}" for _ in range(160)]
+    common = [rng.randrange(160) for _ in range(6)]  # places that many copies change alike
+    texts = {}
+    for i in range(150):
+        words = list(base)
+        for p in rng.sample(range(160), rng.randrange(1, 7)):
+            words[p] = f"x{rng.randrange(10 ** 6)}"
+        for p in rng.sample(common, rng.randrange(0, 5)):
+            words[p] = f"same{p}"
+        texts[i] = " ".join(words)
+    sets = {i: set(s.tolist()) for i, s in zip(texts, near_dedup.shingles(list(texts.values())))}
+    root, links = {i: i for i in texts}, 0
+    for i in texts:
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                links += 1
+                low, high = sorted((root[i], root[j]))
+                root = {k: low if r == high else r for k, r in root.items()}
+    got = near_dedup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert links > 150 and 10 < len(set(root.values())) < 150
+    assert {r["doc_id"]: r["class_id"] for r in got} == root
+
+
+def test_odd_sketches_never_overstate_a_difference():
+    rng = np.random.default_rng(3)
+    for n in (1, 40, 3000):
+        a, b = (np.unique(rng.integers(-2 ** 31, 2 ** 31 - 1, n, np.int64)).astype(np.int32) for _ in "ab")
+        b = np.unique(np.concatenate([a[: n // 2], b]))
+        x, y = near_dedup.odd_sketch(a), near_dedup.odd_sketch(b)
+        assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= len(np.setxor1d(a, b))
