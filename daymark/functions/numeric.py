@@ -33,32 +33,22 @@ def whole_forecast(column: Column) -> Column:
     return F.bround(clip_forecast(column), 0).cast("long")
 
 
-TARGETS = ("direct", "log", "residual7", "residualweekly", "residualblend", "delta1")
-
-
-def target_baseline(target: str) -> Column:
-    """What the named target subtracts from the count before fitting."""
-    if target == "residual7":
-        return F.col("lag_7").cast("double")
-    if target == "residualweekly":
-        return F.col("weekly_mean_4")
-    if target == "residualblend":
-        return (F.col("lag_7") + F.col("mean_7")) / F.lit(2.0)
-    if target == "delta1":
-        return F.col("lag_1").cast("double")
-    if target in TARGETS:
-        return F.lit(0.0)
-    raise ValueError(f"unknown target {target!r}; choose from {TARGETS}")
-
-
-def to_target(actual: Column, target: str) -> Column:
-    if target == "log":
-        return F.log1p(actual.cast("double"))
-    return actual.cast("double") - target_baseline(target)
-
-
-def from_target(value: Column, target: str) -> Column:
-    """Inverse of :func:`to_target`; a log value is held to [0, 16], the result to >= 0."""
-    if target == "log":
-        return F.greatest(F.lit(0.0), F.expm1(F.least(F.lit(16.0), F.greatest(F.lit(0.0), value))))
-    return F.greatest(F.lit(0.0), value + target_baseline(target))
+# The fitted targets; all but the logarithm take something off the count (SQL over feature columns).
+TAKEN_OFF = {"direct": "0D", "residual7": "lag_7", "residualweekly": "weekly_mean_4",
+             "residualblend": "(lag_7 + mean_7) / 2D", "delta1": "lag_1"}
+# The range a fitted logarithm is held to.
+LOG_RANGE = (0.0, 16.0)
+#: Per target: SQL from a count to the fitted value and back, with ``{x}`` for the value.
+TARGET_SQL = {name: (f"({{x}} - {taken})", f"greatest(0D, {{x}} + {taken})") for name, taken in TAKEN_OFF.items()}
+TARGET_SQL["log"] = ("log1p({x})", f"expm1(least({LOG_RANGE[1]}D, greatest({LOG_RANGE[0]}D, {{x}})))")
+TARGETS = tuple(TARGET_SQL)
+
+
+def fitted_sql(count: str, target: str) -> str:
+    """SQL of what is fitted in place of ``count``, itself SQL."""
+    return TARGET_SQL[target][0].format(x=f"cast({count} as double)")
+
+
+def count_sql(fitted: str, target: str) -> str:
+    """SQL of the count, never negative, that belongs to the fitted value ``fitted``."""
+    return TARGET_SQL[target][1].format(x=f"({fitted})")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from daymark.functions import calendar as cal
-from daymark.functions.numeric import TARGETS, from_target, r6, to_target
+from daymark.functions.numeric import TARGETS, count_sql, fitted_sql, r6
 from daymark.operators import history, joins, sets, weekly
 from daymark.plans import bindings as b
 from daymark.plans.registry import query
@@ -283,9 +283,9 @@ def _(spark, d):
     f = history.same_weekday(history.past_statistics(history.lags(b.daily_shipments(spark, d), (1, 7, 14, 21, 28)), (7,), kinds=("mean",))).where("lag_28 is not null")
     out = []
     for t in TARGETS:
-        moved = to_target(F.col("trips"), t)
-        out.append(moved.alias(f"{t}_to"))
-        out.append(from_target(moved + (0.1 if t == "log" else -40.0), t).alias(f"{t}_back"))
+        moved = fitted_sql("trips", t)
+        out.append(F.expr(moved).alias(f"{t}_to"))
+        out.append(F.expr(count_sql(f"{moved} {'+ 0.1D' if t == 'log' else '- 40D'}", t)).alias(f"{t}_back"))
     return rounded(f.select("date", *out))
 
 

@@ -11,7 +11,7 @@ from daymark.operators import audit, history
 from daymark.plans import bindings as b
 from daymark.plans.catalog.features import LAGGED, r, rounded
 from daymark.plans.registry import query
-from daymark.session import materialize, scratch_path
+from daymark.session import scratch_path
 from daymark.sources import tables, zip_csv
 from daymark.sources.files import resolve
 from daymark.streaming import jobs, runner
@@ -41,7 +41,7 @@ def archives(spark, d):
                 done += len(batch)
         yield pd.DataFrame({"rows": [done]})
 
-    packed = rows.repartition(4, "ride_id").mapInPandas(pack, "rows bigint")
+    packed = rows.repartition(spark.sparkContext.defaultParallelism).mapInPandas(pack, "rows bigint")
     packed.agg(F.sum("rows")).collect()
     return base
 
@@ -79,7 +79,7 @@ def _(spark, d):
 
 
 def event_stream(spark, d):
-    rows = runner.stream_table(b.table(spark, d, "events"))
+    rows = runner.stream_table(spark, f"{d}/events.parquet", b.table(spark, d, "events").schema)
     return rows.select(F.substring(F.md5(F.col("event_id").cast("string")), 1, 16).alias("ride_id"),
                        F.col("ts").alias("started_at"), F.col("event_type").alias("rideable_type"))
 
@@ -100,15 +100,14 @@ with m as (select min(cast(ts as date)) + 20 as cut from events), x as (select t
 select behind and ts < bound - interval 3 days as late, cast(ts as date) as date, count(*) as trips from x group by 1, 2
 """)
 def _(spark, d):
-    # Early error events arrive one file later than everything else.
+    # Early error events arrive after everything else; the second run goes on where the first ended.
     events = b.table(spark, d, "events").select("event_id", "ts", "event_type")
     cut = events.select(F.date_add(F.min(F.to_date("ts")), 20)).scalar()
     marked = events.withColumn("_behind", (F.col("event_type") == "error") & (F.to_date("ts") < cut))
-    path = scratch_path(spark, "arrivals")
-    marked.where(~F.col("_behind")).drop("_behind").coalesce(1).write.parquet(path)
-    marked.where("_behind").drop("_behind").coalesce(1).write.mode("append").parquet(path)
-    stream = runner.stream_parquet(spark, path, events.schema, files_per_batch=1)
-    accepted, late = jobs.split_late_rows(stream, "ts", "3 days")
+    path, base = scratch_path(spark, "arrivals"), scratch_path(spark, "late")
+    for arriving in (~F.col("_behind"), F.col("_behind")):
+        marked.where(arriving).drop("_behind").write.mode("append").parquet(path)
+        accepted, late = jobs.split_late_rows(runner.stream_table(spark, path, events.schema), "ts", "3 days", base)
     both = accepted.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
     return both.groupBy("late", F.to_date("ts").alias("date")).agg(F.count(F.lit(1)).alias("trips"))
 
@@ -121,8 +120,10 @@ select date, trips, weekday, month, lag_1, lag_7, {r('m', 'past_7_day_mean')} fr
 def _(spark, d):
     rows = event_stream(spark, d).withColumn("series", F.lit("all"))
     closed = runner.run_append(jobs.daily_windows(rows, series=["series"]), "closed")
-    features = jobs.history_features(runner.stream_table(materialize(closed, "days")))
-    return rounded(runner.run_append(features, "features").drop("gap_days"), skip=("series", "date"))
+    path = scratch_path(spark, "days")
+    closed.write.parquet(path)
+    features = runner.run_append(jobs.history_features(runner.stream_table(spark, path, closed.schema)), "features")
+    return rounded(features.where("not late").drop("gap_days", "late"), skip=("series", "date"))
 
 
 @query("r5_stream_score", f"""
@@ -130,6 +131,8 @@ with {LAGGED}, {b.DAILY_ORDERS} select l.date, cast(coalesce(o.trips * 4, l.lag_
  case when o.date is null then 'counts' else 'weather' end as used_model from lagged l left join odaily o on l.date = o.date where l.lag_7 is not null
 """)
 def _(spark, d):
-    base = materialize(history.lags(b.daily_shipments(spark, d), [7]).where("lag_7 is not null").select("date", "lag_7"), "base")
+    path = scratch_path(spark, "requests")
+    requests = history.lags(b.daily_shipments(spark, d), [7]).where("lag_7 is not null").select("date", "lag_7")
+    requests.write.parquet(path)
     preferred = b.daily_orders(spark, d).select("date", (F.col("trips") * 4).cast("double").alias("p"))
-    return jobs.score_with_fallback(runner.stream_table(base), preferred, ["date"], "p", "lag_7").drop("lag_7")
+    return jobs.score_with_fallback(runner.stream_table(spark, path, requests.schema), preferred, ["date"], "p", "lag_7").drop("lag_7")

@@ -86,11 +86,25 @@ def _(spark, d):
 @query("m15_grid_search_chrono")
 def _(spark, d):
     candidates = [forecasting.ResidualForecaster("ridge", s, t, alpha=a)
-                  for a in (0.1, 10.0, 1000.0) for s in ("compact", "full") for t in ("direct", "residual7")]
+                  for a in (0.01, 0.1, 1.0, 10.0, 100.0, 1000.0, 10000.0) for s in ("compact", "full") for t in ("direct", "residual7")]
     train, _ = halves(frame(spark, d))
     return forecasting.search_board(forecasting.grid_search_chrono(train, candidates))
 
 
+@query("m15_baseline_search", f"""
+with {FRAME}, f as (select *, row_number() over (order by date desc) - 1 as back from frame where lag_28 is not null and date <= date '{TRAIN_UNTIL}'),
+ c as (select cast(i as int) as candidate, cast(0.5 + 0.25 * (i // 3) as double) as d, cast(0.5 * (i % 3) as double) as a from (select unnest(range(9)) as i)),
+ p as (select candidate, k, back, 21 * (2 - k) as cut, abs(trips - (lag_7 + d * lag_14 + d * d * lag_21 + d * d * d * lag_28) / (1 + d + d * d + d * d * d)
+  * pow(least(2, greatest(0.5, mean_7 / greatest(1, mean_28))), a)) as error from f, c, (select unnest(range(3)) as k)),
+ m as (select candidate, k, avg(error) filter (where back >= cut and back < cut + 21) as mae, avg(error) filter (where back >= cut + 21) as train from p group by 1, 2)
+select candidate, {r('avg(mae)', 'mean_mae')}, {r('stddev_pop(mae)', 'std_mae')}, {r('avg(train)', 'mean_train_mae')}, count(*) as folds from m group by 1
+""")
+def _(spark, d):
+    candidates = [forecasting.BaselineForecaster("seasonal_average", decay=w, adjustment=a) for w in (0.5, 0.75, 1.0) for a in (0.0, 0.5, 1.0)]
+    train, _ = halves(frame(spark, d))
+    return rounded(forecasting.search_board(forecasting.grid_search_chrono(train, candidates)).drop("setting"), skip=("candidate", "folds"))
+
+
 @query("m17_evaluate_oof")
 def _(spark, d):
     scores = classifying.held_out_scores(labelled(spark, d), lambda: classifying.classifier("logistic", NUMERIC, CATEGORICAL),

@@ -384,7 +384,7 @@ def _(spark, d):
 
 # Resampling -----------------------------------------------------------------------------
 
-REPLICATES = 1000
+REPLICATES, PAIRED_REPLICATES = 20000, 10000
 HEX = "cast('0x' || substr({0}, {1}, 8) as bigint)"
 
 
@@ -416,13 +416,13 @@ def _(spark, d):
 
 @query("m21_paired_block_bootstrap", f"""
 with {NAIVE}, v as (select row_number() over (order by date) - 1 as i, abs(other - actual) - abs(prediction - actual) as gap from naive), n as (select count(*) as n, avg(gap) as m from v),
- g as (select b, rep, n, unnest(generate_series(0, cast(ceil(n / cast(b as double)) as bigint) - 1)) as k from (select unnest([3, 7, 14]) as b), (select unnest(generate_series(0, 299)) as rep), n),
+ g as (select b, rep, n, unnest(generate_series(0, cast(ceil(n / cast(b as double)) as bigint) - 1)) as k from (select unnest([3, 7, 14]) as b), (select unnest(generate_series(0, {PAIRED_REPLICATES - 1})) as rep), n),
  s as (select b, rep, n, k, {HEX.format("md5('42-' || b || '-' || rep || '-' || k)", 1)} % n as f, unnest(generate_series(0, least(b, n - k * b) - 1)) as o from g),
  dr as (select b, rep, avg(gap) as draw from s join v on v.i = (f + o) % n group by 1, 2)
 select cast(b as bigint) as block, {r('any_value(m)', 'mae_difference')}, {r('quantile_cont(draw, 0.025)', 'lower')}, {r('quantile_cont(draw, 0.975)', 'upper')}, count(*) as replicates from dr, n group by 1
 """)
 def _(spark, d):
-    return rounded(resample.paired_block_bootstrap(naive(spark, d), "date", "actual", "other", "prediction", replicates=300), skip=())
+    return rounded(resample.paired_block_bootstrap(naive(spark, d), "date", "actual", "other", "prediction", replicates=PAIRED_REPLICATES), skip=())
 
 
 @query("m22_clopper_pearson")

@@ -7,7 +7,8 @@ inverse are SQL stages), so it is written and read with ``PipelineModel.write``.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections import defaultdict
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
@@ -18,20 +19,15 @@ from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
-from daymark.functions.numeric import TARGETS, ratio, to_target
+from daymark.functions.numeric import LOG_RANGE, TARGETS, count_sql, fitted_sql, ratio
 from daymark.operators import history, joins, scoring
 from daymark.operators.split import expanding_folds
 from daymark.session import materialize
 
 FAMILIES = ("ridge", "elastic", "huber", "forest", "boosted")
 SEED = 42
-# What each target subtracts, as the SQL of the inverse stage.
-BASELINE_SQL = {
-    "direct": "0", "residual7": "lag_7", "residualweekly": "weekly_mean_4",
-    "residualblend": "0.5 * lag_7 + 0.5 * mean_7", "delta1": "lag_1",
-}
-
 
 def _regressor(family: str, penalty: float, settings: dict):
     """``penalty`` turns a penalty on the plain sum of squares into Spark's ``regParam``."""
@@ -89,17 +85,13 @@ class ResidualForecaster(Estimator):
             rows = history.recency_weights(rows, self.half_life, self.series, self.day).withColumnRenamed("weight", "_weight")
         else:
             rows = rows.withColumn("_weight", F.lit(1.0))
-        rows = rows.withColumn("_target", to_target(F.col(self.value), self.target))
+        rows = rows.withColumn("_target", F.expr(fitted_sql(self.value, self.target)))
         assemble = VectorAssembler(inputCols=features, outputCol="_plain", handleInvalid="error")
         scale = StandardScaler(inputCol="_plain", outputCol="_features", withMean=True, withStd=True).fit(
             assemble.transform(rows))
         prepared = scale.transform(assemble.transform(rows)).select("_features", "_target", "_weight")
         model = _regressor(self.family, self._penalty(prepared), self.settings).fit(prepared)
-        if self.target == "log":
-            back = "expm1(least(16D, greatest(0D, _raw)))"
-        else:
-            back = f"_raw + {BASELINE_SQL[self.target]}"
-        inverse = SQLTransformer(statement=f"SELECT *, greatest(0D, {back}) AS {self.output} FROM __THIS__")
+        inverse = SQLTransformer(statement=f"SELECT *, {count_sql('_raw', self.target)} AS {self.output} FROM __THIS__")
         tidy = SQLTransformer(statement="SELECT * EXCEPT (_plain, _features, _raw) FROM __THIS__")
         return PipelineModel([assemble, scale, model, inverse, tidy])
 
@@ -107,12 +99,17 @@ class ResidualForecaster(Estimator):
 class BaselineForecaster(Estimator):
     """Training mean, a named past value, or a seasonal average; nothing else is learned."""
 
+    family = "baseline"
+
     def __init__(self, kind: str = "lag_7", blend: float = 0.0, trend: float = 0.0, decay: float = 1.0,
                  adjustment: float = 0.0, value: str = "trips", output: str = "prediction"):
         super().__init__()
         self.kind, self.blend, self.trend = kind, blend, trend
         self.decay, self.adjustment, self.value, self.output = decay, adjustment, value, output
 
+    def describe(self) -> dict:
+        return {n: getattr(self, n) for n in ("family", "kind", "blend", "trend", "decay", "adjustment")}
+
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         if self.kind == "training_mean":
             mean = dataset.agg(F.avg(self.value)).first()[0]
@@ -145,23 +142,23 @@ def blend_models(models: Sequence[tuple[PipelineModel, float]], frame: DataFrame
     return frame.withColumn(output, blend(weights)).drop(*weights)
 
 
-RESULT = "candidate int, setting string, fold int, mae double, days long"
+RESULT = "candidate int, setting string, fold int, mae double, train_mae double, days long"
 
 
-def grid_search_chrono(frame: DataFrame, candidates: Sequence[ResidualForecaster], splits: int = 3, test_size: int = 21,
-                       series: Sequence[str] = ("series",), day: str = "date", value: str = "trips",
+def grid_search_chrono(frame: DataFrame, candidates: Sequence[ResidualForecaster | BaselineForecaster], splits: int = 3,
+                       test_size: int = 21, series: Sequence[str] = ("series",), day: str = "date", value: str = "trips",
                        workers: int = 8) -> DataFrame:
-    """Action: fit every setting on every expanding fold. Returns one row per (setting, fold).
+    """Action: try every setting on every expanding fold. Returns one row per (setting, fold) with the
+    mean absolute error on the check and the training rows; folds without training rows give none.
 
-    Ridge settings are solved inside tasks, one per (setting, fold): a fold of a daily series is
-    bounded by the calendar, so the whole grid is one Spark job. Other families are fitted by
-    ``pyspark.ml`` jobs, submitted from a small pool of driver threads.
+    All ridge settings share one pass over the rows that sums weighted products, and one that scores.
+    Other families are fitted by ``pyspark.ml`` jobs, submitted from a small pool of driver threads.
     """
     spark = frame.sparkSession
     folds = expanding_folds(frame, splits, test_size, 0, series, day)
     solved = [(i, c) for i, c in enumerate(candidates) if c.family == "ridge"]
     fitted = [(i, c) for i, c in enumerate(candidates) if c.family != "ridge"]
-    out = _ridge_grid(folds, solved, day, value) if solved else None
+    out = _ridge_grid(folds, solved, day, value, series) if solved else None
     if fitted:
         stored = materialize(folds, "folds")
 
@@ -169,9 +166,9 @@ def grid_search_chrono(frame: DataFrame, candidates: Sequence[ResidualForecaster
             index, candidate, fold = job
             part = stored.where(F.col("fold") == fold)
             model = candidate.fit(part.where("role = 'train'"))
-            scored = model.transform(part.where("role = 'check'"))
-            m = scoring.regression_metrics(scored, actual=value, predicted=candidate.output).first()
-            return (index, json.dumps(candidate.describe(), sort_keys=True), fold, m["mae"], m["days"])
+            error, checked = F.abs(F.col(value) - F.col(candidate.output)), F.col("role") == "check"
+            m = model.transform(part).agg(F.avg(F.when(checked, error)), F.avg(F.when(~checked, error)), F.count_if(checked)).first()
+            return (index, _setting(candidate), fold, *m)
 
         jobs = [(i, c, f) for i, c in fitted for f in range(splits)]
         with ThreadPoolExecutor(max_workers=workers) as pool:
@@ -181,48 +178,90 @@ def grid_search_chrono(frame: DataFrame, candidates: Sequence[ResidualForecaster
     return out
 
 
-def _ridge_grid(folds: DataFrame, candidates: Sequence[tuple[int, ResidualForecaster]], day: str, value: str) -> DataFrame:
-    plans = {i: (json.dumps(c.describe(), sort_keys=True), history.FEATURE_SETS[c.feature_set], c.target,
-                 c.half_life, float(c.settings.get("alpha", 1.0))) for i, c in candidates}
-    weekly = ["lag_1", "lag_7", "weekly_mean_4", "mean_7"]
-    needed = sorted({n for _, names, _, _, _ in plans.values() for n in names} | set(weekly))
-
-    def baseline(rows: pd.DataFrame, target: str) -> np.ndarray:
-        name = {"residual7": "lag_7", "residualweekly": "weekly_mean_4", "delta1": "lag_1"}.get(target)
-        if target == "residualblend":
-            return (rows["lag_7"].to_numpy(float) + rows["mean_7"].to_numpy(float)) / 2
-        return rows[name].to_numpy(float) if name else np.zeros(len(rows))
-
-    def solve(key, rows: pd.DataFrame) -> pd.DataFrame:
-        candidate, fold = key
-        setting, names, target, half_life, alpha = plans[candidate]
-        rows = rows.sort_values(day)
-        train, check = rows[rows["role"] == "train"], rows[rows["role"] == "check"]
-        y = train[value].to_numpy(float)
-        y = np.log1p(y) if target == "log" else y - baseline(train, target)
-        weight = np.exp2(np.arange(1 - len(y), 1) / half_life) if half_life else np.ones(len(y))
-        x = train[names].to_numpy(float)
-        centre, spread = x.mean(axis=0), x.std(axis=0)
-        spread[spread == 0] = 1.0
-        x = (x - centre) / spread
-        x_mean, y_mean = np.average(x, axis=0, weights=weight), np.average(y, weights=weight)
-        x = x - x_mean
-        pull = (x * weight[:, None]).T
-        coef = np.linalg.solve(pull @ x + alpha * np.eye(x.shape[1]), pull @ (y - y_mean))
-        raw = ((check[names].to_numpy(float) - centre) / spread - x_mean) @ coef + y_mean
-        guess = np.expm1(np.clip(raw, 0, 16)) if target == "log" else raw + baseline(check, target)
-        error = np.abs(np.maximum(0, guess) - check[value].to_numpy(float))
-        return pd.DataFrame([(candidate, setting, fold, error.mean(), len(error))],
-                            columns=["candidate", "setting", "fold", "mae", "days"])
-
-    spread_out = folds.select(day, value, "fold", "role", *needed, F.explode(F.array(*[F.lit(i) for i in plans])).alias("candidate"))
-    return spread_out.groupBy("candidate", "fold").applyInPandas(solve, RESULT)
+def _setting(candidate) -> str:
+    return json.dumps(candidate.describe(), sort_keys=True)
+
+
+def _ridge_grid(folds: DataFrame, candidates: Sequence[tuple[int, ResidualForecaster]], day: str, value: str,
+                series: Sequence[str]) -> DataFrame:
+    """Errors of ridge settings from weighted sums of products.
+
+    Every task adds up products of its own rows per (fold, half-life), so no group of rows is formed; the
+    driver sees one small matrix for each and solves it per setting. A row's weight is halved every
+    ``half_life`` rows back in its own series, as :func:`history.recency_weights` has it.
+    """
+    names = sorted({n for _, c in candidates for n in history.FEATURE_SETS[c.feature_set]})
+    targets = sorted({c.target for _, c in candidates})
+    half_lives = sorted({0.0} | {float(c.half_life) for _, c in candidates})  # 0: all rows weigh 1
+    newest_first = W.partitionBy(*series, "fold", "role").orderBy(F.col(day).desc())
+    rows = materialize(folds.select(
+        "fold", "role", F.col(value).cast("double").alias("count"), (F.row_number().over(newest_first) - 1).alias("age"),
+        F.array(*[F.col(n).cast("double") for n in names]).alias("x"),
+        F.array(*[F.expr(fitted_sql(value, t)) for t in targets]).alias("y")), "ridge")
+
+    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals: dict[tuple[int, float], np.ndarray] = {}
+        for batch in batches:
+            for fold, part in batch.groupby("fold"):
+                z = np.column_stack([np.ones(len(part)), np.stack(part["x"]), np.stack(part["y"])])
+                for half_life in half_lives:
+                    weighted = z * np.exp2(-part["age"].to_numpy(float) / half_life)[:, None] if half_life else z
+                    key = (int(fold), half_life)
+                    totals[key] = totals.get(key, 0.0) + weighted.T @ z
+        yield pd.DataFrame([(f, h, m.ravel()) for (f, h), m in totals.items()], columns=["fold", "half_life", "cells"])
+
+    parts = rows.where("role = 'train'").mapInPandas(products, "fold int, half_life double, cells array<double>")
+    cells = parts.select("fold", "half_life", F.posexplode("cells").alias("at", "cell")).groupBy("fold", "half_life", "at").agg(
+        F.sum("cell").alias("cell"))
+    width = 1 + len(names) + len(targets)
+    sums: dict[tuple[int, float], np.ndarray] = defaultdict(lambda: np.zeros(width * width))
+    for fold, half_life, at, cell in cells.collect():  # folds x half-lives x width squared
+        sums[fold, half_life][at] = cell
+
+    def solve(fold: int, c: ResidualForecaster) -> np.ndarray:
+        """Intercept and one coefficient per name, zero where the setting leaves it out."""
+        plain, held = (sums[fold, h].reshape(width, width) for h in (0.0, float(c.half_life)))
+        pick = [1 + names.index(n) for n in history.FEATURE_SETS[c.feature_set]]
+        y = 1 + len(names) + targets.index(c.target)
+        spread = np.sqrt(np.maximum(plain[pick, pick] / plain[0, 0] - (plain[0, pick] / plain[0, 0]) ** 2, 0.0))
+        spread[spread < 1e-12] = 1.0
+        mean_x, mean_y = held[0, pick] / held[0, 0], held[0, y] / held[0, 0]
+        square = (held[np.ix_(pick, pick)] - held[0, 0] * np.outer(mean_x, mean_x)) / np.outer(spread, spread)
+        cross = (held[pick, y] - held[0, 0] * mean_x * mean_y) / spread
+        slopes = np.linalg.lstsq(square + float(c.settings.get("alpha", 1.0)) * np.eye(len(pick)), cross, rcond=None)[0] / spread
+        line = np.zeros(1 + len(names))
+        line[0], line[pick] = mean_y - mean_x @ slopes, slopes
+        return line
+
+    lines = {fold: np.stack([solve(fold, c) for _, c in candidates], axis=1) for fold in sorted({f for f, _ in sums})}
+    picked = [targets.index(c.target) for _, c in candidates]
+    logged = np.array([c.target == "log" for _, c in candidates])
+
+    def errors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for (fold, role), part in batch.groupby(["fold", "role"]):
+                if fold not in lines:
+                    continue
+                count, y = part["count"].to_numpy()[:, None], np.stack(part["y"])[:, picked]
+                raw = lines[fold][0] + np.stack(part["x"]) @ lines[fold][1:]
+                guess = np.where(logged, np.expm1(np.clip(raw, *LOG_RANGE)), raw + count - y)
+                total = np.abs(np.maximum(0.0, guess) - count).sum(axis=0)
+                yield pd.DataFrame({"at": range(len(picked)), "fold": fold, "role": role, "error": total, "n": len(part)})
+
+    tried = rows.mapInPandas(errors, "at int, fold int, role string, error double, n long")
+    role = {r: [F.when(F.col("role") == r, F.col(c)) for c in ("error", "n")] for r in ("check", "train")}
+    per = tried.groupBy("at", "fold").agg(*[
+        (F.sum(role[r][0]) / F.sum(role[r][1])).alias(n) for r, n in (("check", "mae"), ("train", "train_mae"))],
+        F.sum(role["check"][1]).alias("days"))
+    told = F.create_map(*[F.lit(v) for at, (i, c) in enumerate(candidates) for v in (at, json.dumps([i, _setting(c)]))])
+    known = F.from_json(told[F.col("at")], "array<string>")
+    return per.select(known[0].cast("int").alias("candidate"), known[1].alias("setting"), "fold", "mae", "train_mae", "days")
 
 
 def search_board(results: DataFrame) -> DataFrame:
     """Mean MAE per setting, best first."""
     return results.groupBy("candidate", "setting").agg(
-        F.avg("mae").alias("mean_mae"), F.stddev_pop("mae").alias("std_mae"), F.count(F.lit(1)).alias("folds")
+        F.avg("mae").alias("mean_mae"), F.stddev_pop("mae").alias("std_mae"), F.avg("train_mae").alias("mean_train_mae"), F.count(F.lit(1)).alias("folds")
     ).orderBy("mean_mae", "candidate")
 
 

@@ -21,13 +21,14 @@ def resolve(path: str) -> tuple[fs.FileSystem, str]:
 
 
 def list_files(path: str, suffix: str) -> list[str]:
-    """The file itself, or the files with ``suffix`` directly below a folder, in name order."""
+    """The file itself, or the files with ``suffix`` below a folder at any depth, in path order."""
     filesystem, inner = resolve(path)
     info = filesystem.get_file_info(inner)
     if info.type == fs.FileType.File:
         return [path]
     if info.type != fs.FileType.Directory:
         raise FileNotFoundError(path)
-    names = sorted(f.base_name for f in filesystem.get_file_info(fs.FileSelector(inner))
+    below = len(inner.rstrip("/")) + 1
+    names = sorted(f.path[below:] for f in filesystem.get_file_info(fs.FileSelector(inner, recursive=True))
                    if f.type == fs.FileType.File and f.base_name.lower().endswith(suffix))
     return [f"{path.rstrip('/')}/{n}" for n in names]

@@ -7,11 +7,13 @@ driver reads the archives' directories only. Members stream through Arrow in blo
 from __future__ import annotations
 
 import csv
-import io
 import re
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Iterator, Sequence
+from contextlib import ExitStack, contextmanager
+from typing import IO
 
 import pyarrow as pa
 import pyarrow.csv as pa_csv
@@ -35,30 +37,56 @@ BLOCK_BYTES = 8 * 1024 * 1024
 SPOOL_BYTES = 64 * 1024 * 1024
 
 
-def _skipped(name: str) -> bool:
-    parts = name.split("/")
-    return name.endswith("/") or "__MACOSX" in parts or parts[-1].startswith("._")
+TABLE_OR_ARCHIVE = re.compile(r"\.(csv|zip)$", re.IGNORECASE)
+# Where one desktop system leaves its resource copies.
+RESOURCE_COPY = re.compile(r"(^|/)(__MACOSX/|\._[^/]*$)")
+#: What the reader adds to a member's own columns; size and checksum come from the archive's directory.
+ADDED = {"_member": "string", "_header": "string", "_bytes": "long", "_crc": "long"}
 
 
-def _wanted(archive: zipfile.ZipFile) -> list[str]:
-    return sorted(i.filename for i in archive.infolist()
-                  if not _skipped(i.filename) and i.filename.lower().endswith((".csv", ".zip")))
+def _inside(archive: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
+    """Tables and archives directly inside, by name."""
+    found = [i for i in archive.infolist() if TABLE_OR_ARCHIVE.search(i.filename) and not RESOURCE_COPY.search(i.filename)]
+    return sorted(found, key=lambda i: i.filename)
 
 
-def _members(archive: zipfile.ZipFile, names: Sequence[str], prefix: str) -> Iterator[tuple[str, io.BufferedIOBase]]:
-    for name in names:
-        if name.lower().endswith(".csv"):
-            with archive.open(name) as stream:
-                yield prefix + name, stream
-        else:
-            # A nested archive needs seeking; it is spooled, to disk only when large.
-            with tempfile.SpooledTemporaryFile(max_size=SPOOL_BYTES) as spool:
-                with archive.open(name) as source:
-                    while block := source.read(BLOCK_BYTES):
-                        spool.write(block)
-                spool.seek(0)
-                with zipfile.ZipFile(spool) as child:
-                    yield from _members(child, _wanted(child), f"{prefix}{name}!/")
+def _is_table(name: str) -> bool:
+    return name.lower().endswith(".csv")
+
+
+@contextmanager
+def _opened_inner(archive: zipfile.ZipFile, info: zipfile.ZipInfo):
+    """An archive inside an archive needs seeking, so it is copied: to memory, or to the task's disk when large."""
+    with tempfile.SpooledTemporaryFile(max_size=SPOOL_BYTES) as copy:
+        with archive.open(info) as packed:
+            shutil.copyfileobj(packed, copy, BLOCK_BYTES)
+        with zipfile.ZipFile(copy) as inner:
+            yield inner
+
+
+def _tables(file: str, entry: str) -> Iterator[tuple[str, zipfile.ZipInfo, IO[bytes]]]:
+    """(path inside, directory record, stream) of each table at or below one top-level entry.
+
+    Archives that are open wait on a list, each with what is left of its contents; the last one is
+    worked on first and closed when nothing is left, so open copies are bounded by the depth.
+    """
+    with ExitStack() as whole:
+        top = whole.enter_context(zipfile.ZipFile(whole.enter_context(open_path(file))))
+        waiting = [(f"{file.rstrip('/').rsplit('/', 1)[-1]}!/", top, iter([top.getinfo(entry)]), ExitStack())]
+        whole.callback(lambda: [level[3].close() for level in reversed(waiting)])
+        while waiting:
+            prefix, archive, left, owner = waiting[-1]
+            info = next(left, None)
+            if info is None:
+                waiting.pop()
+                owner.close()
+            elif _is_table(info.filename):
+                with archive.open(info) as stream:
+                    yield prefix + info.filename, info, stream
+            else:
+                owner = ExitStack()
+                inner = owner.enter_context(_opened_inner(archive, info))
+                waiting.append((f"{prefix}{info.filename}!/", inner, iter(_inside(inner)), owner))
 
 
 class _Entry(InputPartition):
@@ -73,70 +101,67 @@ class _ZipCsvReader(DataSourceReader):
         self.paths = [p for p in options.get("path", options.get("paths", "")).split(",") if p]
         self.required = [c for c in options.get("required", "").split(",") if c]
         self.members = options.get("members", "")
+        self.unknown = options.get("unknown", "fail")
 
     def partitions(self) -> list[_Entry]:
         entries = []
         for path in self.paths:
             for file in list_files(path, ".zip"):
                 with open_path(file) as stream, zipfile.ZipFile(stream) as archive:
-                    entries += [_Entry(file, n) for n in _wanted(archive)
-                                if n.lower().endswith(".zip") or re.search(self.members, n)]
+                    names = [i.filename for i in _inside(archive)]
+                entries += [_Entry(file, n) for n in names if not _is_table(n) or re.search(self.members, n)]
         if not entries:
-            raise ValueError("no CSV members found, nested archives included")
+            raise ValueError(f"{', '.join(self.paths)}: no archive here holds a table or another archive")
         return entries
 
     def read(self, partition: _Entry):
-        outer = partition.path.rstrip("/").rsplit("/", 1)[-1]
-        with open_path(partition.path) as stream, zipfile.ZipFile(stream) as archive:
-            for member, content in _members(archive, [partition.name], outer + "!/"):
-                if re.search(self.members, member):
-                    yield from self._batches(member, content)
-
-    def _batches(self, member: str, content) -> Iterator[pa.RecordBatch]:
-        first = content.readline().decode("utf-8-sig").strip("\r\n")
-        header = next(csv.reader([first])) if first else []
-        absent = [c for c in self.required if c not in header]
+        for where, info, stream in _tables(partition.path, partition.name):
+            if re.search(self.members, where):
+                yield from self._batches(where, info, stream)
+
+    def _batches(self, where: str, info: zipfile.ZipInfo, stream) -> Iterator[pa.RecordBatch]:
+        names = next(csv.reader([stream.readline().decode("utf-8-sig").strip("\r\n")]), [])
+        absent = [c for c in self.required if c not in names]
         if absent:
-            raise ValueError(f"{member}: unsupported columns {header}; {absent} are absent")
+            raise ValueError(f"{where} lacks {', '.join(absent)}; its columns are {', '.join(names)}")
+        unknown = [c for c in names if c not in self.columns]
+        if unknown and self.unknown == "fail":
+            raise ValueError(f"{where} also has {', '.join(unknown)}; list the columns to read, or pass unknown='drop'")
+        added = {"_member": where, "_header": ",".join(names), "_bytes": info.file_size, "_crc": info.CRC}
         rows = 0
+        for batch in self._blocks(where, names, stream):
+            rows += batch.num_rows
+            yield pa.RecordBatch.from_arrays([
+                pa.repeat(pa.scalar(added[c], pa.string() if ADDED[c] == "string" else pa.int64()), batch.num_rows) if c in ADDED
+                else batch.column(names.index(c)) if c in names else pa.nulls(batch.num_rows, pa.string())
+                for c in self.columns], names=self.columns)
+        if not rows:
+            raise ValueError(f"{where} has no rows")
+
+    @staticmethod
+    def _blocks(where: str, names: list[str], stream):
+        texts = pa_csv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()), null_values=NULL_TEXTS,
+                                      strings_can_be_null=True)
         try:
-            reader = pa_csv.open_csv(
-                content, read_options=pa_csv.ReadOptions(column_names=header, block_size=BLOCK_BYTES),
-                parse_options=pa_csv.ParseOptions(newlines_in_values=True),
-                convert_options=pa_csv.ConvertOptions(column_types={c: pa.string() for c in header},
-                                                      null_values=NULL_TEXTS, strings_can_be_null=True))
+            return pa_csv.open_csv(stream, pa_csv.ReadOptions(column_names=names, block_size=BLOCK_BYTES),
+                                   pa_csv.ParseOptions(newlines_in_values=True), texts)
         except pa.ArrowInvalid as error:
-            if "Empty CSV" in str(error):
-                raise ValueError(f"empty CSV member: {member}") from None
+            if "Empty CSV" in str(error):  # nothing follows the header
+                raise ValueError(f"{where} has no rows") from None
             raise
-        for batch in reader:
-            n = batch.num_rows
-            rows += n
-            columns = []
-            for name in self.columns:
-                if name == "_member":
-                    columns.append(pa.array([member] * n, pa.string()))
-                elif name == "_header":
-                    columns.append(pa.array([",".join(header)] * n, pa.string()))
-                elif name in header:
-                    columns.append(batch.column(header.index(name)))
-                else:
-                    columns.append(pa.nulls(n, pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, names=self.columns)
-        if not rows:
-            raise ValueError(f"empty CSV member: {member}")
 
 
 class ZipCsvSource(DataSource):
     """Options: ``path`` or ``paths`` (comma-separated files or folders), ``required`` columns,
-    ``members`` (a pattern that keeps matching member names only)."""
+    ``members`` (a pattern that keeps matching member names only), ``unknown`` (``fail`` or ``drop`` where a
+    member has columns beyond the schema; fail unless set)."""
 
     @classmethod
     def name(cls) -> str:
         return "zipcsv"
 
     def schema(self) -> str:
-        return ", ".join(f"{c} string" for c in [*TRIP_COLUMNS, "_member", "_header"])
+        return ", ".join([*(f"{c} string" for c in TRIP_COLUMNS), *(f"{c} {t}" for c, t in ADDED.items())])
 
     def reader(self, schema: StructType) -> DataSourceReader:
         return _ZipCsvReader(schema, dict(self.options))
@@ -147,13 +172,14 @@ def register(spark: SparkSession) -> None:
 
 
 def read_zip_csv(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None,
-                 required: Sequence[str] = (), members: str = "") -> DataFrame:
+                 required: Sequence[str] = (), members: str = "", unknown: str | None = None) -> DataFrame:
+    """Text columns of every table. Without ``columns`` they are a trip's, and others raise; with them, others are not read."""
     register(spark)
     paths = [paths] if isinstance(paths, str) else list(paths)
     reader = spark.read.format("zipcsv").option("paths", ",".join(paths)).option("required", ",".join(required)).option(
-        "members", members)
+        "members", members).option("unknown", unknown or ("fail" if columns is None else "drop"))
     if columns is not None:
-        reader = reader.schema(", ".join(f"`{c}` string" for c in [*columns, "_member", "_header"]))
+        reader = reader.schema(", ".join([*(f"`{c}` string" for c in columns), *(f"{c} {t}" for c, t in ADDED.items())]))
     return reader.load()
 
 
@@ -165,7 +191,8 @@ def read_trips(spark: SparkSession, paths: str | Sequence[str], members: str = "
 def read_trip_csv(spark: SparkSession, path: str) -> DataFrame:
     """The same rows from plain CSV files; each file's header is checked against the names."""
     raw = spark.read.csv(path, header=True, schema=", ".join(f"{c} string" for c in TRIP_COLUMNS), enforceSchema=False)
-    return parse_trips(raw.withColumn("_member", F.col("_metadata.file_name")))
+    known = raw.withColumns({c: F.when(~F.col(c).isin(NULL_TEXTS), F.col(c)) for c in TRIP_COLUMNS})
+    return parse_trips(known.withColumn("_member", F.col("_metadata.file_name")))
 
 
 def parse_trips(raw: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from daymark.streaming.runner import run_batches
 HISTORY_DAYS = 28
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 FEATURES = ("{series} string, date date, trips bigint, weekday int, month int, lag_1 bigint, lag_7 bigint, "
-            "past_7_day_mean double, gap_days int")
+            "past_7_day_mean double, gap_days int, late boolean")
 
 
 def with_event_time(rows: DataFrame, start: str, delay: str) -> DataFrame:
@@ -41,7 +41,8 @@ def first_seen(rows: DataFrame, ride_id: str = "ride_id", start: str = "started_
     return with_event_time(rows, start, delay).dropDuplicatesWithinWatermark([ride_id])
 
 
-def split_late_rows(rows: DataFrame, start: str = "started_at", delay: str = "1 day") -> tuple[DataFrame, DataFrame]:
+def split_late_rows(rows: DataFrame, start: str = "started_at", delay: str = "1 day",
+                    base: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Run the stream; return (accepted rows, too-late rows).
 
     The bound of a batch is the newest start of all earlier batches less ``delay``. A row behind
@@ -69,7 +70,7 @@ def split_late_rows(rows: DataFrame, start: str = "started_at", delay: str = "1
             newest = newest.unionByName(before).agg(F.max("newest").alias("newest"))
         newest.write.mode("overwrite").parquet(f"{base}/newest/{batch_id}")
 
-    base = run_batches(rows, handle, "late")
+    base = run_batches(rows, handle, "late", base)
     table = spark.read.schema(StructType([*schema.fields, StructField("_late", BooleanType())])).parquet(f"{base}/rows")
     return table.where(~F.col("_late")).select(*rows.columns), table.where("_late").select(*rows.columns)
 
@@ -77,7 +78,8 @@ def split_late_rows(rows: DataFrame, start: str = "started_at", delay: str = "1
 class HistoryFeatures(StatefulProcessor):
     """Keeps the last 28 closed daily totals of a series and emits one-step features per closed day.
 
-    Missing days break the history: the totals before a gap are dropped and the gap is reported.
+    Missing days break the history: the totals before a gap are dropped and the gap is reported. A day
+    that is not after the newest one seen comes out as ``late``, without features, and changes nothing.
     """
 
     def __init__(self, series: str):
@@ -93,17 +95,20 @@ class HistoryFeatures(StatefulProcessor):
         out = []
         for day, count in zip(days["date"], days["trips"]):
             gap = (day - last).days - 1 if last is not None else 0
+            if gap < 0:
+                out.append((key[0], day, int(count), day.weekday(), day.month, None, None, None, gap, True))
+                continue
             if gap:
                 totals = []
             if len(totals) >= 7:
-                out.append((key[0], day, int(count), day.weekday(), day.month, totals[-1], totals[-7], sum(totals[-7:]) / 7.0, gap))
+                out.append((key[0], day, int(count), day.weekday(), day.month, totals[-1], totals[-7], sum(totals[-7:]) / 7.0, gap, False))
             elif gap:
-                out.append((key[0], day, int(count), day.weekday(), day.month, None, None, None, gap))
+                out.append((key[0], day, int(count), day.weekday(), day.month, None, None, None, gap, False))
             totals = (totals + [int(count)])[-HISTORY_DAYS:]
             last = day
         self.history.update((last, totals))
-        frame = pd.DataFrame(out, columns=[self.series, "date", "trips", "weekday", "month", "lag_1", "lag_7", "past_7_day_mean", "gap_days"])
-        yield frame.astype({"lag_1": "Int64", "lag_7": "Int64", "trips": "Int64"})
+        frame = pd.DataFrame(out, columns=[self.series, "date", "trips", "weekday", "month", "lag_1", "lag_7", "past_7_day_mean", "gap_days", "late"])
+        yield frame.astype({"late": "bool", "lag_1": "Int64", "lag_7": "Int64", "trips": "Int64"})
 
     def close(self) -> None:
         pass
@@ -121,7 +126,8 @@ def history_features(closed_days: DataFrame, series: str = "series") -> DataFram
 
 
 def score_with_fallback(rows: DataFrame, preferred: DataFrame, on: Sequence[str], value: str, fallback: str,
-                        preferred_name: str = "weather", counts_name: str = "counts", model=None) -> DataFrame:
+                        preferred_name: str = "weather", counts_name: str = "counts", model=None,
+                        base: str | None = None) -> DataFrame:
     """Run the stream; score each micro-batch with the same functions as the batch job.
 
     ``model`` (a fitted pipeline) may add the fallback column first. Each batch writes its own folder.
@@ -131,7 +137,7 @@ def score_with_fallback(rows: DataFrame, preferred: DataFrame, on: Sequence[str]
         routed = route_with_fallback(scored, preferred, on, value, fallback, preferred_name, counts_name)
         routed.write.mode("overwrite").parquet(f"{base}/scored/batch={batch_id}")
 
-    base = run_batches(rows, handle, "scored")
+    base = run_batches(rows, handle, "scored", base)
     return rows.sparkSession.read.parquet(f"{base}/scored").drop("batch")
 
 

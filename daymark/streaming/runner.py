@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from daymark.session import scratch_path
 
@@ -20,49 +21,58 @@ def stream_parquet(spark: SparkSession, path: str, schema, files_per_batch: int
     return reader.parquet(path)
 
 
-def stream_table(table: DataFrame, files_per_batch: int | None = None) -> DataFrame:
-    """The files behind a batch table as a stream: a single file, or all folders below their common parent.
+def stream_table(spark: SparkSession, path: str, schema, files_per_batch: int | None = None) -> DataFrame:
+    """The table at ``path`` as a stream: one file, or a folder with all folders below it.
 
-    Folders named ``column=value`` are read as partition columns, as in the batch table.
+    Folders named ``column=value`` are read as partition columns, as in a batch table.
     """
-    files = table.inputFiles()
-    if len(files) == 1:
-        folder, name = files[0].rsplit("/", 1)
-        return stream_parquet(table.sparkSession, folder, table.schema, files_per_batch, name)
-    parents = [f.split("/")[:-1] for f in files]
-    depth = next((i for i, level in enumerate(zip(*parents)) if len(set(level)) > 1), min(map(len, parents)))
-    return stream_parquet(table.sparkSession, "/".join(parents[0][:depth]), table.schema, files_per_batch)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isFile():
+        folder, name = path.rsplit("/", 1)
+        return stream_parquet(spark, folder, schema, files_per_batch, name)
+    return stream_parquet(spark, path, schema, files_per_batch)
 
 
-def run_append(stream: DataFrame, purpose: str = "stream") -> DataFrame:
+def _run(writer, base: str) -> None:
+    writer.option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).start().awaitTermination()
+
+
+# Each call below keeps progress and results under ``base``. A later call with the same ``base`` reads
+# only files that came since and returns old and new results; without ``base`` a call starts anew.
+
+
+def run_append(stream: DataFrame, purpose: str = "stream", base: str | None = None) -> DataFrame:
     """Append to a Parquet table until the input is used up; the file sink commits each batch once."""
     spark = stream.sparkSession
-    base = scratch_path(spark, purpose)
-    (stream.writeStream.format("parquet").outputMode("append").option("path", f"{base}/table")
-     .option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).start().awaitTermination())
+    base = base or scratch_path(spark, purpose)
+    _run(stream.writeStream.format("parquet").outputMode("append").option("path", f"{base}/table"), base)
     return spark.read.schema(stream.schema).parquet(f"{base}/table")
 
 
-def run_complete(stream: DataFrame, purpose: str = "stream") -> DataFrame:
-    """Complete mode: each batch replaces the result table; the last one is returned."""
+def run_complete(stream: DataFrame, purpose: str = "stream", base: str | None = None) -> DataFrame:
+    """Complete mode: each batch writes the whole result anew; the last one is returned."""
     spark = stream.sparkSession
-    base = scratch_path(spark, purpose)
-    written: list[int] = []
+    base = base or scratch_path(spark, purpose)
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/table/{batch_id}")
-        written.append(batch_id)
+        batch.write.mode("overwrite").parquet(f"{base}/table/batch={batch_id}")
 
-    (stream.writeStream.outputMode("complete").foreachBatch(save)
-     .option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).start().awaitTermination())
-    return spark.read.schema(stream.schema).parquet(f"{base}/table/{max(written)}")
+    # An empty result stands in until the first batch, so that a run without input has one too.
+    spark.createDataFrame([], stream.schema).write.mode("overwrite").parquet(f"{base}/table/batch=-1")
+    _run(stream.writeStream.outputMode("complete").foreachBatch(save), base)
+    written = spark.read.schema(f"batch long, {_ddl(stream)}").parquet(f"{base}/table")
+    latest = written.agg(F.max("batch")).first()[0]
+    return written.where(F.col("batch") == F.lit(latest)).drop("batch")
 
 
-def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int, str], None], purpose: str = "stream") -> str:
+def _ddl(frame: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema)
+
+
+def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int, str], None], purpose: str = "stream",
+                base: str | None = None) -> str:
     """Call ``handle(batch, batch_id, base)`` per micro-batch. A repeated batch id must overwrite
     what it wrote before. Returns the base path."""
-    spark = stream.sparkSession
-    base = scratch_path(spark, purpose)
-    (stream.writeStream.foreachBatch(lambda batch, batch_id: handle(batch, batch_id, base))
-     .option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).start().awaitTermination())
+    base = base or scratch_path(stream.sparkSession, purpose)
+    _run(stream.writeStream.foreachBatch(lambda batch, batch_id: handle(batch, batch_id, base)), base)
     return base

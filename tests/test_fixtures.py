@@ -461,7 +461,7 @@ def test_nested_archives(spark, tmp_path):
     assert only.count() == 2
 
 
-@pytest.mark.parametrize("content, message", [(HEADER, "empty CSV"), ("", "absent"), ("ride_id,started_at\n1,2\n", "absent")])
+@pytest.mark.parametrize("content, message", [(HEADER, "has no rows"), ("", "lacks ride_id"), ("ride_id,started_at\n1,2\n", "lacks rideable_type")])
 def test_broken_members_fail(spark, tmp_path, content, message):
     path = archive(tmp_path / "bad.zip", {"202301-trips.csv": content})
     with pytest.raises(Exception, match=message):

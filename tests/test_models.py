@@ -143,3 +143,12 @@ def test_rolling_evaluation_keeps_series_apart(spark):
     perfect = daily.select("series", "date", F.col("trips").cast("double").alias("prediction"))
     found = rolling_evaluation(daily, perfect, "2024-02-10").where("subset = 'all'").first()
     assert found["mae"] == 0.0
+
+
+def test_grid_weights_go_by_series(frame, halves):
+    both = halves[0].unionByName(halves[0].withColumn("series", F.lit("twin")))
+    candidate = forecasting.ResidualForecaster("ridge", "compact", half_life=20, alpha=0.0)
+    one, two = ({r["fold"]: (r["mae"], r["train_mae"]) for r in forecasting.grid_search_chrono(rows, [candidate]).collect()}
+                for rows in (halves[0], both))
+    for fold in one:  # a copy of the series changes neither weights nor errors
+        assert two[fold] == pytest.approx(one[fold], rel=1e-6)

@@ -102,10 +102,33 @@ def test_sums_are_kept_in_complete_mode(spark, arrivals):
 
 
 def test_a_partitioned_table_streams_every_row(spark, tmp_path):
-    from daymark.streaming import runner
-
     path = str(tmp_path / "table")
     spark.range(100).selectExpr("id", "id % 4 as part").write.partitionBy("part").parquet(path)
-    table = spark.read.parquet(path)
-    out = runner.run_append(runner.stream_table(table, files_per_batch=1))
+    out = runner.run_append(runner.stream_table(spark, path, spark.read.parquet(path).schema, files_per_batch=1))
     assert sorted(r["id"] for r in out.collect()) == list(range(100))
+
+
+def test_a_second_run_adds_only_new_files(spark, tmp_path):
+    path, start = str(tmp_path / "in"), datetime(2023, 1, 1)
+    write(spark, path, trips(start, 30, 1, "a"))
+
+    def appended():
+        return runner.run_append(stream(spark, path).select("ride_id"), base=str(tmp_path / "append")).count()
+
+    def counted():
+        return runner.run_complete(jobs.daily_windows(stream(spark, path)), base=str(tmp_path / "counts")).agg(F.sum("trips")).first()[0]
+
+    assert (appended(), counted()) == (30, 30)
+    assert (appended(), counted()) == (30, 30)  # nothing new
+    write(spark, path, trips(start + timedelta(days=2), 12, 1, "b"))
+    assert (appended(), counted()) == (42, 42)
+
+
+def test_a_late_day_is_set_aside_and_keeps_the_history(spark, tmp_path):
+    path = str(tmp_path / "days")
+    closed_days(spark, path, list(range(15)), skip=(3,))
+    spark.createDataFrame([("all", datetime(2023, 1, 4).date(), 3)], "series string, date date, trips long").coalesce(1).write.mode("append").parquet(path)
+    spark.createDataFrame([("all", datetime(2023, 1, 16).date(), 15)], "series string, date date, trips long").coalesce(1).write.mode("append").parquet(path)
+    got = {r["date"].day: r for r in runner.run_append(jobs.history_features(stream(spark, path))).collect()}
+    assert got[4]["late"] and got[4]["lag_1"] is None
+    assert not got[16]["late"] and got[16]["gap_days"] == 0 and got[16]["lag_1"] == 14
