@@ -3,6 +3,7 @@
 import io
 import math
 import zipfile
+import zlib
 from datetime import date, datetime
 
 import pandas as pd
@@ -461,7 +462,19 @@ def test_nested_archives(spark, tmp_path):
     assert only.count() == 2
 
 
-@pytest.mark.parametrize("content, message", [(HEADER, "has no rows"), ("", "lacks ride_id"), ("ride_id,started_at\n1,2\n", "lacks rideable_type")])
+def test_archives_below_folders_and_further_columns(spark, tmp_path):
+    (tmp_path / "2023" / "01").mkdir(parents=True)
+    content = HEADER.strip() + ",fee\n" + "a" * 16 + ",classic,2023-01-01 00:00:00,2023-01-01 00:10:00,,NA\n"
+    archive(tmp_path / "2023" / "01" / "t.ZIP", {"202301-trips.csv": content})
+    with pytest.raises(Exception, match="also has fee"):
+        zip_csv.read_zip_csv(spark, str(tmp_path)).collect()
+    assert zip_csv.read_zip_csv(spark, str(tmp_path), unknown="drop").count() == 1
+    row = zip_csv.read_zip_csv(spark, str(tmp_path), columns=["ride_id", "fee"]).first()
+    assert row["fee"] is None and row["ride_id"] == "a" * 16
+    assert (row["_bytes"], row["_crc"]) == (len(content), zlib.crc32(content.encode()))
+
+
+@pytest.mark.parametrize("content, message", [(HEADER, "has no rows"), ("", "lacks ride_id"), ("ride_id,started_at\n1,2\n", "lacks ended_at")])
 def test_broken_members_fail(spark, tmp_path, content, message):
     path = archive(tmp_path / "bad.zip", {"202301-trips.csv": content})
     with pytest.raises(Exception, match=message):
