@@ -1,7 +1,7 @@
 """First-fit-decreasing packing with a tournament tree, in randomised groups of documents (operator 9).
 
-Documents become token ids (byte-level BPE of 50,257 ids) plus one end id, are cut at every ``size``
-ids, and the pieces are dealt by a hash of (doc_id, start) into groups of about ``group_pieces`` pieces.
+Documents become token ids (byte-level BPE of 50,257 ids, the vocabulary's added tokens included: a text
+that holds one literally gets its id there) plus one end id, are cut at every ``size`` ids, and the pieces are dealt by a hash of (doc_id, start) into groups of about ``group_pieces`` pieces.
 A group is packed by itself: pieces by falling length, each into the first sequence that still has room,
 found by descending a tournament tree over the free room of the group's sequences. Full pieces take a
 sequence each. Groups hold only lengths, never texts, and their number follows the number of pieces, so
@@ -15,6 +15,7 @@ table gives an empty result; extra columns are not read.
 from __future__ import annotations
 
 import base64
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -38,7 +39,7 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 @lru_cache(maxsize=2)
 def encoder(vocabulary: str, pattern: str):
-    """The vocabulary file as an encoder: ranks of byte pieces, with no special tokens."""
+    """The rank file as an encoder of byte pieces; added tokens are split off before it, in ``Encoder``."""
     import tiktoken
 
     with open(vocabulary, "rb") as lines:
@@ -46,20 +47,40 @@ def encoder(vocabulary: str, pattern: str):
     return tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def added_tokens(tokenizer: str) -> tuple[tuple[str, int], ...]:
+    """(literal, id) of the added tokens of a ``tokenizers`` JSON file; only literals matched as they stand are known."""
+    with open(tokenizer, encoding="utf-8") as file:
+        whole = json.load(file)
+    for t in whole["added_tokens"]:
+        if t["single_word"] or t["lstrip"] or t["rstrip"] or (t["normalized"] and whole["normalizer"]):
+            raise ValueError(f"added token {t['content']!r} is not a plain literal")
+    return tuple((t["content"], t["id"]) for t in whole["added_tokens"])
+
+
 class Encoder:
     """Ids as little-endian uint32 bytes, remembering the ids of space-separated words.
 
     The pre-tokeniser never joins a space to what stands before it, so a text without two white-space
     characters in a row can be encoded word by word, each with its leading space. The memory is emptied
-    when it holds ``MEMO_ENTRIES`` words.
+    when it holds ``MEMO_ENTRIES`` words. Added tokens cut the text first (the leftmost, then the longest
+    one); each part between them is encoded as a text of its own, as ``tokenizers`` does.
     """
 
     double_space = re.compile(r"\s\s")
 
-    def __init__(self, vocabulary: str, pattern: str):
+    def __init__(self, vocabulary: str, pattern: str, added: tuple[tuple[str, int], ...] = ()):
         self.encode, self.memo = encoder(vocabulary, pattern).encode_ordinary, {}
+        self.added = {literal: np.array([i], dtype="<u4").tobytes() for literal, i in added}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.literals = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
 
     def __call__(self, text: str) -> bytes:
+        if not any(literal in text for literal in self.added):
+            return self.plain(text)
+        parts = self.literals.split(text)  # every second part is a literal
+        return b"".join(self.added[part] if i % 2 else self.plain(part) for i, part in enumerate(parts))
+
+    def plain(self, text: str) -> bytes:
         words = text.split(" ")
         if len(words) < 3 or self.double_space.search(text):
             return self.fresh(text)
@@ -78,17 +99,17 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def shared_encoder(vocabulary: str, pattern: str) -> Encoder:
-    return Encoder(vocabulary, pattern)  # a Python worker keeps its memory from task to task
+def shared_encoder(vocabulary: str, pattern: str, added: tuple[tuple[str, int], ...] = ()) -> Encoder:
+    return Encoder(vocabulary, pattern, added)  # a Python worker keeps its memory from task to task
 
 
-def cut_pieces(docs: DataFrame, vocabulary: str, pattern: str, size: int = SIZE, id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
+def cut_pieces(docs: DataFrame, vocabulary: str, pattern: str, added: tuple[tuple[str, int], ...] = (), size: int = SIZE,
+               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens."""
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = shared_encoder(vocabulary, pattern)
+        encode = shared_encoder(vocabulary, pattern, added)
         for batch in batches:
             out = ([], [], [], [], [])
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -150,8 +171,8 @@ def pack(pieces: DataFrame, size: int = SIZE, group_pieces: int = GROUP_PIECES)
     return dealt.groupBy("_group").applyInPandas(pack_group, PIECES + ", sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, pattern: str, size: int = SIZE, group_pieces: int = GROUP_PIECES,
-                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, pattern: str, added: tuple[tuple[str, int], ...] = (), size: int = SIZE,
+                   group_pieces: int = GROUP_PIECES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Action: the pieces are written once to the shared folder, then packed."""
-    pieces = materialize(cut_pieces(docs, vocabulary, pattern, size, id_col, text_col), "pieces")
+    pieces = materialize(cut_pieces(docs, vocabulary, pattern, added, size, id_col, text_col), "pieces")
     return pack(pieces, size, group_pieces)

@@ -23,11 +23,12 @@ def read(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_files() -> tuple[str, str]:
-    """Vocabulary file and pre-tokeniser pattern of the public byte-level BPE."""
+def tokenizer_files() -> tuple[str, str, tuple[tuple[str, int], ...]]:
+    """Rank file, pre-tokeniser pattern and added tokens of the public byte-level BPE."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    added = packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added
 
 
 @query("op1_license_scan")
