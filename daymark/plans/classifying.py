@@ -168,12 +168,15 @@ def nested_cutoff(df: DataFrame, make, target: float = 0.9, outer: int = 5, inne
 
 def preparation_ablation(df: DataFrame, versions: dict[str, tuple[Sequence[str], Sequence[str], bool]],
                          families: Sequence[str] = ("logistic", "forest"), k: int = 5, repeats: int = 2,
-                         workers: int = 4) -> DataFrame:
-    """Mean held-out ROC AUC per data version (rows) and model (columns), same folds throughout."""
+                         workers: int = 4, settings: dict[str, dict] | None = None) -> DataFrame:
+    """Mean held-out ROC AUC per data version (rows) and model (columns), same folds throughout.
+
+    ``settings`` holds the model's settings per family.
+    """
     parts = []
     for version, (numeric, categorical, flags) in versions.items():
         for family in families:
-            scores = held_out_scores(df, lambda: classifier(family, numeric, categorical, flags), k, repeats, workers=workers)
+            scores = held_out_scores(df, lambda: classifier(family, numeric, categorical, flags, **(settings or {}).get(family, {})), k, repeats, workers=workers)
             parts.append(scores.withColumns({"version": F.lit(version), "model": F.lit(family)}))
     scores = parts[0]
     for part in parts[1:]:
