@@ -23,8 +23,9 @@ phrases straight to step 2, behind one mark per block, and there as fingerprints
 by block in the same way. Texts travel compressed.
 
 Defined cases: null text counts as empty; documents shorter than ``LENGTH`` bytes keep all bytes; rows
-that repeat doc_id and text are one document and both get its result; rows with a null id count as one
-document before all others; empty input gives empty output; extra columns are not read.
+that repeat doc_id and text are one document and both get its result; rows of one doc_id with different
+texts are different documents, ordered among themselves by the SHA-256 of their text; null ids come before
+all others; empty input gives empty output; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -39,8 +40,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.frames import parts, thin
+from daymark.llm.frames import join_hot, parts, thin
 from daymark.llm.near_dedup import mix, ranges
+from daymark.operators.ordered import numbered, with_written_range
 from daymark.session import materialize
 
 LENGTH = 100
@@ -189,8 +191,23 @@ def in_blocks(found: Iterator[tuple[np.ndarray, ...]], split_hot: bool) -> Itera
         yield from settle(*map(np.concatenate, zip(*block)), split_hot)
 
 
-def ids_of(column: pa.Array) -> np.ndarray:
-    return column.fill_null(NULL_ID).to_numpy(zero_copy_only=False).astype(np.int64)
+def placed(rows: DataFrame) -> DataFrame:
+    """(doc, doc_id, text): ``doc`` is one number per distinct (doc_id, text), growing with doc_id.
+
+    With unique ids, counted first over ids alone, the id is that number. Otherwise all distinct pairs of id
+    and text digest are numbered in order (null ids first).
+    """
+    unique = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where((F.col("n") > 1) | F.col("doc_id").isNull()).isEmpty()
+    if unique:
+        return rows.select(F.col("doc_id").alias("doc"), "doc_id", "text")
+    keyed = rows.withColumn("id", F.coalesce("doc_id", F.lit(NULL_ID))).withColumn("digest", F.sha2("text", 256))
+    pairs = keyed.groupBy("id", "digest").agg(F.count(F.lit(1)).alias("copies"))
+    spread = with_written_range(pairs, ["id", "digest"], "part")
+    number = numbered(spread, ["id", "digest"], F.col("part"), out="doc").select(
+        F.concat_ws(":", "id", "digest").alias("pair"), "doc", "copies")
+    keyed = keyed.select("doc_id", "text", F.concat_ws(":", "id", "digest").alias("pair"))
+    total = int(number.agg(F.sum("copies")).first()[0])
+    return materialize(join_hot(keyed, materialize(number, "numbers"), "pair", "copies", total).select("doc", "doc_id", "text"), "placed")
 
 
 def bytes_of(text: str | None) -> bytes:
@@ -201,7 +218,7 @@ def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents (doc, text) to settled phrase rows."""
     def rows():
         for batch in batches:
-            doc, texts = ids_of(batch.column(0)), [bytes_of(t) for t in batch.column(1).to_pylist()]
+            doc, texts = batch.column(0).to_numpy(), [bytes_of(t) for t in batch.column(1).to_pylist()]
             for a, b in ranges([len(t) for t in texts], CHUNK_BYTES):
                 key, entry, owner, first, last = phrases(texts[a:b])
                 yield key, entry, doc[a:b][owner], first, last
@@ -213,7 +230,7 @@ def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     packer = zstandard.ZstdCompressor(level=3)
     for batch in batches:
         packed = [packer.compress(bytes_of(t.as_py())) for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([pa.array(ids_of(batch.column(0))), pa.array(packed, pa.binary())], ["doc", "packed"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary()), batch.column(2)], ["doc", "packed", "doc_id"])
 
 
 def unpacked(column: pa.Array) -> Iterator[bytes]:
@@ -323,13 +340,13 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def finish(docs: DataFrame, id_col: str, text_col: str, schema: str, result) -> DataFrame:
-    rows = thin(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc"), "text")
-    marks = materialize(sort_out(rows.mapInArrow(parse, ROWS)), "marks")
-    packed = rows.mapInArrow(pack_texts, "doc long, packed binary")
+    rows = placed(thin(docs, id_col, text_col))
+    marks = materialize(sort_out(rows.select("doc", "text").mapInArrow(parse, ROWS)), "marks")
+    packed = rows.select("doc", "text", "doc_id").mapInArrow(pack_texts, "doc long, packed binary, doc_id long")
     # Lists of spans are bounded by the length of their document.
     spans_of = lambda kind: F.collect_list(F.when(F.col("kind") == kind, F.col("span")))
     still = marks.where(F.col("kind") != GONE).groupBy("doc").agg(spans_of(OPEN).alias("spans"), spans_of(WIDE).alias("wide"))
-    met = sort_out(packed.join(still, "doc").mapInArrow(reopen, ROWS))
+    met = sort_out(packed.join(still, "doc").select("doc", "packed", "spans", "wide").mapInArrow(reopen, ROWS))
     gone = marks.unionByName(met).where(F.col("kind") == GONE).groupBy("doc").agg(F.collect_list("span").alias("spans"))
     names = [c.split()[0] for c in schema.split(", ")]
     kinds = [pa.string() if c.endswith("string") else pa.int64() for c in schema.split(", ")]
@@ -346,8 +363,6 @@ def finish(docs: DataFrame, id_col: str, text_col: str, schema: str, result) ->
                 runs = int(np.count_nonzero(covered[1:] & ~covered[:-1]) + (len(raw) > 0 and covered[0])) if len(raw) else 0
                 kept = np.frombuffer(raw, np.uint8)[~covered].tobytes() if runs else raw
                 out.append(result(raw, runs, kept))
-            ids = batch.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array([None if i == NULL_ID else i for i in ids], pa.int64()),
-                                              *(pa.array([o[i] for o in out], k) for i, k in enumerate(kinds))], ["doc_id", *names])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([o[i] for o in out], k) for i, k in enumerate(kinds))], ["doc_id", *names])
 
-    return packed.join(gone, "doc", "left").select("doc", "packed", "spans").mapInArrow(apply, "doc_id long, " + schema)
+    return packed.join(gone, "doc", "left").select("doc_id", "packed", "spans").mapInArrow(apply, "doc_id long, " + schema)

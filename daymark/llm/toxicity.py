@@ -184,7 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, clean_
     """Action: learn terms, weights, exceptions and the logistic terms from the training sample."""
     from daymark.session import materialize
 
-    sample = materialize(sample_of(docs, labels, toxic_docs, clean_docs), "lexicon").repartition(8)
+    sample = materialize(sample_of(docs, labels, toxic_docs, clean_docs), "lexicon")
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}  # two rows
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
@@ -202,7 +202,8 @@ def fit(docs: DataFrame, labels: DataFrame, toxic_docs: int = TOXIC_DOCS, clean_
         automaton = lexicon.automaton()
         for batch in batches:
             seen = [evidence(t.as_py(), lexicon, automaton) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array([s[0] for s in seen]), pa.array([s[1] for s in seen]), batch.column(1)], ["a", "b", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array([s[0] for s in seen], pa.float64()), pa.array([s[1] for s in seen], pa.float64()),
+                                              batch.column(1)], ["a", "b", "toxic"])
 
     rows = sample.select("text", "toxic").mapInArrow(measure, "a double, b double, toxic int").collect()  # the bounded sample
     x = np.array([(1.0, r["a"], r["b"]) for r in rows])
