@@ -91,9 +91,14 @@ def score_rows(model, rows: DataFrame, keep: Sequence[str]) -> DataFrame:
 
 
 def pooled(spark: SparkSession, run, jobs: Sequence, workers: int) -> list:
-    """Independent fits as concurrent Spark jobs, submitted from a few driver threads."""
+    """Independent fits as concurrent Spark jobs, submitted from a few driver threads.
+
+    Every job gets a wrapper, and so a copy of the local properties, of its own: threads that share one
+    clear the SQL execution ids that the others read.
+    """
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(run), jobs))
+        running = [pool.submit(inheritable_thread_target(spark)(run), job) for job in jobs]
+        return [job.result() for job in running]
 
 
 def held_out_scores(df: DataFrame, make, k: int = 5, repeats: int = 2, predictors: Sequence[str] = (),

@@ -172,7 +172,8 @@ def grid_search_chrono(frame: DataFrame, candidates: Sequence[ResidualForecaster
 
         jobs = [(i, c, f) for i, c in fitted for f in range(splits)]
         with ThreadPoolExecutor(max_workers=workers) as pool:
-            rows = list(pool.map(inheritable_thread_target(spark)(run), jobs))
+            running = [pool.submit(inheritable_thread_target(spark)(run), job) for job in jobs]  # a wrapper each, see pooled
+            rows = [job.result() for job in running]
         table = spark.createDataFrame(rows, RESULT)
         out = table if out is None else out.unionByName(table)
     return out

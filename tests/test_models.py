@@ -152,3 +152,13 @@ def test_grid_weights_go_by_series(frame, halves):
                 for rows in (halves[0], both))
     for fold in one:  # a copy of the series changes neither weights nor errors
         assert two[fold] == pytest.approx(one[fold], rel=1e-6)
+
+
+def test_concurrent_fits_keep_their_local_properties(spark):
+    from pyspark.ml.feature import SQLTransformer
+
+    from daymark.plans.classifying import pooled
+
+    rows = spark.range(3)
+    step = SQLTransformer(statement="select *, id + 1 as next from __THIS__")
+    assert pooled(spark, lambda _: step.transform(rows).schema["next"].name, range(2000), 8) == ["next"] * 2000

@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as entry_point
 from tools.check import TABLES, table_of
 
-ORACLES = entry_point.oracle_sql()
+ORACLES = {n: sql for n, sql in entry_point.oracle_sql().items() if not n.startswith("op")}  # corpus queries: tests/llm
 
 
 @pytest.fixture(scope="module")
