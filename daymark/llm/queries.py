@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from daymark.llm import decontamination, exact_dedup, language, licenses, near_dedup, packing, personal_data, repeats, secrets, toxicity
+from daymark.llm import (decontamination, exact_dedup, language, licenses, near_dedup, negatives, packing, personal_data, pieces,
+                         repeats, secrets, spelling, toxicity)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +99,41 @@ def op9(spark, sf_dir):
 @query("op10_language_id")
 def op10(spark, sf_dir):
     return language.identify(read(spark, sf_dir))
+
+
+@query("op11_hard_negatives", """
+with e as (
+  select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(256 * x::double))) = 0
+), s as (
+  select a.id as anchor_id, r.id as other_id, a.label = r.label as same, list_inner_product(a.q, r.q)::bigint as score
+  from e a join e r on a.id <> r.id where a.id % 100 = 0
+), p as (
+  select anchor_id, other_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+)
+select anchor_id, positive_id, row_number() over w::int as rank, other_id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+window w as (partition by anchor_id, positive_id order by score desc, other_id)
+qualify row_number() over w <= 10
+""")
+def op11(spark, sf_dir):
+    rows = negatives.taking_part(read(spark, sf_dir, "embeddings"))
+    relabelled = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", relabelled), F.col("id") % 100 == 0)
+
+
+@query("op12_spelling_variants")
+def op12(spark, sf_dir):
+    return spelling.spelling_groups(read(spark, sf_dir))
+
+
+@query("op13_piece_encoding")
+def op13(spark, sf_dir):
+    import public_tokenizers
+
+    return pieces.encoding_digests(read(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), check=True)
