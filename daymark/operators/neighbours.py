@@ -1,14 +1,15 @@
-"""Exact nearest neighbours as a partitioned join.
+"""Exact nearest neighbours as a partitioned join over k-d cells.
 
 No pair is formed unless it may matter:
 
 1. equal coordinates collapse on both sides (at most ``k`` points stay per coordinate, cut
    map-side, since no more of them can be among the ``k`` nearest), so copies cannot form a hot group;
-2. points are cut into equal-depth cells and each cell keeps its bounding box and row count;
-3. for every cell of queries, the boxes alone bound the distance of the k-th neighbour, and only
-   cells whose box comes within that bound are visited;
-4. queries and points of a visited cell meet in one bounded group, and the per-cell winners are
-   merged per query.
+2. points and queries are cut by the same k-d splits: every cell with more than ``ROWS_PER_CELL`` rows is
+   split on its own widest column, ``FAN`` ways at its quantiles, until none is left. The splits, the cells and
+   their boxes are tables; the driver sees only how many cells are still too large;
+3. query cells walk down the tree of boxes, one join a level: the boxes alone bound the distance of a
+   query cell's k-th neighbour, and children whose box lies beyond it are left out;
+4. the queries of a cell meet the points of the cells that were left in one bounded group.
 
 The bound is never below the true distance, so the result equals brute force.
 """
@@ -23,43 +24,99 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 from daymark.operators.joins import top_per_group
 from daymark.operators.prep import apply_scale, fit_scale
 from daymark.session import materialize
 
-POINTS_PER_CELL = 2000
-MOST_CELLS = 250_000
+ROWS_PER_CELL = 2000
+FAN_BITS = 4
+FAN = 1 << FAN_BITS
+FEW_CELLS = 4096  # tables of cells up to this many rows are broadcast
 PAIRS_AT_ONCE = 2_000_000
 PLACES = 9  # distances are compared after rounding, so equal gaps tie in any arithmetic
+ROOT = 1  # a child's number is its parent's with one more digit of base FAN
 
 
-def _box_columns(dims: Sequence[str]) -> list[Column]:
-    return [F.min(d).alias(f"_lo{i}") for i, d in enumerate(dims)] + [F.max(d).alias(f"_hi{i}") for i, d in enumerate(dims)]
+def _boxes(rows: DataFrame, dims: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Box and number of rows of every cell."""
+    return rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.min(d).alias(f"_lo{i}") for i, d in enumerate(dims)],
+        *[F.max(d).alias(f"_hi{i}") for i, d in enumerate(dims)])
 
 
-def _with_cell(df: DataFrame, cuts: DataFrame | None, key: str, dims: Sequence[str], per_axis: int) -> DataFrame:
-    """``_cell`` from the fitted cuts: a slab along the first axis, then a part along the second."""
-    if cuts is None:
-        return df.withColumn("_cell", F.lit(0))
-    out = df.join(cuts, key, "left")
-    out = out.withColumn("_slab", F.size(F.filter("_first", lambda c: c < F.col(dims[0]))))
-    second = dims[1] if len(dims) > 1 else dims[0]
-    inner = F.coalesce(F.element_at(F.col("_second"), F.col("_slab")), F.array().cast("array<double>"))
-    out = out.withColumn("_inner", inner)
-    return out.withColumn("_cell", F.col("_slab") * per_axis + F.size(F.filter("_inner", lambda c: c < F.col(second)))).drop(
-        "_first", "_second", "_slab", "_inner")
+def _splits(rows: DataFrame, dims: Sequence[str], key: str) -> DataFrame:
+    """(key, _cell, _dim, _cuts) of the cells that hold too many rows and can be split.
 
-
-def _fit_cuts(points: DataFrame, key: str, dims: Sequence[str], per_axis: int) -> DataFrame:
-    shares = [i / per_axis for i in range(1, per_axis)] or [0.5]
-    first = points.groupBy(key).agg(F.percentile_approx(dims[0], shares, 10000).alias("_first"))
-    if len(dims) == 1:
-        return first.withColumn("_second", F.map_from_arrays(F.array().cast("array<int>"), F.array().cast("array<array<double>>")))
-    slabs = points.join(first, key).withColumn("_slab", F.size(F.filter("_first", lambda c: c < F.col(dims[0]))))
-    inner = slabs.groupBy(key, "_slab").agg(F.percentile_approx(dims[1], shares, 10000).alias("_inner"))
-    packed = inner.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_slab", "_inner"))).alias("_second"))
-    return first.join(packed, key)
+    The cuts are the quantiles of the cell's widest column. Its least value and its middle are cuts too: the
+    first always parts the cell, the second halves the range where most rows share a value.
+    """
+    shares = [i / FAN for i in range(1, FAN - 2)]
+    sized = rows.groupBy(key, "_cell").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.min(d).alias(f"_lo{i}") for i, d in enumerate(dims)],
+        *[F.max(d).alias(f"_hi{i}") for i, d in enumerate(dims)],
+        *[F.percentile_approx(d, shares, 1000).alias(f"_q{i}") for i, d in enumerate(dims)])
+    spreads = F.array(*[F.col(f"_hi{i}") - F.col(f"_lo{i}") for i in range(len(dims))])
+    large = sized.where(F.col("_n") > ROWS_PER_CELL).withColumn("_dim", (F.array_position(spreads, F.array_max(spreads)) - 1).cast("int"))
+    chosen = {c: F.element_at(F.array(*[F.col(f"_{c}{i}") for i in range(len(dims))]), F.col("_dim") + 1) for c in ("lo", "hi", "q")}
+    large = large.withColumns({f"_{c}": e for c, e in chosen.items()}).where("_lo < _hi")
+    cuts = F.concat("_q", F.array("_lo", F.col("_lo") / 2 + F.col("_hi") / 2))
+    return large.withColumn("_cuts", F.array_sort(F.array_distinct(F.filter(cuts, lambda c: c < F.col("_hi"))))).select(
+        key, "_cell", "_dim", "_cuts")
+
+
+def _cut(rows: DataFrame, splits: DataFrame, few: bool, dims: Sequence[str], key: str) -> DataFrame:
+    met = rows.join(F.broadcast(splits) if few else splits, [key, "_cell"], "left")
+    value = F.element_at(F.array(*dims), F.col("_dim") + 1)
+    part = F.size(F.filter("_cuts", lambda c: c < value))
+    cell = F.when(F.col("_cuts").isNull(), F.col("_cell")).otherwise(F.shiftleft("_cell", FAN_BITS) + part)
+    depth = F.col("_depth") + F.col("_cuts").isNotNull().cast("int")
+    return met.withColumns({"_cell": cell, "_depth": depth}).select(*rows.columns)
+
+
+def _in_cells(asked: DataFrame, held: DataFrame, dims: Sequence[str], key: str) -> tuple[DataFrame, DataFrame, int]:
+    """Action: both tables with ``_cell`` and ``_depth``, and the greatest depth."""
+    start = {"_cell": F.lit(ROOT).cast("long"), "_depth": F.lit(0)}
+    asked, held = asked.withColumns(start), held.withColumns(start)
+    depth = 0
+    while True:
+        both = asked.select(key, "_cell", *dims).unionByName(held.select(key, "_cell", *dims))
+        splits = materialize(_splits(both, dims, key), "splits")
+        n = splits.count()
+        if not n:
+            return asked, held, depth
+        depth += 1
+        # Broadcast while the cells are few and large; later no cell holds more than a small share of the rows.
+        asked, held = (materialize(_cut(t, splits, n <= FEW_CELLS, dims, key), "cells") for t in (asked, held))
+
+
+def _routes(asked: DataFrame, held: DataFrame, dims: Sequence[str], key: str, depth: int, k: int) -> DataFrame:
+    """Action: (key, _cell, _visit): the point cells that may hold one of the k nearest of a query cell's rows."""
+    width = range(len(dims))
+    leaves = materialize(_boxes(held, dims, [key, "_cell", "_depth"]), "leaves")
+    pairs = _boxes(asked, dims, [key, "_cell"]).drop("_n").withColumn("_visit", F.lit(ROOT).cast("long"))
+
+    def ancestor(level: int) -> Column:
+        return F.expr(f"shiftrightunsigned(_cell, {FAN_BITS} * greatest(0, _depth - {level}))")
+
+    for level in range(1, depth + 1):
+        nodes = leaves.groupBy(key, ancestor(level - 1).alias("_visit"), ancestor(level).alias("_child")).agg(
+            F.sum("_n").alias("_n"), *[F.min(f"_lo{i}").alias(f"_plo{i}") for i in width], *[F.max(f"_hi{i}").alias(f"_phi{i}") for i in width])
+        few = nodes.limit(FEW_CELLS + 1).count() <= FEW_CELLS
+        met = pairs.join(F.broadcast(nodes) if few else nodes, [key, "_visit"])
+        far, near = F.lit(0.0), F.lit(0.0)
+        for i in width:
+            lo, hi, plo, phi = (F.col(f"{c}{i}") for c in ("_lo", "_hi", "_plo", "_phi"))
+            far = far + F.pow(F.greatest(F.abs(hi - plo), F.abs(phi - lo)), 2)
+            near = near + F.pow(F.greatest(F.lit(0.0), plo - hi, lo - phi), 2)
+        met = met.withColumns({"_far": F.sqrt(far), "_near": F.sqrt(near)})
+        nearest_first = W.partitionBy(key, "_cell").orderBy("_far", "_child").rowsBetween(W.unboundedPreceding, 0)
+        enough = met.withColumn("_held", F.sum("_n").over(nearest_first))
+        bound = F.coalesce(F.min(F.when(F.col("_held") >= k, F.col("_far"))).over(W.partitionBy(key, "_cell")), F.lit(float("inf")))
+        kept = enough.withColumn("_bound", bound).where(F.col("_near") <= F.col("_bound") * (1 + 1e-9) + 1e-9)
+        pairs = materialize(kept.select(key, "_cell", *[f"_lo{i}" for i in width], *[f"_hi{i}" for i in width], F.col("_child").alias("_visit")), "routes")
+    return pairs.select(key, "_cell", "_visit")
 
 
 def nearest(queries: DataFrame, points: DataFrame, dims: Sequence[str], k: int, point_id: str,
@@ -67,8 +124,8 @@ def nearest(queries: DataFrame, points: DataFrame, dims: Sequence[str], k: int,
     """The ``k`` nearest points of every distinct query coordinate, nearest first, ties by id.
 
     Returns (key, dims, point_id, carry, distance); join it to query rows on key and dims.
-    Only rows of equal ``key`` are compared. Action: writes both reduced sides once, counts the
-    points and reads one box per cell (at most ``MOST_CELLS`` in all).
+    Only rows of equal ``key`` are compared. Action: writes both reduced sides, their cells and the routes
+    between cells.
     """
     made_key = key is None
     key = key or "_stratum"
@@ -78,50 +135,16 @@ def nearest(queries: DataFrame, points: DataFrame, dims: Sequence[str], k: int,
     asked = materialize(queries.select(key, *dims).withColumns(as_double).dropna().distinct(), "spots")
     held = points.select(key, point_id, *dims, *carry).withColumns(as_double).dropna(subset=[*dims, point_id])
     held = materialize(top_per_group(held, [key, *dims], [F.col(point_id)], k), "points")
-
-    # One count per key; keys are strata of the caller's own making, a handful.
-    largest = held.groupBy(key).count().agg(F.max("count"), F.count(F.lit(1))).first()
-    cells = int(min(MOST_CELLS // max(1, largest[1]), max(1, (largest[0] or 0) // POINTS_PER_CELL)))
-    per_axis = max(1, int(np.ceil(np.sqrt(cells)))) if len(dims) > 1 else max(1, cells)
-    # Few enough points for one cell need no cuts; else the cuts are one small row per key.
-    cuts = materialize(_fit_cuts(held, key, dims, per_axis), "cuts") if per_axis > 1 else None
-    held = _with_cell(held, cuts, key, dims, per_axis)
-    asked = _with_cell(asked, cuts, key, dims, per_axis)
-
-    boxes = held.groupBy(key, "_cell").agg(F.count(F.lit(1)).alias("_n"), *_box_columns(dims)).toPandas()
-    width = len(dims)
-    by_key = {name: (part["_cell"].to_numpy(), part["_n"].to_numpy(),
-                     part[[f"_lo{i}" for i in range(width)]].to_numpy(float),
-                     part[[f"_hi{i}" for i in range(width)]].to_numpy(float))
-              for name, part in boxes.groupby(key)}
-
-    def visits(batches):
-        for batch in batches:
-            rows = []
-            low = batch[[f"_lo{i}" for i in range(width)]].to_numpy(float)
-            high = batch[[f"_hi{i}" for i in range(width)]].to_numpy(float)
-            for i, (name, home) in enumerate(zip(batch[key], batch["_cell"])):
-                if name not in by_key:
-                    continue
-                ids, sizes, lo, hi = by_key[name]
-                far = np.sqrt((np.maximum(np.abs(hi - low[i]), np.abs(high[i] - lo)) ** 2).sum(axis=1))
-                near = np.sqrt((np.maximum(0.0, np.maximum(lo - high[i], low[i] - hi)) ** 2).sum(axis=1))
-                order = np.argsort(far, kind="stable")
-                enough = np.searchsorted(np.cumsum(sizes[order]), k)
-                bound = far[order[enough]] if enough < len(order) else np.inf
-                rows.extend((name, int(home), int(c)) for c in ids[near <= bound * (1 + 1e-9) + 1e-9])
-            yield pd.DataFrame(rows, columns=[key, "_cell", "_visit"]).astype({"_cell": "int32", "_visit": "int32"})
-
-    query_boxes = asked.groupBy(key, "_cell").agg(*_box_columns(dims))
-    routes = query_boxes.mapInPandas(visits, f"`{key}` string, _cell int, _visit int")
-    sent = asked.join(routes, [key, "_cell"]).select(F.col(key), *dims, F.col("_visit"))
-
-    out_fields = [T.StructField(key, T.StringType())]
-    out_fields += [T.StructField(d, T.DoubleType()) for d in dims]
+    asked, held, depth = _in_cells(asked, held, dims, key)
+    sent = held.select(key, "_cell", point_id, *dims, *carry)
+    if depth:
+        visits = sent.withColumnRenamed("_cell", "_visit").join(_routes(asked, held, dims, key, depth, k), [key, "_visit"])
+        sent = visits.select(key, "_cell", point_id, *dims, *carry)
+
+    dims, carry = list(dims), list(carry)
+    out_fields = [T.StructField(key, T.StringType())] + [T.StructField(d, T.DoubleType()) for d in dims]
     out_fields += [held.schema[point_id]] + [held.schema[c] for c in carry] + [T.StructField("distance", T.DoubleType())]
     names = [f.name for f in out_fields]
-    dims = list(dims)
-    carry = list(carry)
 
     def winners(asked_part: pd.DataFrame, held_part: pd.DataFrame) -> pd.DataFrame:
         if asked_part.empty or held_part.empty:
@@ -129,29 +152,38 @@ def nearest(queries: DataFrame, points: DataFrame, dims: Sequence[str], k: int,
             nothing.update({c: held_part[c].iloc[:0] for c in [point_id, *carry]})
             return pd.DataFrame(nothing)[names]
         held_part = held_part.sort_values(point_id, kind="stable").reset_index(drop=True)
-        spots = held_part[dims].to_numpy(float)
+        spots, at_spots = held_part[dims].to_numpy(float), asked_part[dims].to_numpy(float)
+        used = [i for i in range(len(dims)) if spots[0, i] != 0 or at_spots[0, i] != 0 or spots[:, i].any() or at_spots[:, i].any()]
         step = max(1, PAIRS_AT_ONCE // len(spots))
-        found = []
+        rows, picked, gaps_of = [], [], []
         for at in range(0, len(asked_part), step):
-            block = asked_part.iloc[at:at + step].reset_index(drop=True)
-            at_block = block[dims].to_numpy(float)
+            block = at_spots[at:at + step]
             squares = np.zeros((len(block), len(spots)))
-            for i in range(width):
-                squares += (at_block[:, i, None] - spots[None, :, i]) ** 2
-            gaps = np.round(np.sqrt(squares), PLACES)
-            # Points are in id order, so a stable sort leaves ties in id order.
-            best = np.argsort(gaps, axis=1, kind="stable")[:, :k]
-            rows = np.repeat(np.arange(len(block)), best.shape[1])
-            picked = held_part.iloc[best.ravel()][[point_id, *carry]].reset_index(drop=True)
-            part = pd.concat([block.iloc[rows][[key, *dims]].reset_index(drop=True), picked], axis=1)
-            part["distance"] = gaps[rows, best.ravel()]
-            found.append(part)
-        return pd.concat(found, ignore_index=True)[names]
-
-    local = sent.groupBy(key, "_visit").cogroup(
-        held.withColumnRenamed("_cell", "_visit").groupBy(key, "_visit")).applyInPandas(winners, T.StructType(out_fields))
-    merged = top_per_group(local, [key, *dims], [F.col("distance"), F.col(point_id)], k)
-    return merged.drop(key) if made_key else merged
+            for i in used:
+                squares += (block[:, i, None] - spots[None, :, i]) ** 2
+            if len(spots) > k:
+                # All that can be among the k nearest after rounding, in id order; a stable sort keeps ties so.
+                edge = np.sqrt(np.partition(squares, k - 1, axis=1)[:, k - 1]) * (1 + 1e-12) + 10.0 ** -PLACES
+                row, point = np.nonzero(squares <= (edge ** 2)[:, None])
+            else:
+                row, point = (v.ravel() for v in np.indices(squares.shape))
+            gaps = np.round(np.sqrt(squares[row, point]), PLACES)
+            order = np.lexsort((point, gaps, row))
+            row, point, gaps = row[order], point[order], gaps[order]
+            heads = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+            best = np.arange(len(row)) - np.repeat(heads, np.diff(np.append(heads, len(row)))) < k
+            rows.append(row[best] + at)
+            picked.append(point[best])
+            gaps_of.append(gaps[best])
+        rows, picked = np.concatenate(rows), np.concatenate(picked)
+        out = pd.concat([asked_part[[key, *dims]].iloc[rows].reset_index(drop=True),
+                         held_part[[point_id, *carry]].iloc[picked].reset_index(drop=True)], axis=1)
+        out["distance"] = np.concatenate(gaps_of)
+        return out[names]
+
+    found = asked.select(key, "_cell", *dims).groupBy(key, "_cell").cogroup(sent.groupBy(key, "_cell")).applyInPandas(
+        winners, T.StructType(out_fields))
+    return found.drop(key) if made_key else found
 
 
 def knn_regress(training: DataFrame, queries: DataFrame, features: Sequence[str], target: str, row_id: str,

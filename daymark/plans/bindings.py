@@ -134,3 +134,25 @@ PARTS = """parts as (select p_partkey as row_id, case when p_partkey % 7 <> 0 th
  case when p_partkey % 6 <> 0 then p_brand end as brand, case when p_partkey % 9 <> 0 then p_type end as kind,
  case when p_partkey % 11 <> 0 then 'Brand#' || cast((p_partkey * 7) % 25 + 1 as varchar) end as noise_0,
  case when p_size + length(p_name) > 35 then 'p' else 'e' end as class from part)"""
+
+
+def forecast_requests(spark: SparkSession, d: str) -> DataFrame:
+    """A sound request per ship date and model: the 28 counts before it and the records its model needs."""
+    from pyspark.sql import Window as W
+
+    days = history.history_arrays(daily_shipments(spark, d)).select(
+        "date", F.transform("prior_counts", lambda v: v.cast("double")).alias("prior_counts"))
+    names = history.BASE_WEATHER
+    week = W.partitionBy("series").orderBy(F.unix_date("date")).rangeBetween(-7, 0)
+    record = F.struct(F.date_format("date", "yyyy-MM-dd").alias("date"), *names)
+    weather = daily_weather(spark, d).select("date", F.sort_array(F.collect_list(record).over(week)).alias("records"))
+    given = F.when(F.col("model") == "weather_week", F.col("records")).when(
+        F.col("model") == "weather_day", F.slice("records", -1, 1)).otherwise(F.slice("records", 1, 0))
+    return days.join(weather, "date").where(F.size("records") == 8).withColumn(
+        "model", F.explode(F.array(*map(F.lit, ("counts", "weather_day", "weather_week"))))).select(
+        "model", F.date_format("date", "yyyy-MM-dd").alias("prediction_date"), "prior_counts", given.alias("forecasts"))
+
+
+#: The days of ``forecast_requests``: all 28 days before and the weather week are whole.
+REQUEST_DAYS = """request_days as (select date from (select date, count(*) over (order by date range between interval 28 days preceding and interval 1 day preceding) as held
+ from daily) where held = 28)"""

@@ -8,6 +8,7 @@ from daymark.functions import calendar as cal
 from daymark.functions.numeric import TARGETS, count_sql, fitted_sql, r6
 from daymark.operators import history, joins, sets, weekly
 from daymark.plans import bindings as b
+from daymark.plans import requests
 from daymark.plans.registry import query
 
 SPANS = history.SPANS
@@ -321,6 +322,40 @@ def _(spark, d):
     return rounded(history.select_features(b.feature_frame(spark, d), "full"))
 
 
+_WEATHER_TERMS = f"""terms as (select date, temp_mean, temp_min, temp_max, rain_sum, wind_mean, wind_max, temp_max - temp_min as temp_range,
+ temp_mean - lag(temp_mean, 1) over w as temp_change_1, temp_mean - lag(temp_mean, 7) over w as temp_change_7,
+ case when isodow(date) >= 6 then temp_mean else 0 end as temp_weekend, greatest(0, temp_mean - 18) as warm_degree,
+ greatest(0, 10 - temp_mean) as cold_degree, ln(1 + rain_sum) as rain_log, rain_sum - lag(rain_sum, 7) over w as rain_change_7,
+ wind_mean - lag(wind_mean, 7) over w as wind_change_7 from weather window w as (order by date))"""
+_COUNT_COLUMNS = [f"{kind}_{n}" for n in SPANS for kind in ("mean", "std", "median")] + [
+    "mean_change", "relative_recent", "relative_weekly", "weekly_mean_2", "weekly_mean_3", "weekly_mean_4", "weekly_median_4"]
+_CHANGES = ("temp_change_1", "temp_change_7", "rain_change_7", "wind_change_7")
+_LEVELS = [n for n in history.DERIVED_WEATHER if n not in _CHANGES]
+
+
+@query("p9_request_features", f"""
+with {FRAME}, {HOLIDAYS}, {CALENDAR_ONLY}, {b.WEATHER}, {b.REQUEST_DAYS}, {_WEATHER_TERMS}
+select frame.date, model, {', '.join(f'cast(lag_{n} as double) as lag_{n}' for n in range(1, 29))}, {rs(*_COUNT_COLUMNS)},
+ cast(weekly_change as double) as weekly_change, cast(recent_change as double) as recent_change, cast(recent_low as double) as recent_low,
+ cast(recent_high as double) as recent_high, {r('sin(a)', 'weekday_sin')}, {r('cos(a)', 'weekday_cos')},
+ {r(f'sin({PI2} * f)', 'year_sin')}, {r(f'cos({PI2} * f)', 'year_cos')}, {r(f'sin(2 * {PI2} * f)', 'year_sin_2')}, {r(f'cos(3 * {PI2} * f)', 'year_cos_3')},
+ {r("date_diff('day', date '2023-01-01', frame.date) / cast(365 as double)", 'trend')}, cast(wd >= 5 as bigint) as weekend,
+ {', '.join(f'cast(wd = {n} as bigint) as weekday_{n}' for n in range(7))},
+ cast(frame.date in (select h from hol) as bigint) as holiday, cast(frame.date + 1 in (select h from hol) as bigint) as before_holiday,
+ cast(frame.date - 1 in (select h from hol) as bigint) as after_holiday,
+ {', '.join(f"case when model <> 'counts' then {r(n, '').rsplit(' as ', 1)[0]} end as {n}" for n in _LEVELS)},
+ {', '.join(f"case when model = 'weather_week' then {r(n, '').rsplit(' as ', 1)[0]} end as {n}" for n in _CHANGES)}
+from frame join c on frame.date = c.date join terms on frame.date = terms.date join request_days on frame.date = request_days.date,
+ (select unnest(['counts', 'weather_day', 'weather_week']) as model)
+""")
+def _(spark, d):
+    """The feature row of every request equals the feature table on its date."""
+    out = requests.request_features(b.forecast_requests(spark, d))
+    names = [f"lag_{n}" for n in range(1, 29)] + _COUNT_COLUMNS + ["weekly_change", "recent_change", "recent_low", "recent_high", *history.CALENDAR,
+             "year_sin_2", "year_cos_3", "trend", *[f"weekday_{n}" for n in range(7)], *history.HOLIDAYS, *_LEVELS, *_CHANGES]
+    return rounded(out.where(F.size("errors") == 0).select("date", "model", *names))
+
+
 @query("j1_features_with_forecast", f"""
 with {LAGGED}, {b.WEATHER} select l.date, lag_1, {rs('temp_mean', 'rain_sum', 'wind_max')} from lagged l left join weather w on l.date = w.date
 """)

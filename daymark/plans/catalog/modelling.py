@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daymark.operators import history, scoring
 from daymark.plans import bindings as b
-from daymark.plans import classifying, forecasting
+from daymark.plans import classifying, forecasting, requests
 from daymark.plans.catalog.features import FRAME, LAGGED, r, rounded, rs
 from daymark.plans.catalog.preparation import FOLDED
 from daymark.plans.catalog.statistics import METRICS
@@ -173,6 +173,39 @@ def _(spark, d):
     return classifying.batch_score(model, requests, NUMERIC, CATEGORICAL, 0.1)
 
 
+def _every(day: str, step: int) -> str:
+    return f"cast(dayofyear({day}) as integer) % {step} = 0"
+
+
+@query("m25_forecast_requests", f"""
+with {FRAME}, {b.WEATHER}, {b.REQUEST_DAYS}, mean as (select avg(trips) as m from frame where lag_28 is not null and date <= date '{TRAIN_UNTIL}'),
+ x as (select f.*, model as requested_model, {_every('f.date', 13)} as wrong, model = 'weather_week' and {_every('f.date', 10)} as missing, m
+  from frame f join request_days q on f.date = q.date, mean, (select unnest(['counts', 'weather_day', 'weather_week']) as model)),
+ y as (select *, case when missing then 'counts' else requested_model end as model from x),
+ z as (select *, case when not wrong then case model when 'weather_day' then m when 'weather_week' then greatest(0, 0.75 * lag_7 + 0.25 * mean_7 + 0.5 * (mean_7 - mean_14))
+  else (lag_7 + 0.75 * lag_14 + 0.5625 * lag_21 + 0.421875 * lag_28) / cast(2.734375 as double) * pow(least(2, greatest(0.5, mean_7 / greatest(1, mean_28))), 0.5) end end as p from y)
+select date, requested_model, model, missing as missing_forecast_fallback, case when wrong then 'history_values' else '' end as errors,
+ {r('p', 'unrounded_prediction')}, cast(round_even(p, 0) as bigint) as prediction, case when missing then '{requests.FALLBACK_NOTE}' end as note from z
+""")
+def _(spark, d):
+    """A batch of requests answered by the models they name; missing weather falls back, broken histories are refused."""
+    train, _ = halves(frame(spark, d))
+    models = {"counts": forecasting.BaselineForecaster("seasonal_average", decay=0.75, adjustment=0.5),
+              "weather_day": forecasting.BaselineForecaster("training_mean"),
+              "weather_week": forecasting.BaselineForecaster("lag_7", blend=0.25, trend=0.5)}
+    needs = {"counts": ["lag_7", "lag_14", "lag_21", "lag_28", "mean_7", "mean_28"], "weather_day": ["temp_mean"],
+             "weather_week": ["lag_7", "mean_7", "mean_14", "temp_change_7"]}
+    day = F.to_date("prediction_date")
+    asked = b.forecast_requests(spark, d).withColumns({
+        "forecasts": F.when((F.col("model") == "weather_week") & (F.dayofyear(day) % 10 == 0), F.slice("forecasts", 1, 0)).otherwise(F.col("forecasts")),
+        "prior_counts": F.when(F.dayofyear(day) % 13 == 0, F.transform("prior_counts", lambda v, i: F.when(i == 5, -v - 1).otherwise(v))).otherwise(F.col("prior_counts")),
+        "asked": day})
+    fitted = {n: (m.fit(train), needs[n]) for n, m in models.items()}
+    out = requests.forecast_requests(asked, fitted, ["asked"])
+    return rounded(out.select(F.col("asked").alias("date"), "requested_model", "model", "missing_forecast_fallback",
+                              F.concat_ws(",", "errors").alias("errors"), "unrounded_prediction", "prediction", "note"))
+
+
 @query("x1_feature_design_stage", f"""
 with {b.PARTS} select row_id, size, price, width, brand, kind, {r('size / nullif(width, 0)', 'size_over_width')}, {r('price / nullif(size, 0)', 'price_over_size')},
  {r('ln(1 + size)', 'size_log1p')}, {r('ln(1 + price)', 'price_log1p')}, {r('ln(1 + width)', 'width_log1p')} from parts

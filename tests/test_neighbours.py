@@ -19,7 +19,7 @@ def brute(asked, held, dims, k):
 
 @pytest.mark.parametrize("dims", [["x"], ["x", "y"], ["x", "y", "z"]])
 def test_nearest_equals_brute_force(spark, monkeypatch, dims):
-    monkeypatch.setattr(neighbours, "POINTS_PER_CELL", 12)
+    monkeypatch.setattr(neighbours, "ROWS_PER_CELL", 12)
     rng = np.random.default_rng(11)
     held = pd.DataFrame(np.round(rng.normal(size=(400, 3)) * 4, 1), columns=["x", "y", "z"])
     held.loc[rng.random(400) < 0.35, ["x", "y", "z"]] = 1.5  # a third of the points are copies
@@ -65,3 +65,57 @@ def test_chained_imputer_equals_row_by_row_chain(spark):
             w = np.linalg.solve(z.T @ z / len(y) + ridge * np.eye(2), z.T @ (y - y.mean()) / len(y)) / s
             now[gone[:, t], t] = y.mean() + (now[gone[:, t]][:, others] - a.mean(axis=0)) @ w
     np.testing.assert_allclose(np.sort(got, axis=0), np.sort(now, axis=0), rtol=1e-9, atol=1e-9)
+
+
+def clustered(n, seed):
+    """Points on very different scales, many of them on one line, so cells end at different depths."""
+    rng = np.random.default_rng(seed)
+    frame = pd.DataFrame(np.round(rng.normal(size=(n, 2)) * 10.0 ** rng.integers(-2, 4, size=(n, 1)), 3), columns=["x", "y"])
+    frame.loc[rng.random(n) < 0.4, "y"] = 0.0
+    frame.loc[rng.random(n) < 0.2, "x"] = 7.0
+    frame["id"] = np.arange(n)
+    return frame
+
+
+@pytest.mark.parametrize("few", [0, 4096])
+def test_cells_stay_small_and_equal_brute_force(spark, monkeypatch, few):
+    monkeypatch.setattr(neighbours, "ROWS_PER_CELL", 20)
+    monkeypatch.setattr(neighbours, "FEW_CELLS", few)
+    held, asked = clustered(900, 4), clustered(300, 5)[["x", "y"]].drop_duplicates()
+    points, spots = spark.createDataFrame(held).withColumn("s", F.lit("a")), spark.createDataFrame(asked).withColumn("s", F.lit("a"))
+    _, cells, depth = neighbours._in_cells(spots, points.dropDuplicates(["x", "y"]), ["x", "y"], "s")
+    assert cells.groupBy("_cell").count().agg(F.max("count")).first()[0] <= 20 and depth >= 2
+    found = neighbours.nearest(spots, points, ["x", "y"], 4, "id", key="s").toPandas()
+    want = brute(asked, held, ["x", "y"], 4)
+    got = {spot: sorted(zip(part["id"], part["distance"]), key=lambda t: (t[1], t[0])) for spot, part in found.groupby(["x", "y"])}
+    assert got == want
+
+
+def test_strata_are_split_on_their_own_column(spark, monkeypatch):
+    """One stratum uses the third column alone, one the first two, one has queries and no points."""
+    monkeypatch.setattr(neighbours, "ROWS_PER_CELL", 15)
+    rng = np.random.default_rng(8)
+    base = pd.DataFrame(np.round(rng.normal(size=(600, 3)), 2), columns=["x", "y", "z"])
+    base["s"] = rng.choice(["third", "both", "empty"], 600)
+    base.loc[base["s"] == "third", ["x", "y"]] = 0.0
+    base.loc[base["s"] == "both", "z"] = 0.0
+    base["id"] = np.arange(600)
+    held, asked = base[(base["id"] % 3 > 0) & (base["s"] != "empty")], base[base["id"] % 3 == 0]
+    dims = ["x", "y", "z"]
+    points = spark.createDataFrame(held)
+    _, cells, _ = neighbours._in_cells(spark.createDataFrame(asked).select("s", *dims), points.dropDuplicates(["s", *dims]), dims, "s")
+    assert cells.where("s = 'third'").select("_cell").distinct().count() > 5
+    found = neighbours.nearest(spark.createDataFrame(asked), points, dims, 3, "id", key="s").toPandas()
+    assert set(found["s"]) == {"third", "both"}
+    for s in ("third", "both"):
+        want = brute(asked[asked["s"] == s].drop_duplicates(dims), held[held["s"] == s], dims, 3)
+        got = {spot: sorted(zip(part["id"], part["distance"]), key=lambda t: (t[1], t[0])) for spot, part in found[found["s"] == s].groupby(dims)}
+        assert got == want
+
+
+def test_neighbours_of_nothing(spark):
+    empty = spark.createDataFrame([], "id long, x double")
+    some = spark.createDataFrame([(1, 2.0), (2, None)], "id long, x double")
+    assert neighbours.nearest(some, empty, ["x"], 2, "id").count() == 0
+    assert neighbours.nearest(empty, some, ["x"], 2, "id").count() == 0
+    assert neighbours.nearest(some, some, ["x"], 2, "id").count() == 1
