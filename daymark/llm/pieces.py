@@ -8,8 +8,10 @@ a piece becomes the pieces of its UTF-8 bytes.
 
 No piece holds another character before a ``MARK``, and some characters are in no longer piece at all, so no
 merge crosses those places: each stretch between them has an agenda of its own, and stretches met before are
-read from a memo of bounded size. ``encode_documents`` works in Arrow batches and, on request, has the
-library encode the same batch and raises where the ids or the decoded texts differ.
+read from a memo of bounded size. New stretches of one length are worked off together: their agendas are the rows
+of one array, a column a pair, and the top of each is taken at every step. Long stretches have a heap.
+``encode_documents`` works in Arrow batches and, on request, has the library encode the same batch and raises
+where the ids or the decoded texts differ.
 
 Memory: a text is read in parts of about ``PART_CHARS``; only a stretch without any blank is held whole by
 one agenda, at some 300 bytes a character.
@@ -37,7 +39,8 @@ from daymark.llm.frames import thin
 
 MARK = "▁"
 PART_CHARS = 1 << 20
-MEMO_ENTRIES, MEMO_CHARS = 600_000, 64
+MEMO_ENTRIES, MEMO_CHARS = 600_000, 32
+GROUP_CHARS = 2_000_000
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 IDS = "doc_id long, ids array<int>"
 
@@ -73,6 +76,79 @@ class PieceModel:
         joined = re.escape("".join(sorted({c for piece in self.order for c in piece} - {MARK})))
         self.stretches = re.compile(f"{MARK}*[{joined}]+|{MARK}+|[^{joined}{MARK}]+").findall
         self.memo: dict[str, bytes] = {}
+        self.fit_pairs()
+
+    def fit_pairs(self) -> None:
+        """Every pair of symbols that together are a piece: sorted keys, the piece's symbol and its order."""
+        singles = sorted({c for piece in self.order for c in piece} - self.ids.keys())
+        self.symbols = {**self.ids, **{c: max(self.ids.values()) + 1 + i for i, c in enumerate(singles)}}
+        self.last, other = max(self.ids.values()), max(self.symbols.values()) + 1  # ``other``: all further characters
+        self.width = other + 1
+        self.code_symbol = np.full(0x110000, other, np.int32)
+        for piece, at in self.symbols.items():
+            if len(piece) == 1:
+                self.code_symbol[ord(piece)] = at
+        found = [(self.symbols[piece[:k]] * self.width + self.symbols[piece[k:]], at, self.order[piece])
+                 for piece, at in self.ids.items() for k in range(1, len(piece)) if piece[:k] in self.symbols and piece[k:] in self.symbols]
+        keys, made, order = (np.array(v) for v in zip(*sorted(found)))
+        self.pair_keys, self.pair_made, self.pair_order = keys.astype(np.int64), made.astype(np.int32), order.astype(np.float64)
+
+    def looked_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(symbol, order) of the pieces that pairs of symbols make; the order is infinite where they make none."""
+        key = left.astype(np.int64) * self.width + right
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        hit = self.pair_keys[at] == key
+        return np.where(hit, self.pair_made[at], -1), np.where(hit, self.pair_order[at], np.inf)
+
+    def merged_rows(self, stretches: list[str]) -> np.ndarray:
+        """The symbols left of stretches of one length, a row each, filled up with -1: one agenda a row.
+
+        Column k of the agendas is the pair of the symbols k and k + 1. The least order, leftmost of equals, is
+        the top; merging it closes up the row and changes the two pairs beside it.
+        """
+        n, length = len(stretches), len(stretches[0])
+        codes = np.frombuffer("".join(stretches).encode("utf-32-le"), np.uint32).reshape(n, length)
+        symbols = self.code_symbol[codes]
+        made, order = self.looked_up(symbols[:, :-1], symbols[:, 1:])
+        out = np.full((n, length), -1, np.int32)
+        rows = np.arange(n)
+        while len(rows) and symbols.shape[1] > 1:
+            top = order.argmin(axis=1)
+            here = np.arange(len(rows))
+            on = np.isfinite(order[here, top])
+            out[rows[~on], :symbols.shape[1]] = symbols[~on]
+            rows, symbols, made, order, top = rows[on], symbols[on], made[on], order[on], top[on]
+            here = np.arange(len(rows))
+            width = symbols.shape[1]
+            symbols[here, top] = made[here, top]
+            # Close up: the right symbol and one pair go, and every row is one shorter.
+            symbols = np.take_along_axis(symbols, np.arange(width - 1) + (np.arange(width - 1) > top[:, None]), axis=1)
+            close = np.arange(width - 2) + (np.arange(width - 2) >= top[:, None])
+            made, order = (np.take_along_axis(v, close, axis=1) for v in (made, order))
+            for side, fits in ((top - 1, top > 0), (top, top < width - 2)):
+                r, at = here[fits], side[fits]
+                made[r, at], order[r, at] = self.looked_up(symbols[r, at], symbols[r, at + 1])
+        out[rows, :symbols.shape[1]] = symbols
+        return out
+
+    def learn(self, stretches: set[str]) -> dict[str, bytes]:
+        """The ids of stretches that the memo lacks: short ones are added to it, the others are returned."""
+        by_length: dict[int, list[str]] = {}
+        for stretch in stretches:
+            by_length.setdefault(len(stretch), []).append(stretch)
+        passing = {}
+        for length, some in by_length.items():
+            if length > MEMO_CHARS:
+                passing.update((s, self.stretch_ids(s)) for s in some)
+                continue
+            for start in range(0, len(some), 50_000):
+                part = some[start:start + 50_000]
+                left = self.merged_rows(part)
+                sizes, plain = (left >= 0).sum(axis=1).tolist(), (left <= self.last).all(axis=1).tolist()
+                packed, step = left.astype("<i4").tobytes(), 4 * length
+                for i, stretch in enumerate(part):
+                    self.memo[stretch] = packed[i * step:i * step + 4 * sizes[i]] if plain[i] else self.stretch_ids(stretch)
+        return passing
 
     def merged(self, stretch: str) -> list[str]:
         """The symbols left when the agenda is empty."""
@@ -114,19 +190,34 @@ class PieceModel:
                 ids.extend(self.byte_ids[b] for b in symbol.encode("utf-8"))
             else:
                 ids.append(self.unknown)
-        packed = np.array(ids, "<u4").tobytes()
-        if len(stretch) <= MEMO_CHARS:
-            if len(self.memo) >= MEMO_ENTRIES:
-                self.memo.clear()  # bounds the memory of a worker; results do not depend on it
-            self.memo[stretch] = packed
-        return packed
+        return np.array(ids, "<u4").tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         """All ids of a text, with the begin and end ids."""
-        out, memo = [], self.memo
-        for part in parts_of(text):
-            out.extend([memo.get(s) or self.stretch_ids(s) for s in self.stretches(part)])
-        return np.concatenate([np.array([self.begin], "<u4"), np.frombuffer(b"".join(out), "<u4"), np.array([self.end], "<u4")])
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of every text; new stretches of some ``GROUP_CHARS`` characters are worked off together."""
+        found: list[list[bytes]] = [[] for _ in texts]
+        group, held = [], 0
+        for i, text in enumerate(texts):
+            for part in parts_of(text):
+                group.append((i, self.stretches(part)))
+                held += len(part)
+                if held >= GROUP_CHARS:
+                    self.work_off(group, found)
+                    group, held = [], 0
+        self.work_off(group, found)
+        begin, end = (np.array([i], "<u4").tobytes() for i in (self.begin, self.end))
+        return [np.frombuffer(b"".join([begin, *parts, end]), "<u4") for parts in found]
+
+    def work_off(self, group: list[tuple[int, list[str]]], found: list[list[bytes]]) -> None:
+        seen = set().union(*(stretches for _, stretches in group))
+        if len(self.memo) + len(seen) > MEMO_ENTRIES:
+            self.memo.clear()  # bounds the memory of a worker; results do not depend on it
+        passing, memo = self.learn(seen.difference(self.memo)), self.memo
+        for i, stretches in group:
+            found[i].append(b"".join([memo.get(s) or passing[s] for s in stretches]))
 
     def decode(self, ids: Sequence[int] | np.ndarray) -> str:
         """The text of any ids; bytes that form no character give one replacement character each."""
@@ -212,7 +303,7 @@ def encode_documents(docs: DataFrame, path: str, check: bool = False, id_col: st
         model = model_at(path)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            ids = [model.encode(t) for t in texts]
+            ids = model.encode_all(texts)
             if check:
                 checked(path, ids, [model.decode(i) for i in ids], texts)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32()))], ["doc_id", "ids"])
@@ -237,7 +328,7 @@ def encoding_digests(docs: DataFrame, path: str, check: bool = False, id_col: st
         model = model_at(path)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            ids = [model.encode(t) for t in texts]
+            ids = model.encode_all(texts)
             decoded = [model.decode(i) for i in ids]
             if check:
                 checked(path, ids, decoded, texts)
