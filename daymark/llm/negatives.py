@@ -18,8 +18,8 @@ Defined cases: rows with a null id, a null label, a null vector, a null or non-f
 leaves the range of doubles when scaled) take no part; of rows that share an id one takes part, that
 of the largest (label, vector), so repeated rows count once; vectors of different lengths are compared as if
 zeros followed the shorter; an anchor without positives or without rows in a window gives no rows; ties
-go to the smaller id; scores beyond 64 bits are ranked exactly and returned as the nearest long; empty input
-gives empty output; extra columns are not read.
+go to the smaller id; scores that doubles cannot hold are compared as Python integers, beyond 64 bits they are
+returned (and windows are set) as the nearest long; empty input gives empty output; extra columns are not read.
 """
 
 from __future__ import annotations
