@@ -37,7 +37,7 @@ BASE_WEATHER = ["temp_mean", "temp_min", "temp_max", "rain_sum", "wind_mean", "w
 DERIVED_WEATHER = BASE_WEATHER + [
     "temp_range", "temp_change_1", "temp_change_7", "temp_weekend", "warm_degree", "cold_degree",
     "rain_log", "rain_change_7", "wind_change_7"]
-FEATURE_SETS = {"compact": COMPACT, "full": FULL, "weekly": WEEKLY, "recent": RECENT, "linear": LINEAR}
+FEATURE_SETS = {"compact": COMPACT, "full": FULL, "weekly": WEEKLY, "recent": RECENT, "linear": LINEAR, "last_week": ["lag_7"]}
 for _base in ("compact", "full", "weekly", "linear"):
     FEATURE_SETS[f"weather_{_base}"] = FEATURE_SETS[_base] + BASE_WEATHER
     FEATURE_SETS[f"weather_derived_{_base}"] = FEATURE_SETS[_base] + DERIVED_WEATHER

@@ -10,12 +10,15 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark.ml import Estimator, Model
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daymark import stages
 from daymark.operators.ordered import numbered, quantiles, value_ranks, with_written_range
 from daymark.operators.profile import long_values
+from daymark.stages import StoredStage, param
 
 POOLED = "__POOLED__"
 
@@ -131,7 +134,7 @@ def one_hot(df: DataFrame, column: str, levels: Sequence[str]) -> DataFrame:
         f"{column}={v}": F.coalesce((F.col(f"{column}_level") == v).cast("int"), F.lit(0)) for v in levels})
 
 
-class ChainedImputer:
+class ChainedImputer(Estimator, StoredStage):
     """Chained ridge regressions: each incomplete column is predicted from the others, round after round.
 
     A filled value is always an affine function of what its row holds, and the same one for every
@@ -141,24 +144,26 @@ class ChainedImputer:
 
     MOST_COLUMNS = 16  # at most 2**16 null patterns reach the driver
 
-    def __init__(self, columns: Sequence[str], rounds: int = 10, ridge: float = 1e-3):
+    columns = param("columns", "columns to fill, each from the others", stages.names)
+    rounds = param("rounds", "sweeps over the columns", stages.whole)
+    ridge = param("ridge", "penalty of each regression", stages.number)
+
+    def __init__(self, columns: Sequence[str] = (), rounds: int = 10, ridge: float = 1e-3):
+        super().__init__()
         if len(columns) > self.MOST_COLUMNS:
             raise ValueError(f"at most {self.MOST_COLUMNS} columns can be chained")
-        self.columns = list(columns)
-        self.rounds = rounds
-        self.ridge = ridge
+        self._set(columns=list(columns), rounds=rounds, ridge=float(ridge))
 
-    def fit(self, training: DataFrame) -> "ChainedImputer":
-        names = self.columns
+    def _fit(self, training: DataFrame) -> "ChainedImputerModel":
+        names = self.value("columns")
         width = len(names)
         means = training.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in names]).first()
         starts = np.array([float(means[c] or 0.0) for c in names])
-        self.starts_ = dict(zip(names, starts.tolist()))
 
         pattern = F.lit(0)
         for i, c in enumerate(names):
             pattern = pattern + F.when(F.col(c).isNull(), 1 << i).otherwise(0)
-        held = [F.coalesce(F.col(c).cast("double") - F.lit(self.starts_[c]), F.lit(0.0)) for c in names]
+        held = [F.coalesce(F.col(c).cast("double") - F.lit(float(start)), F.lit(0.0)) for c, start in zip(names, starts)]
         pairs = [(i, j) for i in range(width) for j in range(i, width)]
         rows = training.groupBy(pattern.alias("pattern")).agg(
             F.count(F.lit(1)).alias("n"), *[F.sum(held[i]).alias(f"s{i}") for i in range(width)],
@@ -182,8 +187,8 @@ class ChainedImputer:
         missing = [sum(r["n"] for r, g in zip(rows, gaps) if g[i]) for i in range(width)]
         order = sorted([i for i in range(width) if missing[i]], key=lambda i: (missing[i], i))
 
-        self.steps_ = []
-        for _ in range(self.rounds):
+        steps = []
+        for _ in range(self.value("rounds")):
             for target in order:
                 others = [i for i in range(width) if i != target]
                 total = np.zeros((width + 1, width + 1))
@@ -196,8 +201,8 @@ class ChainedImputer:
                         now[target + 1] = weights @ now[[i + 1 for i in others]]
                         now[target + 1, 0] += constant
                 shift = starts[target] + constant - float(weights @ starts[others])
-                self.steps_.append((names[target], float(shift), [float(w) for w in weights]))
-        return self
+                steps.append([names[target], float(shift), [float(w) for w in weights]])
+        return ChainedImputerModel(names, starts.tolist(), steps)
 
     def _ridge(self, total: np.ndarray, inputs: Sequence[int], target: int) -> tuple[np.ndarray, float]:
         n = total[0, 0]
@@ -207,16 +212,29 @@ class ChainedImputer:
         cross = total[1:, 1:] / n - np.outer(mean, mean)
         spread = np.sqrt(np.maximum(np.diag(cross)[inputs], 0.0))
         spread[spread == 0] = 1.0
-        scaled = cross[np.ix_(inputs, inputs)] / np.outer(spread, spread) + self.ridge * np.eye(len(inputs))
+        scaled = cross[np.ix_(inputs, inputs)] / np.outer(spread, spread) + self.value("ridge") * np.eye(len(inputs))
         weights = np.linalg.solve(scaled, cross[inputs, target] / spread) / spread
         return weights, float(mean[target] - weights @ mean[inputs])
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        state = df.withColumns({f"{c}__gone": F.col(c).isNull() for c in self.columns}).withColumns(
-            {c: F.coalesce(F.col(c).cast("double"), F.lit(self.starts_[c])) for c in self.columns})
-        for target, intercept, weights in self.steps_:
+
+class ChainedImputerModel(Model, StoredStage):
+    """The fitted chain: the columns' starting values and one regression a step."""
+
+    columns = param("columns", "columns to fill", stages.names)
+    starts = param("starts", "value of each column before the first step")
+    steps = param("steps", "column, intercept and the weights of the other columns, step by step")
+
+    def __init__(self, columns: Sequence[str] = (), starts: Sequence[float] = (), steps: Sequence[Sequence] = ()):
+        super().__init__()
+        self._set(columns=list(columns), starts=list(starts), steps=list(steps))
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        columns = self.value("columns")
+        state = df.withColumns({f"{c}__gone": F.col(c).isNull() for c in columns}).withColumns(
+            {c: F.coalesce(F.col(c).cast("double"), F.lit(start)) for c, start in zip(columns, self.value("starts"))})
+        for target, intercept, weights in self.value("steps"):
             value = F.lit(intercept)
-            for other, w in zip([c for c in self.columns if c != target], weights):
+            for other, w in zip([c for c in columns if c != target], weights):
                 value = value + F.lit(w) * F.col(other)
             state = state.withColumn(target, F.when(F.col(f"{target}__gone"), value).otherwise(F.col(target)))
-        return state.drop(*[f"{c}__gone" for c in self.columns])
+        return state.drop(*[f"{c}__gone" for c in columns])

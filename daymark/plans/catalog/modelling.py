@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daymark.operators import history, scoring
 from daymark.plans import bindings as b
-from daymark.plans import classifying, forecasting, requests
+from daymark.plans import classifying, forecasting, linear, requests
 from daymark.plans.catalog.features import FRAME, LAGGED, r, rounded, rs
 from daymark.plans.catalog.preparation import FOLDED
 from daymark.plans.catalog.statistics import METRICS
@@ -105,6 +105,58 @@ def _(spark, d):
     return rounded(forecasting.search_board(forecasting.grid_search_chrono(train, candidates)).drop("setting"), skip=())
 
 
+ELASTIC = [(a, l) for a in (0.01, 0.1, 1.0, 10.0) for l in (0.1, 0.5, 0.9)]
+HUBER = [(a, e) for a in (0.0001, 0.01, 1.0) for e in (1.2, 1.35, 1.75)]
+
+
+@query("m11_elastic_optimality", f"""
+with {LAGGED}, t as (select count(*) as days from lagged where lag_28 is not null and date <= date '{TRAIN_UNTIL}')
+select cast(a as double) as alpha, cast(l as double) as l1_ratio, days, true as optimal from t, (select unnest({[a for a in sorted({a for a, _ in ELASTIC})]}) as a), (select unnest({sorted({l for _, l in ELASTIC})}) as l)
+""")
+def _(spark, d):
+    """Every elastic-net setting meets its optimality conditions, recomputed from the rows alone."""
+    train, _ = halves(frame(spark, d))
+    candidates = [forecasting.ResidualForecaster("elastic", "full", alpha=a, l1_ratio=l) for a, l in ELASTIC]
+    design = linear.Design(candidates)
+    rows = materialize(design.rows(train.withColumns({"fold": F.lit(0), "role": F.lit("train")}), "date", "trips", ["series"]), "linear")
+    lines = linear.solved_lines(rows, design, candidates)[0]
+    checks = []
+    for at, (c, (a, l)) in enumerate(zip(candidates, ELASTIC)):
+        line = [float(lines[0, at]), *(float(lines[i, at]) for i in design.picked(c))]
+        checks.append(linear.elastic_optimality(train, c, line).select(
+            F.lit(a).alias("alpha"), F.lit(l).alias("l1_ratio"), "days", (F.col("off") < 1e-7).alias("optimal")))
+    return reduce(DataFrame.unionByName, checks)
+
+
+@query("m15_linear_board")
+def _(spark, d):
+    """Elastic-net and Huber grids on all folds: settings x targets, from shared passes."""
+    train, _ = halves(frame(spark, d))
+    candidates = [forecasting.ResidualForecaster("elastic", "full", t, alpha=a, l1_ratio=l) for a, l in ELASTIC for t in ("direct", "residual7")]
+    candidates += [forecasting.ResidualForecaster("huber", "full", t, alpha=a, epsilon=e) for a, e in HUBER for t in ("direct", "residual7")]
+    return forecasting.search_board(forecasting.grid_search_chrono(train, candidates))
+
+
+ONE_FEATURE = [("ridge", 0.1, 0.0), ("ridge", 100.0, 0.0)] + [("elastic", a, l) for a in (0.1, 1.0, 5.0) for l in (0.2, 0.9)]
+
+
+@query("m15_one_feature_board", f"""
+with {LAGGED}, f as (select trips, cast(lag_7 as double) as x, row_number() over (order by date desc) - 1 as back from lagged where lag_28 is not null and date <= date '{TRAIN_UNTIL}'),
+ k as (select unnest(range(3)) as k), tr as (select k, count(*) as n, avg(x) as mx, stddev_pop(x) as sx, avg(trips) as my, covar_pop(x, trips) as cxy from f, k where back >= 21 * (3 - k) group by 1),
+ c as (select * from (values {', '.join(f"({i}, '{f}', cast({a} as double), cast({l} as double))" for i, (f, a, l) in enumerate(ONE_FEATURE))}) v(candidate, family, alpha, l1)),
+ w as (select candidate, tr.*, n * cxy / sx as pull, case when family = 'ridge' then n * cxy / sx / (n + alpha)
+  else sign(cxy) * greatest(0, abs(n * cxy / sx) - n * alpha * l1) / (n + n * alpha * (1 - l1)) end as slope from tr, c),
+ p as (select candidate, w.k, back, 21 * (2 - w.k) as cut, abs(trips - greatest(0, my + slope * (x - mx) / sx)) as error from f, w),
+ m as (select candidate, k, avg(error) filter (where back >= cut and back < cut + 21) as mae, avg(error) filter (where back >= cut + 21) as train from p group by 1, 2)
+select cast(candidate as int) as candidate, {r('avg(mae)', 'mean_mae')}, {r('stddev_pop(mae)', 'std_mae')}, {r('avg(train)', 'mean_train_mae')}, count(*) as folds from m group by 1
+""")
+def _(spark, d):
+    """Ridge and elastic settings over one feature, where both have a closed form."""
+    train, _ = halves(frame(spark, d))
+    candidates = [forecasting.ResidualForecaster(f, "last_week", alpha=a, **({"l1_ratio": l} if f == "elastic" else {})) for f, a, l in ONE_FEATURE]
+    return rounded(forecasting.search_board(forecasting.grid_search_chrono(train, candidates)).drop("setting"), skip=())
+
+
 @query("m17_evaluate_oof")
 def _(spark, d):
     scores = classifying.held_out_scores(labelled(spark, d), lambda: classifying.classifier("logistic", NUMERIC, CATEGORICAL),

@@ -390,11 +390,14 @@ HEX = "cast('0x' || substr({0}, {1}, 8) as bigint)"
 
 STATIONARY = f"""
 with {WEEKS}, w as (select row_number() over (order by week_start) - 1 as i, contrast from weeks), n as (select count(*) as n, avg(contrast) as m from w),
- g as (select b, rep, p, n, md5('42-' || b || '-' || rep || '-' || p) as h from (select unnest([2, 4, 6]) as b), (select unnest(generate_series(0, {REPLICATES - 1})) as rep), n,
-  (select i as p from w)),
- s as (select b, rep, p, n, case when p = 0 or {HEX.format('h', 1)} * b < 4294967296 then {HEX.format('h', 9)} % n - p end as base from g),
- k as (select b, rep, (last_value(base ignore nulls) over (partition by b, rep order by p rows between unbounded preceding and current row) + p + n) % n as i from s),
- dr as (select b, rep, avg(contrast) as draw from k join w on w.i = k.i group by 1, 2),
+ ring as (select i, contrast from w union all select i + n, contrast from w, n),
+ upto as (select i + 1 as i, sum(contrast) over (order by i) as s from ring union all select 0, 0),
+ g as (select b, rep, k, n, md5('42-' || b || '-' || rep || '-' || (k // 2)) as h from (select unnest([2, 4, 6]) as b), (select unnest(generate_series(0, {REPLICATES - 1})) as rep), n,
+  (select i as k from w)),
+ drawn as (select b, rep, k, n, {HEX.format('h', '1 + 16 * (k % 2)')} % n as f,
+  least(n, cast(floor(ln(({HEX.format('h', '9 + 16 * (k % 2)')} + 0.5) / cast(4294967296 as double)) / ln(1 - 1 / cast(b as double))) as bigint) + 1) as len from g),
+ runs as (select b, rep, n, f, len, sum(len) over (partition by b, rep order by k rows unbounded preceding) - len as done from drawn),
+ dr as (select b, rep, sum(e.s - o.s) / any_value(n) as draw from runs join upto o on o.i = f join upto e on e.i = f + least(len, n - done) where done < n group by 1, 2),
  q as (select b, any_value(m) as m, quantile_cont(draw, 0.025) as lo, quantile_cont(draw, 0.975) as hi, stddev_samp(draw) as se, count(*) filter (where abs(draw - m) >= abs(m)) as x from dr, n group by 1)
 select cast(b as bigint) as block, {r('m', 'estimate')}, {r('2 * m - hi', 'ci_lower')}, {r('2 * m - lo', 'ci_upper')}, {r('se', 'standard_error')}, x as extreme, {r(f'(1 + x) / cast({REPLICATES + 1} as double)', 'p_value')} from q
 """
@@ -417,7 +420,7 @@ def _(spark, d):
 @query("m21_paired_block_bootstrap", f"""
 with {NAIVE}, v as (select row_number() over (order by date) - 1 as i, abs(other - actual) - abs(prediction - actual) as gap from naive), n as (select count(*) as n, avg(gap) as m from v),
  g as (select b, rep, n, unnest(generate_series(0, cast(ceil(n / cast(b as double)) as bigint) - 1)) as k from (select unnest([3, 7, 14]) as b), (select unnest(generate_series(0, {PAIRED_REPLICATES - 1})) as rep), n),
- s as (select b, rep, n, k, {HEX.format("md5('42-' || b || '-' || rep || '-' || k)", 1)} % n as f, unnest(generate_series(0, least(b, n - k * b) - 1)) as o from g),
+ s as (select b, rep, n, k, {HEX.format("md5('42-' || b || '-' || rep || '-' || (k // 4))", '1 + 8 * (k % 4)')} % n as f, unnest(generate_series(0, least(b, n - k * b) - 1)) as o from g),
  dr as (select b, rep, avg(gap) as draw from s join v on v.i = (f + o) % n group by 1, 2)
 select cast(b as bigint) as block, {r('any_value(m)', 'mae_difference')}, {r('quantile_cont(draw, 0.025)', 'lower')}, {r('quantile_cont(draw, 0.975)', 'upper')}, count(*) as replicates from dr, n group by 1
 """)

@@ -13,30 +13,42 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymark import stages
 from daymark.operators import joins, scoring, validate
 from daymark.operators.split import stratified_folds
 from daymark.session import materialize
+from daymark.stages import StoredStage, param
 
 FAMILIES = ("majority", "logistic", "forest", "boosted")
 SEED = 42
 
 
-class FeatureDesign(Transformer):
+class FeatureDesign(Transformer, StoredStage):
     """``pyspark.ml`` stage around :func:`daymark.operators.validate.feature_design`."""
 
-    def __init__(self, numeric: Sequence[str], categorical: Sequence[str], **options):
+    numeric = param("numeric", "number columns", stages.names)
+    categorical = param("categorical", "category columns", stages.names)
+    options = param("options", "further arguments of feature_design")
+
+    def __init__(self, numeric: Sequence[str] = (), categorical: Sequence[str] = (), **options):
         super().__init__()
-        self.numeric, self.categorical, self.options = list(numeric), list(categorical), options
+        self._set(numeric=list(numeric), categorical=list(categorical), options=options)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return validate.feature_design(dataset, self.numeric, self.categorical, **self.options)
+        return validate.feature_design(dataset, self.value("numeric"), self.value("categorical"), **self.value("options"))
 
 
-class MajorityClassifier(Estimator):
+class MajorityClassifier(Estimator, StoredStage):
     """Scores every row 1 or 0 by the commoner training label."""
 
+    labelCol = param("labelCol", "label column", stages.text)
+
+    def __init__(self, labelCol: str = "label"):
+        super().__init__()
+        self._set(labelCol=labelCol)
+
     def _fit(self, dataset: DataFrame) -> PipelineModel:
-        share = dataset.agg(F.avg("label")).first()[0] or 0.0
+        share = dataset.agg(F.avg(self.value("labelCol"))).first()[0] or 0.0
         return PipelineModel([SQLTransformer(
             statement=f"SELECT *, cast({1.0 if share > 0.5 else 0.0} as double) AS score FROM __THIS__")])
 
@@ -53,33 +65,33 @@ def classifier(family: str, numeric: Sequence[str], categorical: Sequence[str],
     kept = ", ".join([f"coalesce(`{c}`, '{validate.MISSING_LEVEL}') AS `{c}_known`" for c in categorical]
                      + [f"cast(`{c}` is null as double) AS `{c}_gone`" for c in numeric if missing_flags]
                      + [f"cast(`{c}` as double) AS `{c}_raw`" for c in numeric])
-    stages = [SQLTransformer(statement=f"SELECT *, {kept} FROM __THIS__"),
+    steps = [SQLTransformer(statement=f"SELECT *, {kept} FROM __THIS__"),
               Imputer(strategy="median", inputCols=[f"{c}_raw" for c in numeric], outputCols=[f"{c}_full" for c in numeric])]
     inputs = [f"{c}_full" for c in numeric] + ([f"{c}_gone" for c in numeric] if missing_flags else [])
     if categorical:
-        stages += [StringIndexer(inputCols=filled, outputCols=[f"{c}_at" for c in categorical], handleInvalid="keep"),
+        steps += [StringIndexer(inputCols=filled, outputCols=[f"{c}_at" for c in categorical], handleInvalid="keep"),
                    OneHotEncoder(inputCols=[f"{c}_at" for c in categorical], outputCols=[f"{c}_hot" for c in categorical])]
         inputs += [f"{c}_hot" for c in categorical]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="_plain"))
+    steps.append(VectorAssembler(inputCols=inputs, outputCol="_plain"))
     features = "_plain"
     if family == "logistic":
-        stages.append(StandardScaler(inputCol="_plain", outputCol="_features", withMean=False))
+        steps.append(StandardScaler(inputCol="_plain", outputCol="_features", withMean=False))
         features = "_features"
     common = {"featuresCol": features, "labelCol": "label", "probabilityCol": "_probability",
               "rawPredictionCol": "_rawscore", "predictionCol": "_class"}
     if family == "logistic":
-        stages.append(LogisticRegression(**common, maxIter=settings.pop("rounds", 50), regParam=settings.pop("alpha", 0.01),
+        steps.append(LogisticRegression(**common, maxIter=settings.pop("rounds", 50), regParam=settings.pop("alpha", 0.01),
                                          tol=settings.pop("tol", 1e-4), **settings))
     elif family == "forest":
-        stages.append(RandomForestClassifier(**common, seed=SEED, numTrees=settings.pop("trees", 40), maxDepth=settings.pop("depth", 6),
+        steps.append(RandomForestClassifier(**common, seed=SEED, numTrees=settings.pop("trees", 40), maxDepth=settings.pop("depth", 6),
                                              minInstancesPerNode=settings.pop("leaf", 3), **settings))
     elif family == "boosted":
         boosted = GBTClassifier(featuresCol=features, labelCol="label", predictionCol="_class", seed=SEED,
                                 maxIter=settings.pop("rounds", 15), maxDepth=settings.pop("depth", 3), **settings)
-        stages.append(boosted.setProbabilityCol("_probability").setRawPredictionCol("_rawscore"))
+        steps.append(boosted.setProbabilityCol("_probability").setRawPredictionCol("_rawscore"))
     else:
         raise ValueError(f"unknown family {family!r}; choose from {FAMILIES}")
-    return Pipeline(stages=stages)
+    return Pipeline(stages=steps)
 
 
 def score_rows(model, rows: DataFrame, keep: Sequence[str]) -> DataFrame:

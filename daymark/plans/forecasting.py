@@ -6,25 +6,23 @@ inverse are SQL stages), so it is written and read with ``PipelineModel.write``.
 
 from __future__ import annotations
 
-import json
-from collections import defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-import numpy as np
-import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from daymark.functions.numeric import LOG_RANGE, TARGETS, count_sql, fitted_sql, ratio
+from daymark import stages
+from daymark.functions.numeric import TARGETS, count_sql, fitted_sql, ratio
 from daymark.operators import history, joins, scoring
 from daymark.operators.split import expanding_folds
+from daymark.plans import linear
 from daymark.session import materialize
+from daymark.stages import StoredStage, param
 
 FAMILIES = ("ridge", "elastic", "huber", "forest", "boosted")
 SEED = 42
@@ -36,12 +34,6 @@ def _regressor(family: str, penalty: float, settings: dict):
     if family == "ridge":
         return LinearRegression(**common, weightCol="_weight", solver="normal", regParam=s.pop("alpha", 1.0) * penalty,
                                 elasticNetParam=0.0, standardization=False, **s)
-    if family == "elastic":
-        return LinearRegression(**common, weightCol="_weight", regParam=s.pop("alpha", 1.0),
-                                elasticNetParam=s.pop("l1_ratio", 0.5), **s)
-    if family == "huber":
-        return LinearRegression(**common, weightCol="_weight", loss="huber", regParam=s.pop("alpha", 0.0001) * penalty,
-                                epsilon=s.pop("epsilon", 1.35), **s)
     if family == "forest":
         return RandomForestRegressor(**common, weightCol="_weight", seed=SEED, numTrees=s.pop("trees", 50),
                                      maxDepth=s.pop("depth", 6), **s)
@@ -51,78 +43,98 @@ def _regressor(family: str, penalty: float, settings: dict):
     raise ValueError(f"unknown family {family!r}; choose from {FAMILIES}")
 
 
-class ResidualForecaster(Estimator):
+class ResidualForecaster(Estimator, StoredStage):
     """Fits a regressor to the count less a named baseline and adds the baseline back."""
 
+    family = param("family", f"one of {', '.join(FAMILIES)}", stages.text)
+    featureSet = param("featureSet", "name of a feature set", stages.text)
+    target = param("target", "name of a fitted target", stages.text)
+    halfLife = param("halfLife", "rows back at which a row's weight is halved; 0 for none", stages.number)
+    valueCol = param("valueCol", "count column", stages.text)
+    dayCol = param("dayCol", "date column", stages.text)
+    seriesCols = param("seriesCols", "columns that tell series apart", stages.names)
+    output = param("output", "forecast column", stages.text)
+    settings = param("settings", "settings of the family")
+
     def __init__(self, family: str = "ridge", feature_set: str = "full", target: str = "direct",
                  half_life: float = 0.0, value: str = "trips", day: str = "date",
                  series: Sequence[str] = ("series",), output: str = "prediction", **settings):
         super().__init__()
         if target not in TARGETS:
             raise ValueError(f"unknown target {target!r}")
-        self.family, self.feature_set, self.target, self.half_life = family, feature_set, target, half_life
-        self.value, self.day, self.series, self.output = value, day, list(series), output
-        self.settings = settings
+        self._set(family=family, featureSet=feature_set, target=target, halfLife=float(half_life), valueCol=value,
+                  dayCol=day, seriesCols=list(series), output=output, settings=settings)
 
     def describe(self) -> dict:
-        return {"family": self.family, "feature_set": self.feature_set, "target": self.target,
-                "half_life": self.half_life, **self.settings}
+        return {"family": self.value("family"), "feature_set": self.value("featureSet"), "target": self.value("target"),
+                "half_life": self.value("halfLife"), **self.value("settings")}
 
     def _penalty(self, prepared: DataFrame) -> float:
-        if self.family not in ("ridge", "huber"):
+        if self.value("family") != "ridge":
             return 1.0
         w, y = F.col("_weight"), F.col("_target")
         total, first, second = prepared.agg(F.sum(w), F.sum(w * y), F.sum(w * y * y)).first()
-        if self.family == "huber":
-            return 1.0 / total
         # The least-squares solver scales the label to unit deviation before it applies regParam.
         return max(second / total - (first / total) ** 2, 1e-24) ** 0.5 / total
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
-        features = history.FEATURE_SETS[self.feature_set]
+        features = history.FEATURE_SETS[self.value("featureSet")]
+        family, target, output = (self.value(n) for n in ("family", "target", "output"))
+        count, day, series, half_life = (self.value(n) for n in ("valueCol", "dayCol", "seriesCols", "halfLife"))
+        if family in linear.SOLVED:
+            line = linear.fit_line(dataset, self, series, day, count)
+            raw = " + ".join([f"{line[0]!r}D", *[f"{w!r}D * {n}" for n, w in zip(features, line[1:]) if w]])
+            return PipelineModel([SQLTransformer(statement=f"SELECT *, {count_sql(raw, target)} AS {output} FROM __THIS__")])
         rows = dataset
-        if self.half_life:
-            rows = history.recency_weights(rows, self.half_life, self.series, self.day).withColumnRenamed("weight", "_weight")
+        if half_life:
+            rows = history.recency_weights(rows, half_life, series, day).withColumnRenamed("weight", "_weight")
         else:
             rows = rows.withColumn("_weight", F.lit(1.0))
-        rows = rows.withColumn("_target", F.expr(fitted_sql(self.value, self.target)))
+        rows = rows.withColumn("_target", F.expr(fitted_sql(count, target)))
         assemble = VectorAssembler(inputCols=features, outputCol="_plain", handleInvalid="error")
         scale = StandardScaler(inputCol="_plain", outputCol="_features", withMean=True, withStd=True).fit(
             assemble.transform(rows))
         prepared = scale.transform(assemble.transform(rows)).select("_features", "_target", "_weight")
-        model = _regressor(self.family, self._penalty(prepared), self.settings).fit(prepared)
-        inverse = SQLTransformer(statement=f"SELECT *, {count_sql('_raw', self.target)} AS {self.output} FROM __THIS__")
+        model = _regressor(family, self._penalty(prepared), self.value("settings")).fit(prepared)
+        inverse = SQLTransformer(statement=f"SELECT *, {count_sql('_raw', target)} AS {output} FROM __THIS__")
         tidy = SQLTransformer(statement="SELECT * EXCEPT (_plain, _features, _raw) FROM __THIS__")
         return PipelineModel([assemble, scale, model, inverse, tidy])
 
 
-class BaselineForecaster(Estimator):
+class BaselineForecaster(Estimator, StoredStage):
     """Training mean, a named past value, or a seasonal average; nothing else is learned."""
 
-    family = "baseline"
+    kind = param("kind", "training_mean, seasonal_average or the column of a past value", stages.text)
+    blend = param("blend", "share of the seven-day mean", stages.number)
+    trend = param("trend", "weight of the change of the means", stages.number)
+    decay = param("decay", "weight of each further week", stages.number)
+    adjustment = param("adjustment", "power of the recent level", stages.number)
+    valueCol = param("valueCol", "count column", stages.text)
+    output = param("output", "forecast column", stages.text)
 
     def __init__(self, kind: str = "lag_7", blend: float = 0.0, trend: float = 0.0, decay: float = 1.0,
                  adjustment: float = 0.0, value: str = "trips", output: str = "prediction"):
         super().__init__()
-        self.kind, self.blend, self.trend = kind, blend, trend
-        self.decay, self.adjustment, self.value, self.output = decay, adjustment, value, output
+        self._set(kind=kind, blend=float(blend), trend=float(trend), decay=float(decay), adjustment=float(adjustment),
+                  valueCol=value, output=output)
 
     def describe(self) -> dict:
-        return {n: getattr(self, n) for n in ("family", "kind", "blend", "trend", "decay", "adjustment")}
+        return {"family": "baseline", **{n: self.value(n) for n in ("kind", "blend", "trend", "decay", "adjustment")}}
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
-        if self.kind == "training_mean":
-            mean = dataset.agg(F.avg(self.value)).first()[0]
+        kind, blend, trend, decay, adjustment = (self.value(n) for n in ("kind", "blend", "trend", "decay", "adjustment"))
+        if kind == "training_mean":
+            mean = dataset.agg(F.avg(self.value("valueCol"))).first()[0]
             expression = f"cast({mean!r} as double)"
-        elif self.kind == "seasonal_average":
-            weights = [self.decay ** i for i in range(4)]
+        elif kind == "seasonal_average":
+            weights = [decay ** i for i in range(4)]
             total = " + ".join(f"{w!r}D * lag_{n}" for w, n in zip(weights, (7, 14, 21, 28)))
             expression = (f"({total}) / {sum(weights)!r}D * "
-                          f"pow(least(2D, greatest(0.5D, mean_7 / greatest(1D, mean_28))), {self.adjustment!r}D)")
+                          f"pow(least(2D, greatest(0.5D, mean_7 / greatest(1D, mean_28))), {adjustment!r}D)")
         else:
-            expression = (f"greatest(0D, {1 - self.blend!r}D * {self.kind} + {self.blend!r}D * mean_7 "
-                          f"+ {self.trend!r}D * (mean_7 - mean_14))")
-        return PipelineModel([SQLTransformer(statement=f"SELECT *, {expression} AS {self.output} FROM __THIS__")])
+            expression = (f"greatest(0D, {1 - blend!r}D * {kind} + {blend!r}D * mean_7 "
+                          f"+ {trend!r}D * (mean_7 - mean_14))")
+        return PipelineModel([SQLTransformer(statement=f"SELECT *, {expression} AS {self.value('output')} FROM __THIS__")])
 
 
 def blend(columns: dict[str, float]) -> Column:
@@ -151,14 +163,15 @@ def grid_search_chrono(frame: DataFrame, candidates: Sequence[ResidualForecaster
     """Action: try every setting on every expanding fold. Returns one row per (setting, fold) with the
     mean absolute error on the check and the training rows; folds without training rows give none.
 
-    All ridge settings share one pass over the rows that sums weighted products, and one that scores.
+    All ridge, elastic and Huber settings share their passes over the rows (:mod:`daymark.plans.linear`).
     Other families are fitted by ``pyspark.ml`` jobs, submitted from a small pool of driver threads.
     """
     spark = frame.sparkSession
     folds = expanding_folds(frame, splits, test_size, 0, series, day)
-    solved = [(i, c) for i, c in enumerate(candidates) if c.family == "ridge"]
-    fitted = [(i, c) for i, c in enumerate(candidates) if c.family != "ridge"]
-    out = _ridge_grid(folds, solved, day, value, series) if solved else None
+    shared = ("ridge", *linear.SOLVED)
+    solved = [(i, c) for i, c in enumerate(candidates) if c.describe()["family"] in shared]
+    fitted = [(i, c) for i, c in enumerate(candidates) if c.describe()["family"] not in shared]
+    out = linear.grid_errors(folds, solved, day, value, series) if solved else None
     if fitted:
         stored = materialize(folds, "folds")
 
@@ -166,7 +179,7 @@ def grid_search_chrono(frame: DataFrame, candidates: Sequence[ResidualForecaster
             index, candidate, fold = job
             part = stored.where(F.col("fold") == fold)
             model = candidate.fit(part.where("role = 'train'"))
-            error, checked = F.abs(F.col(value) - F.col(candidate.output)), F.col("role") == "check"
+            error, checked = F.abs(F.col(value) - F.col(candidate.value("output"))), F.col("role") == "check"
             m = model.transform(part).agg(F.avg(F.when(checked, error)), F.avg(F.when(~checked, error)), F.count_if(checked)).first()
             return (index, _setting(candidate), fold, *m)
 
@@ -180,83 +193,7 @@ def grid_search_chrono(frame: DataFrame, candidates: Sequence[ResidualForecaster
 
 
 def _setting(candidate) -> str:
-    return json.dumps(candidate.describe(), sort_keys=True)
-
-
-def _ridge_grid(folds: DataFrame, candidates: Sequence[tuple[int, ResidualForecaster]], day: str, value: str,
-                series: Sequence[str]) -> DataFrame:
-    """Errors of ridge settings from weighted sums of products.
-
-    Every task adds up products of its own rows per (fold, half-life), so no group of rows is formed; the
-    driver sees one small matrix for each and solves it per setting. A row's weight is halved every
-    ``half_life`` rows back in its own series, as :func:`history.recency_weights` has it.
-    """
-    names = sorted({n for _, c in candidates for n in history.FEATURE_SETS[c.feature_set]})
-    targets = sorted({c.target for _, c in candidates})
-    half_lives = sorted({0.0} | {float(c.half_life) for _, c in candidates})  # 0: all rows weigh 1
-    newest_first = W.partitionBy(*series, "fold", "role").orderBy(F.col(day).desc())
-    rows = materialize(folds.select(
-        "fold", "role", F.col(value).cast("double").alias("count"), (F.row_number().over(newest_first) - 1).alias("age"),
-        F.array(*[F.col(n).cast("double") for n in names]).alias("x"),
-        F.array(*[F.expr(fitted_sql(value, t)) for t in targets]).alias("y")), "ridge")
-
-    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        totals: dict[tuple[int, float], np.ndarray] = {}
-        for batch in batches:
-            for fold, part in batch.groupby("fold"):
-                z = np.column_stack([np.ones(len(part)), np.stack(part["x"]), np.stack(part["y"])])
-                for half_life in half_lives:
-                    weighted = z * np.exp2(-part["age"].to_numpy(float) / half_life)[:, None] if half_life else z
-                    key = (int(fold), half_life)
-                    totals[key] = totals.get(key, 0.0) + weighted.T @ z
-        yield pd.DataFrame([(f, h, m.ravel()) for (f, h), m in totals.items()], columns=["fold", "half_life", "cells"])
-
-    parts = rows.where("role = 'train'").mapInPandas(products, "fold int, half_life double, cells array<double>")
-    cells = parts.select("fold", "half_life", F.posexplode("cells").alias("at", "cell")).groupBy("fold", "half_life", "at").agg(
-        F.sum("cell").alias("cell"))
-    width = 1 + len(names) + len(targets)
-    sums: dict[tuple[int, float], np.ndarray] = defaultdict(lambda: np.zeros(width * width))
-    for fold, half_life, at, cell in cells.collect():  # folds x half-lives x width squared
-        sums[fold, half_life][at] = cell
-
-    def solve(fold: int, c: ResidualForecaster) -> np.ndarray:
-        """Intercept and one coefficient per name, zero where the setting leaves it out."""
-        plain, held = (sums[fold, h].reshape(width, width) for h in (0.0, float(c.half_life)))
-        pick = [1 + names.index(n) for n in history.FEATURE_SETS[c.feature_set]]
-        y = 1 + len(names) + targets.index(c.target)
-        spread = np.sqrt(np.maximum(plain[pick, pick] / plain[0, 0] - (plain[0, pick] / plain[0, 0]) ** 2, 0.0))
-        spread[spread < 1e-12] = 1.0
-        mean_x, mean_y = held[0, pick] / held[0, 0], held[0, y] / held[0, 0]
-        square = (held[np.ix_(pick, pick)] - held[0, 0] * np.outer(mean_x, mean_x)) / np.outer(spread, spread)
-        cross = (held[pick, y] - held[0, 0] * mean_x * mean_y) / spread
-        slopes = np.linalg.lstsq(square + float(c.settings.get("alpha", 1.0)) * np.eye(len(pick)), cross, rcond=None)[0] / spread
-        line = np.zeros(1 + len(names))
-        line[0], line[pick] = mean_y - mean_x @ slopes, slopes
-        return line
-
-    lines = {fold: np.stack([solve(fold, c) for _, c in candidates], axis=1) for fold in sorted({f for f, _ in sums})}
-    picked = [targets.index(c.target) for _, c in candidates]
-    logged = np.array([c.target == "log" for _, c in candidates])
-
-    def errors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for (fold, role), part in batch.groupby(["fold", "role"]):
-                if fold not in lines:
-                    continue
-                count, y = part["count"].to_numpy()[:, None], np.stack(part["y"])[:, picked]
-                raw = lines[fold][0] + np.stack(part["x"]) @ lines[fold][1:]
-                guess = np.where(logged, np.expm1(np.clip(raw, *LOG_RANGE)), raw + count - y)
-                total = np.abs(np.maximum(0.0, guess) - count).sum(axis=0)
-                yield pd.DataFrame({"at": range(len(picked)), "fold": fold, "role": role, "error": total, "n": len(part)})
-
-    tried = rows.mapInPandas(errors, "at int, fold int, role string, error double, n long")
-    role = {r: [F.when(F.col("role") == r, F.col(c)) for c in ("error", "n")] for r in ("check", "train")}
-    per = tried.groupBy("at", "fold").agg(*[
-        (F.sum(role[r][0]) / F.sum(role[r][1])).alias(n) for r, n in (("check", "mae"), ("train", "train_mae"))],
-        F.sum(role["check"][1]).alias("days"))
-    told = F.create_map(*[F.lit(v) for at, (i, c) in enumerate(candidates) for v in (at, json.dumps([i, _setting(c)]))])
-    known = F.from_json(told[F.col("at")], "array<string>")
-    return per.select(known[0].cast("int").alias("candidate"), known[1].alias("setting"), "fold", "mae", "train_mae", "days")
+    return linear.setting_text(candidate)
 
 
 def search_board(results: DataFrame) -> DataFrame:
