@@ -126,6 +126,18 @@ def _(spark, d):
     return rounded(features.where("not late").drop("gap_days", "late"), skip=("series", "date"))
 
 
+@query("r4_stream_day_timers", f"""
+with {b.DAILY_EVENTS}, x as (select date, trips, cast(isodow(date) - 1 as bigint) as weekday, cast(month(date) as bigint) as month, lag(trips, 1) over w as lag_1, lag(trips, 7) over w as lag_7,
+ avg(trips) over (order by date rows between 7 preceding and 1 preceding) as m from edaily window w as (order by date))
+select date, trips, weekday, month, lag_1, lag_7, {r('m', 'past_7_day_mean')} from x where lag_7 is not null and date + interval 1 day <= (select max(ts) from events) - interval 1 day
+""")
+def _(spark, d):
+    """Raw events to features of closed days in one streaming query, days closed by event-time timers."""
+    rows = event_stream(spark, d).withColumn("series", F.lit("all"))
+    features = runner.run_append(jobs.timed_history_features(rows), "timers")
+    return rounded(features.drop("gap_days"), skip=("series", "date"))
+
+
 @query("r5_stream_score", f"""
 with {LAGGED}, {b.DAILY_ORDERS} select l.date, cast(coalesce(o.trips * 4, l.lag_7) as double) as prediction,
  case when o.date is null then 'counts' else 'weather' end as used_model from lagged l left join odaily o on l.date = o.date where l.lag_7 is not null
@@ -136,3 +148,24 @@ def _(spark, d):
     requests.write.parquet(path)
     preferred = b.daily_orders(spark, d).select("date", (F.col("trips") * 4).cast("double").alias("p"))
     return jobs.score_with_fallback(runner.stream_table(spark, path, requests.schema), preferred, ["date"], "p", "lag_7").drop("lag_7")
+
+
+@query("r5_stream_join_forecasts", f"""
+with {LAGGED}, {b.DAILY_ORDERS}, r as (select date, lag_7 from lagged where lag_7 is not null),
+ f as (select date, trips * 4 as p, cast(date as timestamp) - case when day(date) % 5 = 0 then interval 40 hour else interval 10 hour end as issued from odaily),
+ last as (select least((select max(cast(date as timestamp)) from r), (select max(issued) from f)) - interval 1 day as mark)
+select r.date, cast(coalesce(f.p, lag_7) as double) as prediction, case when f.p is null then 'counts' else 'weather' end as used_model
+from r left join f on r.date = f.date and f.issued >= cast(r.date as timestamp) - interval 1 day, last
+where f.p is not null or cast(r.date as timestamp) + interval 1 day < mark
+""")
+def _(spark, d):
+    """Requests and forecasts as two streams; forecasts issued too early for the bound leave the counts fallback."""
+    requests, forecasts = scratch_path(spark, "requests"), scratch_path(spark, "forecasts")
+    history.lags(b.daily_shipments(spark, d), [7]).where("lag_7 is not null").select(
+        "date", "lag_7", F.col("date").cast("timestamp").alias("requested")).write.parquet(requests)
+    early = F.when(F.dayofmonth("date") % 5 == 0, F.expr("INTERVAL 40 HOURS")).otherwise(F.expr("INTERVAL 10 HOURS"))
+    b.daily_orders(spark, d).select("date", (F.col("trips") * 4).cast("double").alias("p"),
+                                    (F.col("date").cast("timestamp") - early).alias("issued")).write.parquet(forecasts)
+    streams = [runner.stream_table(spark, path, spark.read.parquet(path).schema) for path in (requests, forecasts)]
+    out = runner.run_append(jobs.join_forecasts(*streams, ["date"], "requested", "issued", "p", "lag_7"), "answers")
+    return out.select("date", "prediction", "used_model")

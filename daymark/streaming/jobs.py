@@ -14,6 +14,7 @@ from daymark.operators.joins import route_with_fallback
 from daymark.streaming.runner import run_batches
 
 HISTORY_DAYS = 28
+DAY_MS = 86_400_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 FEATURES = ("{series} string, date date, trips bigint, weekday int, month int, lag_1 bigint, lag_7 bigint, "
             "past_7_day_mean double, gap_days int, late boolean")
@@ -125,6 +126,85 @@ def history_features(closed_days: DataFrame, series: str = "series") -> DataFram
         outputMode="Append", timeMode="None")
 
 
+class DayTimers(StatefulProcessor):
+    """Closes the days of a series by event-time timers and emits each closed day's features.
+
+    A day's total is kept until the watermark passes the day's end. The timer of a day handles every day
+    up to it that is still open, in order, so the order in which timers fire does not matter.
+    """
+
+    def __init__(self, series: str):
+        self.series = series
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open_days = handle.getMapState("open", "date date", "trips bigint")
+        self.history = handle.getValueState("history", "last date, totals array<bigint>")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for batch in rows:
+            for day, trips in zip(batch["date"], batch["trips"]):
+                held = self.open_days.getValue((day,))[0] if self.open_days.containsKey((day,)) else 0
+                self.open_days.updateValue((day,), (held + int(trips),))
+                self.handle.registerTimer(int(pd.Timestamp(day).timestamp() * 1000) + DAY_MS)
+        yield pd.DataFrame()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        closed = pd.Timestamp(expiredTimerInfo.getExpiryTimeInMs() - DAY_MS, unit="ms").date()
+        due = sorted((day, trips) for (day,), (trips,) in self.open_days.iterator() if day <= closed)
+        last, totals = self.history.get() if self.history.exists() else (None, [])
+        totals, out = list(totals), []
+        for day, trips in due:
+            gap = (day - last).days - 1 if last is not None else 0
+            if gap:
+                totals = []
+            if len(totals) >= 7:
+                out.append((key[0], day, trips, day.weekday(), day.month, totals[-1], totals[-7], sum(totals[-7:]) / 7.0, gap))
+            totals, last = (totals + [trips])[-HISTORY_DAYS:], day
+            self.open_days.removeKey((day,))
+        if due:
+            self.history.update((last, totals))
+        yield pd.DataFrame(out, columns=[self.series, "date", "trips", "weekday", "month", "lag_1", "lag_7", "past_7_day_mean", "gap_days"])
+
+    def close(self) -> None:
+        """Nothing is held outside the state."""
+
+
+def timed_history_features(rows: DataFrame, start: str = "started_at", delay: str = "1 day", series: str = "series") -> DataFrame:
+    """One streaming query from raw starts to features of closed days.
+
+    Starts are counted per day window; a window that the watermark closes goes straight to its series'
+    processor, whose event-time timer for that day emits the features. Needs seven whole days before it.
+    """
+    rows.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    counted = with_event_time(rows, start, delay).groupBy(F.window(start, "1 day"), series).agg(F.count(F.lit(1)).alias("trips"))
+    closed = counted.select(series, F.to_date(F.col("window.start")).alias("date"), "trips", F.window_time("window").alias("closed_at"))
+    return closed.groupBy(series).transformWithStateInPandas(
+        statefulProcessor=DayTimers(series), outputStructType=FEATURES.format(series=series).removesuffix(", late boolean"),
+        outputMode="Append", timeMode="EventTime")
+
+
+def join_forecasts(requests: DataFrame, forecasts: DataFrame, on: Sequence[str], requested: str, issued: str, value: str, fallback: str,
+                   within: str = "1 day", delay: str = "1 day", preferred_name: str = "weather", counts_name: str = "counts") -> DataFrame:
+    """Requests answered from a second stream: the forecast issued within ``within`` of the request, on either side.
+
+    A left outer join of two streams. A forecast answers as soon as both sides are there; a request whose time
+    bound both watermarks have passed without one is answered by its own ``fallback``. State is held for the
+    bound and the delay only.
+    """
+    left = with_event_time(requests, requested, delay).alias("request")
+    right = with_event_time(forecasts.select(*on, issued, F.col(value).cast("double").alias(value)), issued, delay).alias("forecast")
+    bound = F.col(f"forecast.{issued}").between(F.col(f"request.{requested}") - F.expr(f"INTERVAL {within}"),
+                                                F.col(f"request.{requested}") + F.expr(f"INTERVAL {within}"))
+    for c in on:
+        bound = bound & (F.col(f"request.{c}") == F.col(f"forecast.{c}"))
+    met = left.join(right, bound, "leftOuter")
+    found = F.col(f"forecast.{value}").isNotNull()
+    return met.select(*[F.col(f"request.{c}") for c in requests.columns],
+                      F.when(found, F.col(f"forecast.{value}")).otherwise(F.col(f"request.{fallback}").cast("double")).alias("prediction"),
+                      F.when(found, F.lit(preferred_name)).otherwise(F.lit(counts_name)).alias("used_model"))
+
+
 def score_with_fallback(rows: DataFrame, preferred: DataFrame, on: Sequence[str], value: str, fallback: str,
                         preferred_name: str = "weather", counts_name: str = "counts", model=None,
                         base: str | None = None) -> DataFrame:
