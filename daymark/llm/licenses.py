@@ -2,8 +2,9 @@
 
 Every rule is a regular expression over the ASCII-lowercased text with a priority, a label, a confidence
 and a keyword that any match must contain. One Aho-Corasick pass over the text finds the keywords that
-occur; only their rules run. Detections are then resolved: by priority, then length, then start; one
-that lies inside an accepted detection, or overlaps one, is suppressed. The base phrases (``mit
+occur; only their rules run, over the whole text, where a literal of the rule's own stands too. Any white space
+parts the words of a signature. Detections are then resolved: by priority, then length, then start; one
+that lies inside an accepted detection is suppressed. The base phrases (``mit
 license``, ``apache license``, ``general public license`` as consecutive words) are counted on their own
 and are never suppressed.
 
@@ -105,8 +106,8 @@ CLAUSES = (  # fixed values: sentences that only these texts contain
     ("unlicense", "this is free and unencumbered software released into the public domain", "unencumbered"),
     ("zlib", "this software is provided 'as-is', without any express or implied warranty", "as-is"),
     ("bsl", "boost software license - version", "boost"),
-    ("public-domain", "(?:released|placed|dedicated) (?:in|in)?to the public domain", "public domain"),
-    ("proprietary", "all rights reserved", "rights reserved"),
+    ("public-domain", "(?:released|placed|dedicated) (?:in)?to the public domain", "domain"),
+    ("proprietary", "all rights reserved", "reserved"),
 )
 
 
@@ -117,11 +118,22 @@ class Rule:
     priority: int
     confidence: float
     keyword: str
+    needs: tuple[str, ...]  # one of these stands in any match; none: no such literals
     pattern: re.Pattern
 
 
-def _rule(name: str, label: str, priority: int, confidence: float, keyword: str, pattern: str) -> Rule:
-    return Rule(name, label, priority, confidence, keyword, re.compile(rf"(?<![0-9a-z]){pattern}(?![0-9a-z])"))
+def spaced(pattern: str) -> str:
+    """The pattern with any white space where it has a blank."""
+    return pattern.replace("[ -]", "\0").replace(" ?", r"\s*").replace(" ", r"\s+").replace("\0", r"[\s-]")
+
+
+def _rule(name: str, label: str, priority: int, confidence: float, keyword: str, pattern: str, needs: tuple[str, ...] = ()) -> Rule:
+    return Rule(name, label, priority, confidence, keyword, needs, re.compile(rf"(?<![0-9a-z]){spaced(pattern)}(?![0-9a-z])"))
+
+
+def literals(names: str) -> tuple[str, ...]:
+    """The first word of each of the alternatives of a family's names."""
+    return tuple(re.match("[0-9a-z]+", n)[0] for n in re.sub(r"\([^)]*\)", "", names).split("|"))
 
 
 @lru_cache(maxsize=1)
@@ -129,20 +141,21 @@ def rules() -> tuple[Rule, ...]:
     """The ordered rules: SPDX tags first, then clauses, versioned names, unversioned names, bare mentions."""
     out = []
     for label, name, versions in FAMILIES:
+        own = literals(name)
         for v in versions:
             digits = re.escape(v.removesuffix(".0")) + (r"(?:\.0)?" if v.endswith(".0") else "")
             only = rf"(?:only|or-later|\+)"
             spdx = re.escape(f"{label}-{v}")
             out += [
                 _rule(f"{label}-{v}-spdx", f"{label}-{v}", 100, 1.0, "spdx", rf"spdx-license-identifier:\s*{spdx}(?:-?{only})?"),
-                _rule(f"{label}-{v}-name", f"{label}-{v}", 80, 0.95, "licen", rf"(?:{name})\s+licen[cs]e,?\s+(?:version\s+|v\.?\s*)?{digits}"),
+                _rule(f"{label}-{v}-name", f"{label}-{v}", 80, 0.95, "licen", rf"(?:{name})\s+licen[cs]e,?\s+(?:version\s+|v\.?\s*)?{digits}", own),
                 _rule(f"{label}-{v}-short", f"{label}-{v}", 70, 0.85, label.split("-")[0], rf"{re.escape(label)}[ -]?v?{digits}(?:-?{only})?"),
             ]
         out += [
             _rule(f"{label}-spdx", label, 95, 1.0, "spdx", rf"spdx-license-identifier:\s*{re.escape(label)}"),
-            _rule(f"{label}-under", label, 65, 0.9, "under", rf"(?:licensed|released|distributed|available)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?(?:{name})(?:\s+licen[cs]e)?"),
-            _rule(f"{label}-name", label, 60, 0.8, "licen", rf"(?:{name})\s+licen[cs]e"),
-            _rule(f"{label}-field", label, 55, 0.7, "licen", rf"licen[cs]e['\"]?\s*[:=]\s*['\"]?(?:{name})"),
+            _rule(f"{label}-under", label, 65, 0.9, "under", rf"(?:licensed|released|distributed|available)\s+under\s+(?:the\s+)?(?:terms\s+of\s+)?(?:the\s+)?(?:{name})(?:\s+licen[cs]e)?", own),
+            _rule(f"{label}-name", label, 60, 0.8, "licen", rf"(?:{name})\s+licen[cs]e", own),
+            _rule(f"{label}-field", label, 55, 0.7, "licen", rf"licen[cs]e['\"]?\s*[:=]\s*['\"]?(?:{name})", own),
         ]
     for kind in CREATIVE_COMMONS:
         words = r"[\s,-]+".join(CC_WORDS[k] for k in kind.split("-"))
@@ -153,7 +166,7 @@ def rules() -> tuple[Rule, ...]:
                 _rule(f"cc-{kind}-{v}-name", f"cc-{kind}-{v}", 75, 0.9, "creative", rf"creative\s+commons\s+{words}\s+(?:licen[cs]e\s+)?{re.escape(v)}"),
             ]
     out += [_rule("cc0", "cc0-1.0", 90, 1.0, "cc0", r"cc0(?:[ -]1\.0)?")]
-    out += [_rule(f"clause-{i}", label, 85, 0.9, keyword, r"\s+".join(text.split(" ")) if "(?" not in text else text)
+    out += [_rule(f"clause-{i}", label, 85, 0.9, keyword, text)
             for i, (label, text, keyword) in enumerate(CLAUSES)]
     return tuple(sorted(out, key=lambda r: (-r.priority, r.name)))
 
@@ -173,16 +186,29 @@ def by_keyword() -> tuple["re.Pattern", dict[str, list[Rule]]]:
 
 
 def resolve(found: set[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
-    """Accept by priority, length, start; suppress what overlaps or lies inside an accepted detection."""
-    kept: list[tuple[int, int, Rule]] = []
+    """Accept by priority, length, start, name; suppress what lies inside an accepted detection.
+
+    A tree over the starts holds the furthest end among accepted detections that start there or before.
+    """
+    starts = sorted({start for start, _, _ in found})
+    place = {start: i + 1 for i, start in enumerate(starts)}
+    furthest = [-1] * (len(starts) + 1)
+    kept = []
     for start, end, rule in sorted(found, key=lambda d: (-d[2].priority, d[0] - d[1], d[0], d[2].name)):
-        if not any(start < e and s < end for s, e, _ in kept):
-            kept.append((start, end, rule))
-    return sorted(kept, key=lambda d: d[:2])
+        at, reach = place[start], -1
+        while at:
+            reach = max(reach, furthest[at])
+            at &= at - 1
+        if reach >= end:
+            continue
+        kept.append((start, end, rule))
+        at = place[start]
+        while at < len(furthest):
+            furthest[at] = max(furthest[at], end)
+            at += at & -at
+    return sorted(kept, key=lambda d: (d[0], d[1], d[2].name))
 
 
-#: No signature reaches further than this many characters to either side of its keyword.
-REACH = 200
 #: Bytes of words after lowercasing: digits, letters and everything outside ASCII.
 WORD = np.array([0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b >= 0x80 for b in range(256)])
 GAP = rb"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
@@ -211,15 +237,14 @@ def scan(text: str) -> tuple:
         first, last = (int(np.count_nonzero(starts[:p])) for p in (min(places), max(places)))
     lowered = low.decode("utf-8", "surrogatepass")
     automaton, gates = by_keyword()
-    found, reach = set(), {}
-    for end, word in automaton.iter(lowered):
-        if end < reach.get(word, -1):
-            continue  # inside the last stretch searched for this keyword
-        low_at, high_at = max(0, end - REACH), min(len(lowered), end + 2 * REACH)
-        reach[word] = high_at - REACH
+    found, stands = set(), {}
+    for word in {word for _, word in automaton.iter(lowered)}:
         for rule in gates[word]:
-            found |= {(m.start(), m.end(), rule) for m in rule.pattern.finditer(lowered, low_at, high_at)
-                      if m.end() < high_at or high_at == len(lowered)}
+            for literal in rule.needs:
+                if literal not in stands:
+                    stands[literal] = literal in lowered
+            if not rule.needs or any(stands[n] for n in rule.needs):
+                found |= {(m.start(), m.end(), rule) for m in rule.pattern.finditer(lowered)}
     kept = resolve(found)
     every = sorted(labels | {rule.label for _, _, rule in kept})
     score = 1.0
