@@ -70,8 +70,9 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     index = index or DigestIndex(spark, scratch_path(spark, "digests"))
     index.append(docs, id_col, text_col)
-    key, keep = fresh(docs, "_digest"), fresh(docs, "_keep")
-    stays = index.table().select(F.col("text_sha256").alias(key), F.col("keep_id").alias(keep))
-    marked = docs.withColumn(key, digest(F.col(f"`{text_col}`")))
-    same = (marked[key] == stays[key]) & marked[f"`{id_col}`"].cast("bigint").eqNullSafe(stays[keep])
-    return marked.join(stays, same, "left_semi").dropDuplicates([key, id_col]).drop(key)
+    # Copies of one text are told apart by their ids, so the join deals them over all tasks.
+    key = fresh(docs, "_stays")
+    of = lambda digests, ids: F.concat_ws(":", digests, F.coalesce(ids.cast("bigint").cast("string"), F.lit("null")))
+    stays = index.table().select(of(F.col("text_sha256"), F.col("keep_id")).alias(key))
+    marked = docs.withColumn(key, of(digest(F.col(f"`{text_col}`")), F.col(f"`{id_col}`")))
+    return marked.join(stays, key, "left_semi").dropDuplicates([key]).drop(key)

@@ -169,9 +169,12 @@ def identify(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
 def keep_known(docs: DataFrame, lowest: float = 0.0, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """Action (fits): the rows whose text has a language, with all their columns.
 
-    Rejected are texts without letters and those whose best language scores below ``lowest``.
+    Rejected are texts without letters and those whose best language scores below ``lowest``; without any
+    language to learn, texts without letters alone.
     """
     langs, table = fit(docs, train_docs)
+    if not langs:
+        return docs.where(F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False)))
     model = docs.sparkSession.sparkContext.broadcast((langs, table))
     known = fresh(docs, "_known")
 

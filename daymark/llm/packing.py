@@ -24,6 +24,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +36,7 @@ END_ID = 0
 GROUP_PIECES = 8192
 MEMO_ENTRIES = 500_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
+DEALT_TOGETHER = 64  # pieces
 
 
 @lru_cache(maxsize=2)
@@ -105,23 +107,28 @@ def shared_encoder(vocabulary: str, pattern: str, added: tuple[tuple[str, int],
 
 def cut_pieces(docs: DataFrame, vocabulary: str, pattern: str, added: tuple[tuple[str, int], ...] = (), size: int = SIZE,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens."""
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, and ``deal``, the number its group is drawn by.
+
+    Pieces of one document share that number, those of a long document per ``DEALT_TOGETHER`` pieces. It is drawn
+    from the place of the row among the rows read, so rows with one id, or none, are dealt like any others.
+    """
     end = np.array([END_ID], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = shared_encoder(vocabulary, pattern, added)
+        encode, task, row = shared_encoder(vocabulary, pattern, added), TaskContext.get().partitionId(), 0
         for batch in batches:
-            out = ([], [], [], [], [])
+            out = ([], [], [], [], [], [])
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = encode(text.as_py()) + end
-                n = len(ids) // 4
+                n, row = len(ids) // 4, row + 1
                 for start in range(0, n, size):
                     piece = ids[4 * start:4 * (start + size)]
-                    for column, value in zip(out, (doc_id, start, len(piece) // 4, zlib.crc32(piece), n)):
+                    deal = zlib.crc32(f"{task}:{row}:{start // (size * DEALT_TOGETHER)}".encode())
+                    for column, value in zip(out, (doc_id, start, len(piece) // 4, zlib.crc32(piece), n, deal)):
                         column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "deal"])
 
-    return thin(docs, id_col, text_col).mapInArrow(cut, PIECES)
+    return thin(docs, id_col, text_col).mapInArrow(cut, PIECES + ", deal long")
 
 
 class Tournament:
@@ -167,7 +174,7 @@ def pack(pieces: DataFrame, size: int = SIZE, group_pieces: int = GROUP_PIECES)
         return rows.assign(sequence_id=(int(key[0]) << 32) + where, offset=offset)[
             ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]].astype({"doc_id": "Int64"})
 
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("doc_id", "start", F.lit("pack")), F.lit(groups)))
+    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64("deal", F.lit("pack")), F.lit(groups)))
     return dealt.groupBy("_group").applyInPandas(pack_group, PIECES + ", sequence_id long, offset long")
 
 

@@ -128,7 +128,6 @@ def test_packing_round_trip(spark, small, docs):
     import public_tokenizers
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     rows = queries.op9(spark, small).collect()
     pieces, room = {}, {}
     for r in rows:
