@@ -66,6 +66,22 @@ def join_hot(rows: DataFrame, groups: DataFrame, key: str, weight: str, total: i
             .select(*[F.col(c) for c in rows.columns], *[F.col(f"_found.{c}").alias(c) for c in payload]))
 
 
+def join_spread(rows: DataFrame, groups: DataFrame, key: str, counted: DataFrame) -> DataFrame:
+    """Action (counts): inner join of ``rows`` to ``groups`` (one row per key), many rows of one key spread over tasks.
+
+    ``counted`` is a written table with one row for each of ``rows`` and some of their columns. Keys with more than half a task's share of the rows are fewer than twice the shuffle width. Their group is
+    copied once for every such half share and their rows are dealt over the copies; all others join as they are.
+    """
+    limit = max(1, counted.count() // (2 * parts(rows.sparkSession)))
+    counts = counted.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    hot = F.broadcast(counts.select(key, F.ceil(F.col("_n") / limit).cast("int").alias("_copies")))
+    cold = rows.join(hot, key, "left_anti").join(groups, key)
+    dealt = rows.join(hot, key).withColumn("_copy", F.pmod(F.xxhash64(*counted.columns), F.col("_copies")).cast("int")).drop("_copies")
+    copies = groups.join(hot, key).withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))).drop("_copies")
+    met = dealt.join(copies.hint("shuffle_hash"), [key, "_copy"]).drop("_copy")
+    return cold.unionByName(met)
+
+
 def crc_mod(id_col: Column, modulus: int) -> Column:
     """crc32 of the id's decimal text, modulo ``modulus``; the folds of the labelled operators."""
     return F.crc32(id_col.cast("string").cast("binary")) % modulus

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.frames import bucketed, fresh, join_hot, thin
+from daymark.llm.frames import bucketed, fresh, join_hot, join_spread, thin
 from daymark.llm.graph import components
 from daymark.session import materialize
 
@@ -41,7 +41,8 @@ WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 26, 5
 ODD = 8  # longs of an odd sketch
 CHUNK_BYTES = 3_000_000
-SETS = "doc_id long, set_hi long, set_lo long, n long, bands array<long>, odd array<long>, grams array<int>"
+SLOTS = 1 << 18  # of 64 bits each: the most rows of the filter that picks the texts to read again
+KEYS = "doc_id long, set_hi long, set_lo long, n long"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -158,7 +159,7 @@ def odd_sketch(grams: np.ndarray) -> np.ndarray:
     The sketches of two sets differ in the bits of their symmetric difference's sketch, so in no more bits
     than that difference has grams.
     """
-    bits = np.bincount(grams.view(np.uint32) % np.uint32(64 * ODD), minlength=64 * ODD) & 1
+    bits = np.bincount((grams.view(np.uint64) % np.uint64(64 * ODD)).astype(np.int64), minlength=64 * ODD) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
@@ -173,40 +174,75 @@ def ranges(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[tuple[np.ndarray, np.ndarray]]]]:
+    """Of (doc_id, text) batches, in chunks: the ids and each text's distinct shingles with their counts."""
+    for batch in batches:
+        texts = batch.column(1).to_pylist()
+        for a, b in ranges([len(t) for t in texts], CHUNK_BYTES):
+            yield batch.column(0).slice(a, b - a), [np.unique(s, return_counts=True) for s in shingles(texts[a:b])]
+
+
+def key_columns(ids: pa.Array, found: list[tuple[np.ndarray, np.ndarray]]) -> list[pa.Array]:
+    """doc_id, the two halves of the set's key, and its size."""
+    key = [(mix(f[0] + TURNS[4]).sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(f[0] ^ TURNS[2])) if len(f[0]) else np.uint64(0)) for f in found]
+    return [ids, *(pa.array(np.array([k[i] for k in key], np.uint64).view(np.int64)) for i in (0, 1)), pa.array([len(f[0]) for f in found], pa.int64())]
+
+
+def long_lists(parts: list[np.ndarray]) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts), pa.int64()))
+
+
 def signed(docs: DataFrame, weights: str = "set", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, set_hi, set_lo, n, bands, grams) of a table (doc_id, text); texts without words have n = 0."""
+    """(doc_id, set_hi, set_lo, n, bands) of a table (doc_id, text); texts without words have n = 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in ranges([len(t) for t in texts], CHUNK_BYTES):
-                found = [np.unique(s, return_counts=True) for s in shingles(texts[a:b])]
-                sizes = np.array([len(f[0]) for f in found])
-                full = np.flatnonzero(sizes)
-                values = np.zeros((b - a, bands), np.uint64)
-                if len(full):
-                    doc = np.repeat(np.arange(len(full)), sizes[full])
-                    mass = np.concatenate([found[i][1] for i in full]).astype(float) if weights == "count" else np.ones(len(doc))
-                    elements = np.concatenate([found[i][0] for i in full])
-                    signature = dart_signatures(elements, mass, doc, len(full), bands * rows)
-                    values[full] = band_values(signature, bands, rows)
-                key = [(mix(f[0] + TURNS[4]).sum(dtype=np.uint64), np.bitwise_xor.reduce(mix(f[0] ^ TURNS[2])) if len(f[0]) else np.uint64(0)) for f in found]
-                grams = [np.unique((f[0] >> np.uint64(32)).astype(np.uint32)).view(np.int32) for f in found]
-                odd = [odd_sketch(g) for g in grams]
-                lists = lambda parts, kind: pa.ListArray.from_arrays(
-                    pa.array(np.concatenate([[0], np.cumsum([len(p) for p in parts])]), pa.int32()), pa.array(np.concatenate(parts), kind))
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, b - a), pa.array(np.array([x[0] for x in key]).view(np.int64)), pa.array(np.array([x[1] for x in key]).view(np.int64)),
-                    pa.array([len(g) for g in grams], pa.int64()), lists(list(values.view(np.int64)), pa.int64()), lists(odd, pa.int64()), lists(grams, pa.int32())],
-                    ["doc_id", "set_hi", "set_lo", "n", "bands", "odd", "grams"])
-
-    return docs.mapInArrow(run, SETS)
+        for ids, found in chunked(batches):
+            sizes = np.array([len(f[0]) for f in found])
+            full = np.flatnonzero(sizes)
+            values = np.zeros((len(found), bands), np.uint64)
+            if len(full):
+                doc = np.repeat(np.arange(len(full)), sizes[full])
+                mass = np.concatenate([found[i][1] for i in full]).astype(float) if weights == "count" else np.ones(len(doc))
+                elements = np.concatenate([found[i][0] for i in full])
+                signature = dart_signatures(elements, mass, doc, len(full), bands * rows)
+                values[full] = band_values(signature, bands, rows)
+            yield pa.RecordBatch.from_arrays([*key_columns(ids, found), long_lists(list(values.view(np.int64)))],
+                                             ["doc_id", "set_hi", "set_lo", "n", "bands"])
+
+    return docs.mapInArrow(run, f"{KEYS}, bands array<long>")
+
+
+def gram_sets(docs: DataFrame) -> DataFrame:
+    """(doc_id, set_hi, set_lo, n, odd, grams) of a table (doc_id, text): the shingles themselves."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, found in chunked(batches):
+            grams = [f[0].view(np.int64) for f in found]
+            yield pa.RecordBatch.from_arrays([*key_columns(ids, found), long_lists([odd_sketch(g) for g in grams]), long_lists(grams)],
+                                             ["doc_id", "set_hi", "set_lo", "n", "odd", "grams"])
+
+    return docs.mapInArrow(run, f"{KEYS}, odd array<long>, grams array<long>")
+
+
+def likely_in(docs: DataFrame, ids: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is among ``ids`` (doc), and a few others.
+
+    A filter of ``slots`` rows of 64 bits, whatever the number of ids, is broadcast; with very many ids it lets
+    all rows pass, which costs time and changes nothing.
+    """
+    slot = lambda id_: F.pmod(F.xxhash64(id_), F.lit(slots))
+    bit = lambda id_: F.pmod(F.shiftrightunsigned(F.xxhash64(id_), 32), F.lit(64)).cast("int")
+    marks = ids.select(slot("doc").alias("_slot"), F.expr("shiftleft(1L, cast(pmod(shiftrightunsigned(xxhash64(doc), 32), 64) as int))").alias("_mark"))
+    held = marks.groupBy("_slot").agg(F.bit_or("_mark").alias("_mark"))
+    return docs.withColumn("_slot", slot("doc_id")).join(F.broadcast(held), "_slot").where(
+        F.getbit("_mark", bit("doc_id")) == 1).select(*docs.columns)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have a Jaccard similarity of ``threshold`` or more, exactly."""
+    """The pairs (a, b) of a written table whose shingle sets have a Jaccard similarity of ``threshold`` or more, exactly."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("grams").alias("left"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("grams").alias("right"))
-    return pairs.join(left, "a").join(right, "b").where(jaccard("left", "right") >= threshold).select("a", "b")
+    # A centre's set meets its pairs in many tasks, whichever side it is on.
+    return join_spread(join_spread(pairs, left, "a", pairs), right, "b", pairs).where(jaccard("left", "right") >= threshold).select("a", "b")
 
 
 def jaccard(left: str, right: str):
@@ -237,7 +273,7 @@ def differences(members: DataFrame, sets: DataFrame, threshold: float) -> DataFr
     b = (1 - threshold) / (1 + threshold)
     mine = sets.select(F.col("doc_id").alias("doc"), "odd", F.col("grams").alias("mine"))
     its = sets.select(F.col("doc_id").alias("centre"), F.col("grams").alias("its"))
-    held = members.join(mine, "doc").join(its, "centre").select(
+    held = join_spread(members.join(mine, "doc"), its, "centre", members).select(
         "centre", "centre_n", "doc", "n", "root", "odd", F.concat(F.array_except("mine", "its"), F.array_except("its", "mine")).alias("grams"))
     held = held.withColumn("size", F.size("grams")).withColumn("far", F.col("size") > b * (F.col("n") + F.col("centre_n")) - 1e-6)
     any_partner = F.ceil(F.col("size") - b * F.col("n") * (1 + 1 / threshold) - 1e-6)
@@ -268,10 +304,12 @@ def apart(postings: DataFrame, threshold: float) -> DataFrame:
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weights: str = "set", id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Action: one row per document: doc_id, class_id (least doc_id of its class), rep_id (least with the
-    same shingles), n_shingles, n_links (links of its representative)."""
+    same shingles), n_shingles, n_checked_links (links of its representative among the pairs that were compared)."""
     rows = thin(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
-    sets = bucketed(signed(rows, weights), "doc_id", "shingles")
-    docs_thin = sets.groupBy("doc_id").agg(F.max(F.struct("n", "set_hi", "set_lo", "bands")).alias("s")).select("doc_id", "s.*")
+    docs_thin = materialize(signed(rows, weights), "signed")
+    repeated = not docs_thin.groupBy("doc_id").count().where("count > 1").isEmpty()
+    if repeated:
+        docs_thin = materialize(docs_thin.groupBy("doc_id").agg(F.max(F.struct("n", "set_hi", "set_lo", "bands")).alias("s")).select("doc_id", "s.*"), "signed")
     total = docs_thin.count()
     classes = docs_thin.where("n > 0").groupBy(F.concat_ws(":", "set_hi", "set_lo", "n").alias("set_key")).agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.min_by("bands", "doc_id").alias("bands"), F.count(F.lit(1)).alias("copies"))
@@ -283,8 +321,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weights: str
     # buckets are the largest: the text that the others of a group were made from shares most with them.
     sizes = postings(reps).groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = materialize(join_hot(postings(reps), materialize(sizes, "sizes"), "bucket", "size", max(1, total)), "shared")
+    # The shingles are needed of these documents only; their texts are read again instead of keeping all sets.
+    sets = bucketed(gram_sets(likely_in(rows, shared.select("doc").distinct())), "doc_id", "shingles")
+    if repeated:
+        sets = sets.groupBy("doc_id").agg(F.max(F.struct("n", "set_hi", "set_lo", "odd", "grams")).alias("s")).select("doc_id", "s.*")
     popular = shared.groupBy("doc").agg(F.sum("size").alias("popularity"))
-    ranked = shared.join(popular, "doc")
+    ranked = shared.join(popular.hint("merge"), "doc")
     centres = ranked.groupBy("bucket").agg(F.max(F.struct("popularity", F.xxhash64("doc", "bucket").alias("h"), "doc", "n")).alias("c"), F.first("size").alias("size"))
     buckets = materialize(centres.select("bucket", F.col("c.doc").alias("centre"), F.col("c.n").alias("centre_n"), "size"), "buckets")
     met = join_hot(shared.select("bucket", "doc", "n"), buckets, "bucket", "size", max(1, total))
@@ -295,22 +337,22 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, weights: str
     roots = materialize(components(links), "roots")
 
     # Buckets that still hold two components: pairs across them, apart from those already compared.
-    placed = met.join(roots.withColumnRenamed("node", "doc"), "doc", "left").select("bucket", "doc", "n", "centre", "centre_n", F.coalesce("root", "doc").alias("root"))
+    placed = met.join(roots.withColumnRenamed("node", "doc").hint("merge"), "doc", "left").select("bucket", "doc", "n", "centre", "centre_n", F.coalesce("root", "doc").alias("root"))
     placed = materialize(placed, "placed")
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-    members = placed.join(mixed, "bucket", "left_semi").where("doc <> centre").drop("bucket").distinct()
+    members = materialize(placed.join(mixed, "bucket", "left_semi").where("doc <> centre").drop("bucket").distinct(), "members")
     across = materialize(apart(materialize(differences(members, sets, threshold), "differences"), threshold), "across")
-    more = verified(across.join(checked, ["a", "b"], "left_anti"), sets, threshold)
+    more = verified(materialize(across.join(checked, ["a", "b"], "left_anti"), "across"), sets, threshold)
     links = materialize(links.unionByName(more), "links")
     roots = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
+    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_checked_links"))
     known = reps.select("rep").join(roots.select(F.col("node").alias("rep"), "root"), "rep", "left").join(degree, "rep", "left")
     known = known.join(reps.select("rep", "copies"), "rep").withColumnRenamed("rep", "rep_id")
     classed = join_hot(member.withColumnRenamed("rep", "rep_id"), known, "rep_id", "copies", total)
     alone = docs_thin.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("rep_id"),
-                                            F.lit(0).cast("bigint").alias("n_shingles"), F.lit(0).cast("bigint").alias("n_links"))
+                                            F.lit(0).cast("bigint").alias("n_shingles"), F.lit(0).cast("bigint").alias("n_checked_links"))
     return classed.select("doc_id", F.coalesce("root", "rep_id").alias("class_id"), "rep_id", F.col("n").alias("n_shingles"),
-                          F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")).unionByName(alone)
+                          F.coalesce("n_checked_links", F.lit(0)).cast("bigint").alias("n_checked_links")).unionByName(alone)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

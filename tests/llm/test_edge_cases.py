@@ -112,7 +112,7 @@ def test_near_copies_around_the_threshold_equal_brute_force(spark):
 def test_odd_sketches_never_overstate_a_difference():
     rng = np.random.default_rng(3)
     for n in (1, 40, 3000):
-        a, b = (np.unique(rng.integers(-2 ** 31, 2 ** 31 - 1, n, np.int64)).astype(np.int32) for _ in "ab")
+        a, b = (np.unique(rng.integers(-2 ** 63, 2 ** 63 - 1, n, np.int64)) for _ in "ab")
         b = np.unique(np.concatenate([a[: n // 2], b]))
         x, y = near_dedup.odd_sketch(a), near_dedup.odd_sketch(b)
         assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= len(np.setxor1d(a, b))
