@@ -37,7 +37,12 @@ BASE_WEATHER = ["temp_mean", "temp_min", "temp_max", "rain_sum", "wind_mean", "w
 DERIVED_WEATHER = BASE_WEATHER + [
     "temp_range", "temp_change_1", "temp_change_7", "temp_weekend", "warm_degree", "cold_degree",
     "rain_log", "rain_change_7", "wind_change_7"]
-FEATURE_SETS = {"compact": COMPACT, "full": FULL, "weekly": WEEKLY, "recent": RECENT, "linear": LINEAR, "last_week": ["lag_7"]}
+EXPANDED = CALENDAR + HOLIDAYS + [f"lag_{n}" for n in range(1, HISTORY_DAYS + 1)] + [
+    f"{kind}_{n}" for n in SPANS for kind in ("mean", "std", "median")] + [
+    "recent_low", "recent_high", "weekly_change", "recent_change", "mean_change", "relative_recent", "relative_weekly",
+    "weekly_mean_2", "weekly_mean_3", "weekly_mean_4", "weekly_median_4"] + [f"weekday_{n}" for n in range(7)] + [
+    "year_sin_2", "year_cos_2", "year_sin_3", "year_cos_3", "trend"]
+FEATURE_SETS = {"compact": COMPACT, "expanded": EXPANDED, "full": FULL, "weekly": WEEKLY, "recent": RECENT, "linear": LINEAR, "last_week": ["lag_7"]}
 for _base in ("compact", "full", "weekly", "linear"):
     FEATURE_SETS[f"weather_{_base}"] = FEATURE_SETS[_base] + BASE_WEATHER
     FEATURE_SETS[f"weather_derived_{_base}"] = FEATURE_SETS[_base] + DERIVED_WEATHER

@@ -14,7 +14,7 @@ from daymark.plans.catalog.features import FRAME, LAGGED, r, rounded, rs
 from daymark.plans.catalog.preparation import FOLDED
 from daymark.plans.catalog.statistics import METRICS
 from daymark.plans.registry import query
-from daymark.session import materialize
+from daymark.session import materialize, scratch_path
 
 TRAIN_UNTIL = "2000-12-31"
 
@@ -157,6 +157,13 @@ def _(spark, d):
     return rounded(forecasting.search_board(forecasting.grid_search_chrono(train, candidates)).drop("setting"), skip=())
 
 
+@query("m15_forest_board")
+def _(spark, d):
+    """All 36 forests on all folds, each finished fit a row of a board that a later run goes on with."""
+    train, _ = halves(frame(spark, d))
+    return forecasting.search_board(forecasting.search_on_board(train, forecasting.forest_settings(), scratch_path(spark, "board")))
+
+
 @query("m17_evaluate_oof")
 def _(spark, d):
     scores = classifying.held_out_scores(labelled(spark, d), lambda: classifying.classifier("logistic", NUMERIC, CATEGORICAL),

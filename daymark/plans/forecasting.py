@@ -6,6 +6,8 @@ inverse are SQL stages), so it is written and read with ``PipelineModel.write``.
 
 from __future__ import annotations
 
+import hashlib
+import time
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -13,7 +15,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymark import stages
@@ -240,3 +242,64 @@ def rolling_evaluation(daily: DataFrame, preferred: DataFrame, first_day: str, f
         *scoring.regression_aggregates("actual", "prediction"),
         F.avg(F.abs(F.col("actual") - F.col("lag_7"))).alias("lag_7_mae"),
     ).withColumn("improvement", 1 - ratio(F.col("mae"), F.col("lag_7_mae")))
+
+
+BOARD_ROW = "key string, candidate int, setting string, fold int, mae double, train_mae double, days long, seconds double"
+
+
+def search_on_board(frame: DataFrame, candidates: Sequence[ResidualForecaster | BaselineForecaster], path: str, splits: int = 3,
+                    test_size: int = 21, series: Sequence[str] = ("series",), day: str = "date", value: str = "trips",
+                    workers: int = 8) -> DataFrame:
+    """Action: :func:`grid_search_chrono` with its progress on a written board below ``path``.
+
+    Every finished fit writes its row, keyed by setting, fold and the rows it was fitted on, into a folder of
+    its own. A later call with the same ``path`` takes finished rows away by an anti-join and runs the rest, so a
+    killed search goes on where it stopped; another table, or other settings, find no row of theirs.
+    """
+    spark = frame.sparkSession
+    stored = materialize(expanding_folds(frame, splits, test_size, 0, series, day), "folds")
+    names = sorted(set(stored.columns) - {"fold", "role"})
+    told = stored.agg(F.count(F.lit(1)), F.sum(F.xxhash64("fold", "role", *names).cast("decimal(38,0)"))).first()
+    jobs = spark.createDataFrame([(hashlib.sha256(f"{_setting(c)}/{f}/{told}".encode()).hexdigest()[:32], i, f)
+                                  for i, c in enumerate(candidates) for f in range(splits)], "key string, candidate int, fold int")
+    done = spark.read.schema(BOARD_ROW).option("recursiveFileLookup", "true").parquet(_board_folder(spark, path))
+    waiting = [(r["key"], r["candidate"], r["fold"]) for r in jobs.join(done, "key", "left_anti").orderBy("candidate", "fold").collect()]
+
+    def run(job: tuple[str, int, int]) -> None:
+        key, index, fold = job
+        candidate, started = candidates[index], time.perf_counter()
+        part = stored.where(F.col("fold") == fold)
+        model = candidate.fit(part.where("role = 'train'"))
+        error, checked = F.abs(F.col(value) - F.col(candidate.value("output"))), F.col("role") == "check"
+        m = model.transform(part).agg(F.avg(F.when(checked, error)), F.avg(F.when(~checked, error)), F.count_if(checked)).first()
+        row = (key, index, _setting(candidate), fold, *m, time.perf_counter() - started)
+        spark.createDataFrame([row], BOARD_ROW).coalesce(1).write.mode("overwrite").parquet(f"{path}/rows/{key}")
+
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        for running in [pool.submit(inheritable_thread_target(spark)(run), job) for job in waiting]:
+            running.result()
+    done = spark.read.schema(BOARD_ROW).option("recursiveFileLookup", "true").parquet(f"{path}/rows")
+    # The index follows the caller's list, which may have been put together in another order before.
+    return done.drop("candidate", "fold").join(F.broadcast(jobs), "key").select("candidate", "setting", "fold", "mae", "train_mae", "days", "seconds")
+
+
+def _board_folder(spark: SparkSession, path: str) -> str:
+    """The board's folder, made with an empty table where it is new."""
+    folder = f"{path}/rows"
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        spark.createDataFrame([], BOARD_ROW).write.parquet(f"{folder}/begin")
+    return folder
+
+
+def forest_settings() -> list[ResidualForecaster]:
+    """The plan's 36 forests of 200 trees: depth (30 is Spark's greatest) x rows in a leaf x share of features x residual."""
+    return [ResidualForecaster("forest", "full", t, trees=200, depth=d, minInstancesPerNode=leaf, featureSubsetStrategy=share)
+            for d in (3, 6, 30) for leaf in (2, 5, 10) for share in ("0.7", "1.0") for t in ("direct", "residual7")]
+
+
+def boosted_settings() -> list[ResidualForecaster]:
+    """Boosted trees on the axes of the plan's 192 that Spark's have: depth x rounds x rate x rows in a leaf x rows
+    drawn x residual, 96 in all; Spark has no penalty on leaf values."""
+    return [ResidualForecaster("boosted", "full", t, depth=d, rounds=n, rate=r, minInstancesPerNode=leaf, subsamplingRate=s)
+            for d in (2, 3, 5) for n in (100, 300) for r in (0.03, 0.1) for leaf in (3, 10) for s in (0.8, 1.0) for t in ("direct", "residual7")]
