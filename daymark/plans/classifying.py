@@ -122,6 +122,14 @@ def held_out_scores(df: DataFrame, make, k: int = 5, repeats: int = 2, predictor
     rows stay. The folded rows are written once and each fold's scores once, so a lost executor
     repeats one fit's work at most.
     """
+    rows = fold_rows(df, make, k, repeats, predictors, exclude_collisions, keep, workers, seed, False)
+    return rows.drop("role")
+
+
+def fold_rows(df: DataFrame, make, k: int = 5, repeats: int = 2, predictors: Sequence[str] = (), exclude_collisions: bool = False,
+              keep: Sequence[str] = ("row_id", "label"), workers: int = 4, seed: str = "42", training_too: bool = True) -> DataFrame:
+    """Action: the scores of every fold's held-out rows (role ``held``) and, where asked for, of the rows its model
+    was fitted on (role ``train``)."""
     folds = materialize(stratified_folds(df, "row_id", "label", k, repeats, seed), "folds")
 
     def run(job: tuple[int, int]) -> DataFrame:
@@ -131,7 +139,10 @@ def held_out_scores(df: DataFrame, make, k: int = 5, repeats: int = 2, predictor
         training = part.where(F.col("fold") != fold)
         if exclude_collisions:
             training = materialize(joins.without_collisions(training, held, predictors), "training")
-        scored = score_rows(make().fit(training), held, keep)
+        model = make().fit(training)
+        scored = score_rows(model, held, keep).withColumn("role", F.lit("held"))
+        if training_too:
+            scored = scored.unionByName(score_rows(model, training, keep).withColumn("role", F.lit("train")))
         return materialize(scored.withColumns({"repeat": F.lit(repeat), "fold": F.lit(fold)}), "scores")
 
     parts = pooled(df.sparkSession, run, [(r, f) for r in range(repeats) for f in range(k)], workers)
@@ -141,6 +152,35 @@ def held_out_scores(df: DataFrame, make, k: int = 5, repeats: int = 2, predictor
     return out
 
 
+def fold_report(rows: DataFrame, cutoff: float = 0.5) -> DataFrame:
+    """One row per fold of :func:`fold_rows`: rows on both sides, training rows that collisions took away,
+    average precision on the training rows, and all metrics on the held-out rows."""
+    keys = ["repeat", "fold"]
+    sizes = rows.groupBy(*keys).agg(F.count_if(F.col("role") == "train").alias("training_rows"), F.count_if(F.col("role") == "held").alias("validation_rows"))
+    whole = sizes.groupBy("repeat").agg(F.sum("validation_rows").alias("_all"))
+    ranked = scoring.ranking_metrics(rows, keys=[*keys, "role"])
+    train = ranked.where("role = 'train'").select(*keys, F.col("average_precision").alias("train_average_precision"))
+    held = fold_metrics(rows.where("role = 'held'"), cutoff)
+    return sizes.join(whole, "repeat").withColumn(
+        "collision_training_exclusions", F.col("_all") - F.col("validation_rows") - F.col("training_rows")).drop("_all").join(
+        train, keys, "left").join(held, keys)
+
+
+def evaluation_summary(rows: DataFrame, cutoff: float = 0.5) -> DataFrame:
+    """One row: mean and deviation over folds, all collision exclusions, and the metrics of each row's mean held-out score."""
+    report = fold_report(rows, cutoff)
+    folds = report.agg(
+        F.count(F.lit(1)).alias("folds"), F.avg("average_precision").alias("cv_average_precision"),
+        F.stddev_pop("average_precision").alias("cv_average_precision_std"), F.avg("roc_auc").alias("cv_roc_auc"),
+        F.stddev_pop("roc_auc").alias("cv_roc_auc_std"), F.avg("train_average_precision").alias("train_average_precision"),
+        F.sum("collision_training_exclusions").alias("collision_training_exclusions"))
+    averaged = row_scores(rows.where("role = 'held'"))
+    oof = scoring.ranking_metrics(averaged).withColumn("_one", F.lit(1)).join(
+        scoring.classification_metrics(averaged, cutoff).withColumn("_one", F.lit(1)), "_one").drop("_one")
+    named = oof.select(*[F.col(c).alias(f"oof_{c}") for c in oof.columns])
+    return folds.withColumn("_one", F.lit(1)).join(F.broadcast(named.withColumn("_one", F.lit(1))), "_one").drop("_one")
+
+
 def require_each_row(scores: DataFrame, repeats: int) -> DataFrame:
     """Action: raise unless every row was held out exactly ``repeats`` times."""
     wrong = scores.groupBy("row_id").count().where(F.col("count") != repeats).count()

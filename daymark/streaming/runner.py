@@ -50,12 +50,15 @@ def run_append(stream: DataFrame, purpose: str = "stream", base: str | None = No
 
 
 def run_complete(stream: DataFrame, purpose: str = "stream", base: str | None = None) -> DataFrame:
-    """Complete mode: each batch writes the whole result anew; the last one is returned."""
+    """Complete mode: each batch writes the whole result anew and drops the one before the last; the last is returned."""
     spark = stream.sparkSession
     base = base or scratch_path(spark, purpose)
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/table/batch={batch_id}")
+        # A batch may be repeated, the one before it is whole by now; older results are of no use.
+        old = batch.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{base}/table/batch={batch_id - 2}")
+        old.getFileSystem(batch.sparkSession._jsc.hadoopConfiguration()).delete(old, True)
 
     # An empty result stands in until the first batch, so that a run without input has one too.
     spark.createDataFrame([], stream.schema).write.mode("overwrite").parquet(f"{base}/table/batch=-1")

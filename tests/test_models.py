@@ -162,3 +162,17 @@ def test_concurrent_fits_keep_their_local_properties(spark):
     rows = spark.range(3)
     step = SQLTransformer(statement="select *, id + 1 as next from __THIS__")
     assert pooled(spark, lambda _: step.transform(rows).schema["next"].name, range(2000), 8) == ["next"] * 2000
+
+
+def test_fold_report_tells_training_and_held_out_rows_apart(spark):
+    from daymark.plans import classifying
+
+    rows = spark.createDataFrame([(i, int(i % 3 == 0), float(i % 40), "ab"[i % 2]) for i in range(160)], "row_id long, label int, size double, kind string")
+    scored = classifying.fold_rows(rows, lambda: classifying.classifier("forest", ["size"], ["kind"]), k=4, repeats=2,
+                                   predictors=["size", "kind"], exclude_collisions=True).cache()
+    report = classifying.fold_report(scored).collect()
+    assert len(report) == 8 and all(r["training_rows"] + r["validation_rows"] + r["collision_training_exclusions"] == 160 for r in report)
+    assert all(r["collision_training_exclusions"] > 0 for r in report) and all(r["train_average_precision"] > 0.33 for r in report)
+    one = classifying.evaluation_summary(scored).first()
+    assert one["folds"] == 8 and one["cv_average_precision"] == pytest.approx(sum(r["average_precision"] for r in report) / 8)
+    assert one["oof_tp"] + one["oof_fn"] == 54 and one["collision_training_exclusions"] == sum(r["collision_training_exclusions"] for r in report)

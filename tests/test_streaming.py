@@ -39,6 +39,12 @@ def test_complete_counts_equal_batch(spark, arrivals):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_complete_mode_keeps_two_results_at_most(spark, arrivals, tmp_path):
+    base = str(tmp_path / "counts")
+    runner.run_complete(jobs.daily_windows(stream(spark, arrivals)), base=base)
+    assert len(list((tmp_path / "counts" / "table").glob("batch=*"))) == 2
+
+
 def test_append_emits_closed_days_only(spark, arrivals):
     got = {r["date"] for r in runner.run_append(jobs.daily_windows(stream(spark, arrivals))).collect()}
     want = sorted(r["date"] for r in audit.daily_counts(spark.read.parquet(arrivals)).collect())
