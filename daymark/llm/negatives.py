@@ -11,7 +11,7 @@ The rows are dealt into blocks, packed as arrays; a task holds one block and the
 cluster by cluster, so a block's list is sorted once a cluster. The best of each block meet in a window over
 at most k rows a block. Anchors times blocks are moved, never rows times anchors.
 
-Clusters are fitted on at most ``SAMPLE`` anchors; every anchor belongs to one, and every row is in a list. A
+Clusters are fitted on a sample of ``SAMPLE`` anchors in expectation, drawn by hash; every anchor belongs to one, and every row is in a list. A
 bound is exact whatever the centres are, so clusters decide the work alone.
 
 Defined cases: rows with a null id, a null label, a null vector, a null or non-finite component (or one that
@@ -117,7 +117,9 @@ def centres_of(sample: np.ndarray, clusters: int) -> np.ndarray:
 
 
 def fitted_centres(anchors: DataFrame, sample: int, clusters: int) -> np.ndarray:
-    rows = anchors.select("vector").orderBy(F.xxhash64("id"), "id").limit(sample).collect()  # bounded
+    share = min(1.0, sample / max(1, anchors.count()))
+    drawn = anchors.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).select("id", "vector")
+    rows = sorted(drawn.collect(), key=lambda r: r["id"])  # ``sample`` in expectation
     return centres_of(quantised([r["vector"] for r in rows]), clusters)
 
 

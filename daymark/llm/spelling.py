@@ -8,7 +8,7 @@ letter's count, the box of a subtree is the AND and the OR of its words, and the
 are counted bits.
 
 1. Runs of letters are counted in the tasks that read them, then over all documents.
-2. Each length has a tree of its own: a bounded sample of words (``SAMPLE_WORDS``) places the splits, as many
+2. Each length has a tree of its own: a bounded sample of words (``SAMPLE_WORDS`` in expectation, drawn by hash) places the splits, as many
    as the length's words need for cells of about ``CELL_WORDS``. Every word is dealt to its cell.
 3. Every word searches the trees of its own length and of the next: boxes more than one step up or down
    are pruned, and it is sent to the cells left.
@@ -202,6 +202,7 @@ class Cells:
                 tree = Tree(letter_masks(words), max(1, len(words) * cell_words // n), tight=False)
                 self.trees[length] = first, tree
                 first += len(tree.leaves)
+                tree.leaves = []  # the sample's rows; only their places are needed
 
     def home(self, masks: np.ndarray, length: int) -> np.ndarray:
         if length not in self.trees:
@@ -229,7 +230,9 @@ def near_pairs(vocabulary: DataFrame, sample_words: int = SAMPLE_WORDS, cell_wor
     spark = vocabulary.sparkSession
     sizes = vocabulary.groupBy(F.length("word").alias("length")).count().where(F.col("count") > cell_words)
     lengths = {r["length"]: r["count"] for r in sizes.collect()}  # at most words / cell_words rows
-    sample = [r["word"] for r in vocabulary.select("word").orderBy(F.xxhash64("word"), "word").limit(sample_words).collect()] if lengths else []
+    share = min(1.0, sample_words / max(1, vocabulary.count()))
+    drawn = vocabulary.select("word").where(F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    sample = sorted(r["word"] for r in drawn.collect()) if lengths else []  # ``sample_words`` in expectation
     cells = spark.sparkContext.broadcast(Cells(sample, lengths, cell_words))  # a node a cell, words / cell_words of them
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
