@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from uuid import uuid4
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from daymark import stages
 from daymark.operators import joins, scoring, validate
 from daymark.operators.split import stratified_folds
-from daymark.session import materialize
+from daymark.session import materialize, scratch_path
 from daymark.stages import StoredStage, param
 
 FAMILIES = ("majority", "logistic", "forest", "boosted")
@@ -225,19 +226,28 @@ def nested_cutoff(df: DataFrame, make, target: float = 0.9, outer: int = 5, inne
 
 def preparation_ablation(df: DataFrame, versions: dict[str, tuple[Sequence[str], Sequence[str], bool]],
                          families: Sequence[str] = ("logistic", "forest"), k: int = 5, repeats: int = 2,
-                         workers: int = 4, settings: dict[str, dict] | None = None) -> DataFrame:
-    """Mean held-out ROC AUC per data version (rows) and model (columns), same folds throughout.
+                         workers: int = 8, settings: dict[str, dict] | None = None, seed: str = "42") -> DataFrame:
+    """Action: mean held-out ROC AUC per data version (rows) and model (columns), same folds throughout.
 
-    ``settings`` holds the model's settings per family.
+    ``settings`` holds the model's settings per family. The folds are written once; the fits of all versions
+    and models share one pool of jobs, each writing its scores, and one scan reads them all.
     """
-    parts = []
-    for version, (numeric, categorical, flags) in versions.items():
-        for family in families:
-            scores = held_out_scores(df, lambda: classifier(family, numeric, categorical, flags, **(settings or {}).get(family, {})), k, repeats, workers=workers)
-            parts.append(scores.withColumns({"version": F.lit(version), "model": F.lit(family)}))
-    scores = parts[0]
-    for part in parts[1:]:
-        scores = scores.unionByName(part)
+    folds = materialize(stratified_folds(df, "row_id", "label", k, repeats, seed), "folds")
+    spark, base = df.sparkSession, scratch_path(df.sparkSession, "ablation")
+
+    def run(job: tuple[str, str, int, int]) -> str:
+        version, family, repeat, fold = job
+        numeric, categorical, flags = versions[version]
+        part = folds.where(F.col("repeat") == repeat)
+        model = classifier(family, numeric, categorical, flags, **(settings or {}).get(family, {})).fit(part.where(F.col("fold") != fold))
+        scored = score_rows(model, part.where(F.col("fold") == fold), ["label", "repeat", "fold"])
+        path = f"{base}/{uuid4().hex}"
+        scored.select(F.col("label").cast("int"), F.col("repeat").cast("int"), F.col("fold").cast("int"), F.col("score").cast("double"),
+                      F.lit(version).alias("version"), F.lit(family).alias("model")).write.parquet(path)
+        return path
+
+    jobs = [(v, f, r, fold) for f in families for v in versions for r in range(repeats) for fold in range(k)]
+    scores = spark.read.schema("label int, repeat int, fold int, score double, version string, model string").parquet(*pooled(spark, run, jobs, workers))
     per_fold = scoring.ranking_metrics(scores, keys=["version", "model", "repeat", "fold"])
     return per_fold.groupBy("version").pivot("model", list(families)).agg(F.avg("roc_auc"))
 
