@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from daymark.functions import clock
 from daymark.functions.numeric import clip_forecast, r6, whole_forecast
-from daymark.operators import audit, history, sets, validate, weather
+from daymark.operators import audit, growing, history, sets, validate, weather
 from daymark.plans import bindings as b
 from daymark.plans.registry import query
+from daymark.session import scratch_path
 from daymark.sources import hourly_json
 
 
@@ -439,3 +440,37 @@ def _(spark, d):
 @query("f5_local_date", f"select {b.LOCAL.format('ts')} as date, count(*) as rows from events group by 1")
 def _(spark, d):
     return b.table(spark, d, "events").groupBy(clock.local_date(F.col("ts"), weather.NEW_YORK).alias("date")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+_IN_1997 = "l_shipdate >= timestamp '1997-01-01' and l_shipdate < timestamp '1998-01-01'"
+
+
+def _grown(spark, d):
+    """Shipments arriving as three archives; the last arrives together with the first, whose members are known by then."""
+    rows = b.table(spark, d, "lineitem").select(
+        F.col("l_returnflag").alias("origin"), F.col("l_shipmode").alias("member"), F.col("l_shipdate").alias("started_at"),
+        F.substring(F.md5(F.concat_ws("-", "l_orderkey", "l_linenumber")), 1, 16).alias("ride_id"))
+    state = growing.GrowingAudit(spark, scratch_path(spark, "audit"), 1997)
+    for arriving in (["R"], ["N"], ["A", "R"]):
+        state.add(rows.where(F.col("origin").isin(arriving)), "origin", "member")
+    return state
+
+
+@query("a29_growing_report", f"""
+with k as (select md5(l_orderkey || '-' || l_linenumber) as id, count(*) as n from lineitem where {_IN_1997} group by 1)
+select count(distinct l_returnflag || l_shipmode) as members, count(*) as rows, count(*) filter (where {_IN_1997}) as counted, count(*) filter (where not ({_IN_1997})) as outside_year,
+ cast(0 as bigint) as unparsed, cast(0 as bigint) as invalid_ids, (select cast(coalesce(sum(n - 1), 0) as bigint) from k) as extra_rows, (select count(*) from k where n > 1) as repeated_ids,
+ count(distinct case when {_IN_1997} then cast(l_shipdate as date) end) as days, 365 - count(distinct case when {_IN_1997} then cast(l_shipdate as date) end) as missing_days, true as reconciled from lineitem
+""")
+def _(spark, d):
+    """Three additions, each audited against stored sums and ids alone, equal one audit of all rows."""
+    return _grown(spark, d).report()
+
+
+@query("s3_growing_manifest", f"""
+select l_returnflag as origin, l_shipmode as member, count(*) as rows, min(l_shipdate) as first_started_at, max(l_shipdate) as last_started_at,
+ count(distinct case when {_IN_1997} then cast(l_shipdate as date) end) as distinct_start_dates,
+ count(*) filter (where not ({_IN_1997})) as outside_selected_year, count(*) filter (where {_IN_1997}) as counted_rides from lineitem group by 1, 2
+""")
+def _(spark, d):
+    return _grown(spark, d).manifest()

@@ -2,6 +2,10 @@
 
 One partition per top-level entry of each archive, so a large archive spreads over tasks; the
 driver reads the archives' directories only. Members stream through Arrow in blocks.
+
+Conditions on ``_member`` are pushed into the source, so a filtered read opens the members that meet them
+and no others, and skips nested archives that cannot hold one. Checks of a member (required and unknown
+columns, no rows) apply to the members that are opened.
 """
 
 from __future__ import annotations
@@ -19,7 +23,9 @@ import pyarrow as pa
 import pyarrow.csv as pa_csv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource, DataSourceReader, EqualNullSafe, EqualTo, Filter, In, InputPartition, IsNotNull, Not, StringContains, StringEndsWith,
+    StringStartsWith)
 from pyspark.sql.types import StructType
 
 from daymark.functions.clock import parse_clock
@@ -64,15 +70,58 @@ def _opened_inner(archive: zipfile.ZipFile, info: zipfile.ZipInfo):
             yield inner
 
 
-def _tables(file: str, entry: str) -> Iterator[tuple[str, zipfile.ZipInfo, IO[bytes]]]:
+def _decides(condition: Filter) -> bool:
+    """Whether a member's path alone tells if the condition holds."""
+    if isinstance(condition, Not):
+        return _decides(condition.child)
+    known = (EqualTo, EqualNullSafe, In, IsNotNull, StringStartsWith, StringEndsWith, StringContains)
+    return isinstance(condition, known) and condition.attribute == ("_member",)
+
+
+def _holds(condition: Filter, where: str) -> bool:
+    match condition:
+        case Not(child=inner):
+            return not _holds(inner, where)
+        case EqualTo(value=text) | EqualNullSafe(value=text):
+            return where == text
+        case In(value=texts):
+            return where in texts
+        case StringStartsWith(value=text):
+            return where.startswith(text)
+        case StringEndsWith(value=text):
+            return where.endswith(text)
+        case StringContains(value=text):
+            return text in where
+    return True
+
+
+def _may_hold_below(condition: Filter, prefix: str) -> bool:
+    """Whether the condition can hold for some path that starts with ``prefix``."""
+    match condition:
+        case EqualTo(value=text) | EqualNullSafe(value=text):
+            return str(text).startswith(prefix)
+        case In(value=texts):
+            return any(str(t).startswith(prefix) for t in texts)
+        case StringStartsWith(value=text):
+            return text.startswith(prefix) or prefix.startswith(text)
+    return True
+
+
+def _archive_prefix(file: str) -> str:
+    return f"{file.rstrip('/').rsplit('/', 1)[-1]}!/"
+
+
+def _tables(file: str, entry: str, opens, enters) -> Iterator[tuple[str, zipfile.ZipInfo, IO[bytes]]]:
     """(path inside, directory record, stream) of each table at or below one top-level entry.
 
+    ``opens`` and ``enters`` tell by its path whether a table or a nested archive is looked into.
+
     Archives that are open wait on a list, each with what is left of its contents; the last one is
     worked on first and closed when nothing is left, so open copies are bounded by the depth.
     """
     with ExitStack() as whole:
         top = whole.enter_context(zipfile.ZipFile(whole.enter_context(open_path(file))))
-        waiting = [(f"{file.rstrip('/').rsplit('/', 1)[-1]}!/", top, iter([top.getinfo(entry)]), ExitStack())]
+        waiting = [(_archive_prefix(file), top, iter([top.getinfo(entry)]), ExitStack())]
         whole.callback(lambda: [level[3].close() for level in reversed(waiting)])
         while waiting:
             prefix, archive, left, owner = waiting[-1]
@@ -81,9 +130,10 @@ def _tables(file: str, entry: str) -> Iterator[tuple[str, zipfile.ZipInfo, IO[by
                 waiting.pop()
                 owner.close()
             elif _is_table(info.filename):
-                with archive.open(info) as stream:
-                    yield prefix + info.filename, info, stream
-            else:
+                if opens(prefix + info.filename):
+                    with archive.open(info) as stream:
+                        yield prefix + info.filename, info, stream
+            elif enters(f"{prefix}{info.filename}!/"):
                 owner = ExitStack()
                 inner = owner.enter_context(_opened_inner(archive, info))
                 waiting.append((f"{prefix}{info.filename}!/", inner, iter(_inside(inner)), owner))
@@ -102,22 +152,42 @@ class _ZipCsvReader(DataSourceReader):
         self.required = [c for c in options.get("required", "").split(",") if c]
         self.members = options.get("members", "")
         self.unknown = options.get("unknown", "fail")
+        self.conditions: list[Filter] = []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Keeps the conditions on ``_member``; Spark applies all others."""
+        for condition in filters:
+            if _decides(condition):
+                self.conditions.append(condition)
+            else:
+                yield condition
+
+    def _opens(self, where: str) -> bool:
+        return bool(re.search(self.members, where)) and all(_holds(c, where) for c in self.conditions)
+
+    def _enters(self, prefix: str) -> bool:
+        return all(_may_hold_below(c, prefix) for c in self.conditions)
 
     def partitions(self) -> list[_Entry]:
-        entries = []
+        entries, found = [], False
         for path in self.paths:
             for file in list_files(path, ".zip"):
                 with open_path(file) as stream, zipfile.ZipFile(stream) as archive:
                     names = [i.filename for i in _inside(archive)]
-                entries += [_Entry(file, n) for n in names if not _is_table(n) or re.search(self.members, n)]
-        if not entries:
+                names = [n for n in names if not _is_table(n) or re.search(self.members, n)]
+                found = found or bool(names)
+                top = _archive_prefix(file)
+                entries += [_Entry(file, n) for n in names
+                            if (self._opens(top + n) if _is_table(n) else self._enters(f"{top}{n}!/"))]
+        if not found:
             raise ValueError(f"{', '.join(self.paths)}: no archive here holds a table or another archive")
         return entries
 
-    def read(self, partition: _Entry):
-        for where, info, stream in _tables(partition.path, partition.name):
-            if re.search(self.members, where):
-                yield from self._batches(where, info, stream)
+    def read(self, partition: _Entry | None):
+        if partition is None:  # Spark plans one empty partition where the conditions leave none
+            return
+        for where, info, stream in _tables(partition.path, partition.name, self._opens, self._enters):
+            yield from self._batches(where, info, stream)
 
     def _batches(self, where: str, info: zipfile.ZipInfo, stream) -> Iterator[pa.RecordBatch]:
         names = next(csv.reader([stream.readline().decode("utf-8-sig").strip("\r\n")]), [])
@@ -129,19 +199,20 @@ class _ZipCsvReader(DataSourceReader):
             raise ValueError(f"{where} also has {', '.join(unknown)}; list the columns to read, or pass unknown='drop'")
         added = {"_member": where, "_header": ",".join(names), "_bytes": info.file_size, "_crc": info.CRC}
         rows = 0
-        for batch in self._blocks(where, names, stream):
+        wanted = [c for c in names if c in self.columns] or names[:1]  # others are not converted
+        for batch in self._blocks(where, names, wanted, stream):
             rows += batch.num_rows
             yield pa.RecordBatch.from_arrays([
                 pa.repeat(pa.scalar(added[c], pa.string() if ADDED[c] == "string" else pa.int64()), batch.num_rows) if c in ADDED
-                else batch.column(names.index(c)) if c in names else pa.nulls(batch.num_rows, pa.string())
+                else batch.column(wanted.index(c)) if c in wanted else pa.nulls(batch.num_rows, pa.string())
                 for c in self.columns], names=self.columns)
         if not rows:
             raise ValueError(f"{where} has no rows")
 
     @staticmethod
-    def _blocks(where: str, names: list[str], stream):
-        texts = pa_csv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()), null_values=NULL_TEXTS,
-                                      strings_can_be_null=True)
+    def _blocks(where: str, names: list[str], wanted: list[str], stream):
+        texts = pa_csv.ConvertOptions(column_types=dict.fromkeys(wanted, pa.string()), null_values=NULL_TEXTS,
+                                      strings_can_be_null=True, include_columns=wanted)
         try:
             return pa_csv.open_csv(stream, pa_csv.ReadOptions(column_names=names, block_size=BLOCK_BYTES),
                                    pa_csv.ParseOptions(newlines_in_values=True), texts)
@@ -168,6 +239,8 @@ class ZipCsvSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Make the format known to the session, and let Spark hand it filters (a session setting that is off by default)."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(ZipCsvSource)
 
 
