@@ -448,7 +448,7 @@ _IN_1997 = "l_shipdate >= timestamp '1997-01-01' and l_shipdate < timestamp '199
 def _grown(spark, d):
     """Shipments arriving as three archives; the last arrives together with the first, whose members are known by then."""
     rows = b.table(spark, d, "lineitem").select(
-        F.col("l_returnflag").alias("origin"), F.col("l_shipmode").alias("member"), F.col("l_shipdate").alias("started_at"),
+        F.col("l_returnflag").alias("origin"), F.col("l_linenumber").alias("member"), F.col("l_shipdate").alias("started_at"),
         F.substring(F.md5(F.concat_ws("-", "l_orderkey", "l_linenumber")), 1, 16).alias("ride_id"))
     state = growing.GrowingAudit(spark, scratch_path(spark, "audit"), 1997)
     for arriving in (["R"], ["N"], ["A", "R"]):
@@ -458,7 +458,7 @@ def _grown(spark, d):
 
 @query("a29_growing_report", f"""
 with k as (select md5(l_orderkey || '-' || l_linenumber) as id, count(*) as n from lineitem where {_IN_1997} group by 1)
-select count(distinct l_returnflag || l_shipmode) as members, count(*) as rows, count(*) filter (where {_IN_1997}) as counted, count(*) filter (where not ({_IN_1997})) as outside_year,
+select count(distinct l_returnflag || l_linenumber) as members, count(*) as rows, count(*) filter (where {_IN_1997}) as counted, count(*) filter (where not ({_IN_1997})) as outside_year,
  cast(0 as bigint) as unparsed, cast(0 as bigint) as invalid_ids, (select cast(coalesce(sum(n - 1), 0) as bigint) from k) as extra_rows, (select count(*) from k where n > 1) as repeated_ids,
  count(distinct case when {_IN_1997} then cast(l_shipdate as date) end) as days, 365 - count(distinct case when {_IN_1997} then cast(l_shipdate as date) end) as missing_days, true as reconciled from lineitem
 """)
@@ -468,7 +468,7 @@ def _(spark, d):
 
 
 @query("s3_growing_manifest", f"""
-select l_returnflag as origin, l_shipmode as member, count(*) as rows, min(l_shipdate) as first_started_at, max(l_shipdate) as last_started_at,
+select l_returnflag as origin, cast(l_linenumber as varchar) as member, count(*) as rows, min(l_shipdate) as first_started_at, max(l_shipdate) as last_started_at,
  count(distinct case when {_IN_1997} then cast(l_shipdate as date) end) as distinct_start_dates,
  count(*) filter (where not ({_IN_1997})) as outside_selected_year, count(*) filter (where {_IN_1997}) as counted_rides from lineitem group by 1, 2
 """)
