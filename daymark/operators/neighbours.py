@@ -17,7 +17,9 @@ The bound is never below the true distance, so the result equals brute force.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
+from operator import and_, or_
 
 import numpy as np
 import pandas as pd
@@ -27,7 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from daymark.operators.joins import top_per_group
-from daymark.operators.prep import apply_scale, fit_scale
+from daymark.operators.prep import apply_scale, long_values, moments
 from daymark.session import materialize
 
 ROWS_PER_CELL = 2000
@@ -189,7 +191,7 @@ def nearest(queries: DataFrame, points: DataFrame, dims: Sequence[str], k: int,
 def knn_regress(training: DataFrame, queries: DataFrame, features: Sequence[str], target: str, row_id: str,
                 k: int = 5, weights: str = "uniform") -> DataFrame:
     """Query rows with ``prediction``: the mean target of the ``k`` nearest training rows, after scaling."""
-    scale = fit_scale(training, features)
+    scale = materialize(moments(long_values(training, features)), "scale")
     known = apply_scale(training.select(row_id, target, *features), scale, features)
     asked = apply_scale(queries, scale, features)
     found = nearest(asked, known.withColumn("_y", F.col(target).cast("double")), features, k, row_id, ["_y"])
@@ -213,12 +215,17 @@ def knn_impute(training: DataFrame, rows: DataFrame, columns: Sequence[str], row
     Distances are taken on scaled columns that both rows hold and grow by sqrt(all / shared).
     A stratum is (missing column, columns the row holds, columns it shares with the donor), so
     each stratum compares complete coordinates. A row that shares no column with any donor gets
-    the training mean.
+    the training mean. Rows with equal values and nulls have the same neighbours, so each such spot is
+    searched once and rows look their answer up.
     """
     columns = list(columns)
-    scale = fit_scale(training, columns)
+    scale = materialize(moments(long_values(training, columns)), "scale")
     donors = apply_scale(training.select(row_id, *columns), scale, columns)
-    needy = apply_scale(rows.select(row_id, *columns), scale, columns)
+    held = [F.col(c).isNotNull() for c in columns]
+    incomplete = reduce(or_, held) & ~reduce(and_, held)
+    plain = [F.col(c).cast("double").alias(c) for c in columns]
+    spots = materialize(rows.where(incomplete).select(*plain).distinct().withColumn("_spot", F.monotonically_increasing_id()), "asked")
+    needy = apply_scale(spots, scale, columns)
 
     strata = []
     for target in columns:
@@ -248,24 +255,26 @@ def knn_impute(training: DataFrame, rows: DataFrame, columns: Sequence[str], row
         asked.append(F.when(F.col(target).isNull() & holds_exactly(holds, others), entry(i, target, shared, False)))
         given.append(F.when(F.col(target).isNotNull() & holds_exactly(shared, holds), entry(i, target, shared, True)))
     dims = [f"_d{i}" for i in range(len(columns))]
-    queries = needy.select(row_id, F.inline(F.array_compact(F.array(*asked))))
+    queries = needy.select("_spot", F.inline(F.array_compact(F.array(*asked))))
     points = donors.select(row_id, F.inline(F.array_compact(F.array(*given))))
     found = nearest(queries, points, dims, k, row_id, ["_v"], key="_s")
 
     factor = F.coalesce(*[F.when(F.col("_s") == str(i), F.lit(float(np.sqrt(len(columns) / len(shared)))))
                           for i, (_, _, shared) in enumerate(strata)])
     aim = F.coalesce(*[F.when(F.col("_s") == str(i), F.lit(target)) for i, (target, _, _) in enumerate(strata)])
-    # Several strata can serve one row, so winners meet per (row, missing column).
+    # Several strata can serve one spot, so winners meet per (spot, missing column).
     offers = queries.join(found.withColumnRenamed(row_id, "_donor"), ["_s", *dims]).select(
-        row_id, aim.alias("column"), F.col("_donor"), F.round(F.col("distance") * factor, PLACES).alias("distance"), F.col("_v"))
-    best = top_per_group(offers, [row_id, "column"], [F.col("distance"), F.col("_donor")], k)
-    filled = best.groupBy(row_id, "column").agg(_weighted_mean("_v").alias("_v"))
-    wide = filled.groupBy(row_id).agg(*[F.max(F.when(F.col("column") == c, F.col("_v"))).alias(f"_f_{c}") for c in columns])
+        "_spot", aim.alias("column"), F.col("_donor"), F.round(F.col("distance") * factor, PLACES).alias("distance"), F.col("_v"))
+    best = top_per_group(offers, ["_spot", "column"], [F.col("distance"), F.col("_donor")], k)
+    filled = best.groupBy("_spot", "column").agg(_weighted_mean("_v").alias("_v"))
+    wide = filled.groupBy("_spot").agg(*[F.max(F.when(F.col("column") == c, F.col("_v"))).alias(f"_f_{c}") for c in columns])
+    answers = spots.select("_spot", *[F.col(c).alias(f"_at_{c}") for c in columns]).join(wide, "_spot").drop("_spot")
     spread = scale.agg(F.struct(*[F.struct(
         F.max(F.when(F.col("column") == c, F.col("mean"))).alias("mean"),
         F.max(F.when(F.col("column") == c, F.when(F.col("std") == 0, 1.0).otherwise(F.col("std")))).alias("std")).alias(c)
         for c in columns])).scalar()
-    out = rows.join(wide, row_id, "left").withColumn("_fit", spread)
+    same_spot = reduce(and_, [F.col(c).cast("double").eqNullSafe(F.col(f"_at_{c}")) for c in columns])
+    out = rows.join(answers, same_spot, "left").withColumn("_fit", spread)
     return out.withColumns({
         c: F.coalesce(F.col(c).cast("double"), F.col(f"_f_{c}") * F.col(f"_fit.{c}.std") + F.col(f"_fit.{c}.mean"),
-                      F.col(f"_fit.{c}.mean")) for c in columns}).drop("_fit", *[f"_f_{c}" for c in columns])
+                      F.col(f"_fit.{c}.mean")) for c in columns}).drop("_fit", *[f"{p}_{c}" for p in ("_f", "_at") for c in columns])

@@ -41,11 +41,15 @@ def apply_medians(df: DataFrame, medians: DataFrame, columns: Sequence[str]) ->
         c: F.coalesce(F.col(c).cast("double"), F.col(f"_fit.{c}.median")) for c in columns}).drop("_fit")
 
 
+def moments(long: DataFrame) -> DataFrame:
+    """Mean and population deviation per column of :func:`long_values`; all that the standard scale needs."""
+    return long.groupBy("column").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+
+
 def fit_scale(training: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean, population deviation, median and quartiles per column."""
     long = long_values(training, columns)
-    moments = long.groupBy("column").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
-    return moments.join(quantiles(long, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["column"]), "column")
+    return moments(long).join(quantiles(long, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, ["column"]), "column")
 
 
 def apply_scale(df: DataFrame, scale: DataFrame, columns: Sequence[str], how: str = "standard") -> DataFrame:

@@ -119,3 +119,21 @@ def test_neighbours_of_nothing(spark):
     assert neighbours.nearest(some, empty, ["x"], 2, "id").count() == 0
     assert neighbours.nearest(empty, some, ["x"], 2, "id").count() == 0
     assert neighbours.nearest(some, some, ["x"], 2, "id").count() == 1
+
+
+def test_equal_rows_are_imputed_by_one_search(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, float(i % 3) if i % 2 else None, float(i % 5)) for i in range(600)] + [(600 + i, None, None) for i in range(9)],
+                                 "row_id long, a double, b double")
+    asked = []
+    real = neighbours.nearest
+    monkeypatch.setattr(neighbours, "nearest", lambda queries, *a, **k: asked.append(queries.count()) or real(queries, *a, **k))
+    got = {r["row_id"]: r["a"] for r in neighbours.knn_impute(rows, rows, ["a", "b"], "row_id", k=3).collect()}
+    assert asked == [5] and len(got) == 609  # one search for each value of b, however many rows hold it
+    known = [(r["row_id"], r["a"], r["b"]) for r in rows.where("a is not null").collect()]
+    mean = sum(a for _, a, _ in known) / len(known)
+    for i in range(609):
+        if i >= 600:
+            assert abs(got[i] - mean) < 1e-9
+        elif i % 2 == 0:
+            exact = sorted(j for j, _, b in known if b == i % 5)[:3]
+            assert abs(got[i] - sum(j % 3 for j in exact) / 3) < 1e-9
