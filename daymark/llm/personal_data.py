@@ -3,12 +3,12 @@
 Only DataFrame and JVM functions. Generators with high recall propose spans, which may overlap: the base
 patterns before their checks, loose numbers, loose and spelled-out addresses, account codes. Every
 candidate gets features of its format (length, digits, separators, check digit, generator) and of its
-context (neighbouring characters, words before it). Boosted trees are trained on a bounded sample of
-candidates (``TRAIN_CANDIDATES``), where those that overlap a valid base span are positive. Spelled-out
+context (neighbouring characters, words before it). Boosted trees are trained on half of all
+candidates, picked by a hash, where those that overlap a valid base span are positive. Spelled-out
 addresses and account codes hardly ever overlap one, so those of a sound form of their own are positive
-too: a domain with a known ending, a code whose ISO 13616 check digits hold. These two generators are
-sampled up to an equal share each on top of the sample, and weigh as much in training, however rare they
-are. Half of the sample is held back to calibrate, per generator, the least score whose precision
+too: a domain with a known ending, a code whose ISO 13616 check digits hold. These two generators
+weigh at least an equal share each in training, however rare they
+are. The other half is held back to calibrate, per generator, the least score whose precision
 reaches ``PRECISION``. Candidates at or above it that overlap no base span are added, the best of overlapping
 ones first by score and place. Base spans always stay.
 
@@ -64,7 +64,7 @@ LABEL = "[a-z0-9](?:[a-z0-9-]*[a-z0-9])?"
 SOUND_ADDRESS = rf"(?i)[(\[]at[)\]] ?{LABEL}(?:{SEPARATOR}{LABEL})*{SEPARATOR}(?:{'|'.join(ENDINGS)})$"
 SOUND = ("spelled", "account")  # generators with positives of a sound form
 CUES = ("mail", "contact", "phone", "tel", "call", "card", "account", "ip", "host", "version", "page", "id")
-TRAIN_CANDIDATES, ROUNDS, DEPTH, PRECISION = 20_000, 10, 3, 0.95
+ROUNDS, DEPTH, PRECISION = 10, 3, 0.95
 CONTEXT = 24
 SPAN = "array<struct<start:int,stop:int,value:string>>"
 
@@ -194,27 +194,21 @@ def candidates(found: DataFrame) -> DataFrame:
     return listed.withColumn("label", (F.col("in_base") | sound(F.col("generator"), F.col("value"))).cast("double"))
 
 
-def chosen(c: DataFrame, train_candidates: int = TRAIN_CANDIDATES) -> DataFrame | None:
+def chosen(c: DataFrame) -> DataFrame | None:
     """Action: candidates outside base spans that reach their generator's calibrated score; None without a model."""
     counts = dict(c.groupBy("generator").count().collect())
-    share = min(1.0, train_candidates / max(1, sum(counts.values())))
-    each = train_candidates / len(GENERATORS)
-    shares = {g: min(1.0, max(share, each / counts[g])) for g in SOUND if g in counts}
-    weights = {g: max(1.0, share * sum(counts.values()) / len(GENERATORS) / (shares[g] * counts[g])) for g in shares}
-
-    def by_generator(values: dict[str, float], other: float) -> Column:
-        return reduce(lambda rest, g: F.when(F.col("generator") == g, values[g]).otherwise(rest), values, F.lit(other))
-
+    weights = {g: max(1.0, sum(counts.values()) / len(GENERATORS) / counts[g]) for g in SOUND if g in counts}
+    weight = reduce(lambda rest, g: F.when(F.col("generator") == g, weights[g]).otherwise(rest), weights, F.lit(1.0))
     place = F.pmod(F.xxhash64("row_key", "generator", "start"), F.lit(1 << 20))
-    named, names = features(c.withColumn("place", place).withColumn("weight", by_generator(weights, 1.0)))
-    ready = VectorAssembler(inputCols=names, outputCol="features").transform(named)
-    sample = materialize(ready.where(F.col("place") < by_generator(shares, share) * float(1 << 20)).select("generator", "label", "weight", "features", "place").coalesce(4), "candidates")
-    train = sample.where("place % 2 = 0")
+    named, names = features(c.withColumn("place", place).withColumn("weight", weight))
+    assembled = VectorAssembler(inputCols=names, outputCol="features").transform(named)
+    ready = materialize(assembled.select("row_key", "generator", "start", "stop", "in_base", "label", "weight", "features", "place"), "candidates")
+    train = ready.where("place % 2 = 0")
     if train.agg(F.countDistinct("label")).first()[0] < 2:
         return None
     model = GBTClassifier(labelCol="label", weightCol="weight", maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.3, seed=7, cacheNodeIds=False).fit(train)
     scored = lambda df: model.transform(df).withColumn("score", F.round(vector_to_array("probability")[1], 3))
-    by_score = scored(sample.where("place % 2 = 1")).groupBy("generator", "score").agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n"))
+    by_score = scored(ready.where("place % 2 = 1")).groupBy("generator", "score").agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n"))
     ahead = by_score.alias("a").join(by_score.alias("b"), (F.col("a.generator") == F.col("b.generator")) & (F.col("b.score") >= F.col("a.score")))
     # Scores are rounded to a thousandth, so a generator has 1,001 rows at most.
     cutoffs = (ahead.groupBy(F.col("a.generator").alias("generator"), F.col("a.score").alias("cutoff"))
@@ -224,13 +218,13 @@ def chosen(c: DataFrame, train_candidates: int = TRAIN_CANDIDATES) -> DataFrame
     return more.where(F.col("score") >= F.col("cutoff")).select("row_key", "generator", "start", "stop", "score")
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_candidates: int = TRAIN_CANDIDATES) -> DataFrame:
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Action: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans for every row."""
     found = proposals(docs, id_col, text_col)
     found = once(found, "base", base_of(F.col("found")), "doc_id", "row_key", "text", "found")
     listed = materialize(candidates(found), "proposals")
     base = found.select("doc_id", "row_key", "base")
-    picked = chosen(listed, train_candidates)
+    picked = chosen(listed)
     names = (*KINDS, *LOOSE)
     added = F.array().cast("array<struct<start:int,kind_no:int,stop:int>>")
     if picked is not None:

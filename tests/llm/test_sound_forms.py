@@ -28,3 +28,18 @@ def test_spelled_addresses_and_accounts_are_found(spark):
     for i, spans in want.items():
         assert {s for s in spans if not clash(i, s)} <= got[i], texts[i]
     assert sum(len(spans & got[i]) for i, spans in never.items()) <= 0.05 * 480
+
+
+def test_trees_and_cutoffs_see_every_candidate(spark, monkeypatch):
+    sizes = {}
+    real = personal_data.materialize
+
+    def counted(df, purpose):
+        out = real(df, purpose)
+        sizes[purpose] = out.count()
+        return out
+
+    monkeypatch.setattr(personal_data, "materialize", counted)
+    rows = [(i, " ".join(f"10.{i % 256}.{j}.{i % 7} x{j}" for j in range(60))) for i in range(600)]
+    assert personal_data.find(spark.createDataFrame(rows, "doc_id long, text string")).where("n_ip = 60").count() == 600
+    assert sizes["proposals"] > 30_000 and sizes["candidates"] == sizes["proposals"]
