@@ -138,7 +138,12 @@ def select_cutoff_fpr(table: DataFrame, targets: Sequence[float] = (0.9,), keys:
 
 def ranking_metrics(df: DataFrame, label: str = "label", score: str = "score", keys: Sequence[str] = ()) -> DataFrame:
     """Average precision (sum of recall steps times precision) and ROC AUC with half credit for ties."""
-    run = running_totals(score_counts(df, label, score, keys), "threshold", ["n", "pos"], keys, descending=True)
+    return counted_ranking(score_counts(df, label, score, keys), keys)
+
+
+def counted_ranking(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """:func:`ranking_metrics` of rows counted per score, as :func:`score_counts` returns them."""
+    run = running_totals(counts, "threshold", ["n", "pos"], keys, descending=True)
     pos, neg = F.col("pos").cast("double"), (F.col("n") - F.col("pos")).cast("double")
     higher_pos = (F.col("pos_upto") - F.col("pos")).cast("double")
     sums = run.groupBy(*keys).agg(

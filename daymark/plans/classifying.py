@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from uuid import uuid4
 
 from pyspark import inheritable_thread_target
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from daymark import stages
 from daymark.operators import joins, scoring, validate
 from daymark.operators.split import stratified_folds
+from daymark.plans.forests import forest_counts
 from daymark.session import materialize, scratch_path
 from daymark.stages import StoredStage, param
 
@@ -229,8 +231,9 @@ def preparation_ablation(df: DataFrame, versions: dict[str, tuple[Sequence[str],
                          workers: int = 8, settings: dict[str, dict] | None = None, seed: str = "42") -> DataFrame:
     """Action: mean held-out ROC AUC per data version (rows) and model (columns), same folds throughout.
 
-    ``settings`` holds the model's settings per family. The folds are written once; the fits of all versions
-    and models share one pool of jobs, each writing its scores, and one scan reads them all.
+    ``settings`` holds the model's settings per family. The folds are written once; all forests are grown in one
+    job from counts of equal rows. Other fits, and forests whose rows differ too much to count, share one pool of
+    jobs, each writing its scores, and one scan reads them all.
     """
     folds = materialize(stratified_folds(df, "row_id", "label", k, repeats, seed), "folds")
     spark, base = df.sparkSession, scratch_path(df.sparkSession, "ablation")
@@ -246,9 +249,14 @@ def preparation_ablation(df: DataFrame, versions: dict[str, tuple[Sequence[str],
                       F.lit(version).alias("version"), F.lit(family).alias("model")).write.parquet(path)
         return path
 
-    jobs = [(v, f, r, fold) for f in families for v in versions for r in range(repeats) for fold in range(k)]
-    scores = spark.read.schema("label int, repeat int, fold int, score double, version string, model string").parquet(*pooled(spark, run, jobs, workers))
-    per_fold = scoring.ranking_metrics(scores, keys=["version", "model", "repeat", "fold"])
+    keys = ["version", "model", "repeat", "fold"]
+    grown, done = forest_counts(folds, versions, k, (settings or {}).get("forest")) if "forest" in families else (None, set())
+    counts = [grown.withColumn("model", F.lit("forest"))] if done else []
+    jobs = [(v, f, r, fold) for f in families for v in versions for r in range(repeats) for fold in range(k) if f != "forest" or v not in done]
+    if jobs:
+        scores = spark.read.schema("label int, repeat int, fold int, score double, version string, model string").parquet(*pooled(spark, run, jobs, workers))
+        counts.append(scoring.score_counts(scores, keys=keys))
+    per_fold = scoring.counted_ranking(reduce(DataFrame.unionByName, counts), keys)
     return per_fold.groupBy("version").pivot("model", list(families)).agg(F.avg("roc_auc"))
 
 
