@@ -112,8 +112,9 @@ def forest_counts(folds: DataFrame, versions: dict[str, tuple[Sequence[str], Seq
 
     sent = counted.where(F.col("version").isin(list(done))).withColumn("pack", F.explode(F.sequence(F.lit(0), F.lit(packs - 1))))
     by = ["version", *KEYS, "pack"]
-    # Small in bytes and long in work, so the number of partitions is given.
-    totals = sent.repartition(min(packs * sum(done.values()), 1000), *by).groupBy(*by).applyInPandas(
+    # Small in bytes and long in work, so the number of partitions is given: a few for each core.
+    tasks = min(packs * sum(done.values()), 8 * folds.sparkSession.sparkContext.defaultParallelism)
+    totals = sent.repartition(tasks, *by).groupBy(*by).applyInPandas(
         grown, "version string, repeat int, held int, bins array<int>, levels array<string>, h0 long, h1 long, total double, pack int")
     # Added in the order of packs, so that equal scores stay equal in every run.
     added = F.aggregate(F.array_sort(F.collect_list(F.struct("pack", "total"))), F.lit(0.0), lambda a, x: a + x["total"])
