@@ -19,6 +19,7 @@ from daymark import stages
 from daymark.operators import joins, scoring, validate
 from daymark.operators.split import stratified_folds
 from daymark.plans.forests import forest_counts
+from daymark.plans.logits import logistic_counts
 from daymark.session import materialize, scratch_path
 from daymark.stages import StoredStage, param
 
@@ -231,9 +232,9 @@ def preparation_ablation(df: DataFrame, versions: dict[str, tuple[Sequence[str],
                          workers: int = 8, settings: dict[str, dict] | None = None, seed: str = "42") -> DataFrame:
     """Action: mean held-out ROC AUC per data version (rows) and model (columns), same folds throughout.
 
-    ``settings`` holds the model's settings per family. The folds are written once; all forests are grown in one
-    job from counts of equal rows. Other fits, and forests whose rows differ too much to count, share one pool of
-    jobs, each writing its scores, and one scan reads them all.
+    ``settings`` holds the model's settings per family. The folds are written once; all logistic fits share passes
+    over the rows, and all forests are grown in one job from counts of equal rows. Other fits, and those with too many
+    columns or cells for that, share one pool of jobs, each writing its scores, and one scan reads them all.
     """
     folds = materialize(stratified_folds(df, "row_id", "label", k, repeats, seed), "folds")
     spark, base = df.sparkSession, scratch_path(df.sparkSession, "ablation")
@@ -250,9 +251,13 @@ def preparation_ablation(df: DataFrame, versions: dict[str, tuple[Sequence[str],
         return path
 
     keys = ["version", "model", "repeat", "fold"]
-    grown, done = forest_counts(folds, versions, k, (settings or {}).get("forest")) if "forest" in families else (None, set())
-    counts = [grown.withColumn("model", F.lit("forest"))] if done else []
-    jobs = [(v, f, r, fold) for f in families for v in versions for r in range(repeats) for fold in range(k) if f != "forest" or v not in done]
+    counts, done = [], set()
+    for family, together in (("logistic", logistic_counts), ("forest", forest_counts)):
+        if family in families:
+            found, answered = together(folds, versions, k, (settings or {}).get(family))
+            counts += [found.withColumn("model", F.lit(family))] if answered else []
+            done |= {(v, family) for v in answered}
+    jobs = [(v, f, r, fold) for f in families for v in versions for r in range(repeats) for fold in range(k) if (v, f) not in done]
     if jobs:
         scores = spark.read.schema("label int, repeat int, fold int, score double, version string, model string").parquet(*pooled(spark, run, jobs, workers))
         counts.append(scoring.score_counts(scores, keys=keys))
